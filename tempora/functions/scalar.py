@@ -29,7 +29,7 @@ def two_decimals(c: str | Column) -> Column:
 
 def two_decimals_text(c: str | Column) -> Column:
     """H12, text form: '%.2f' without thousands separators (e.g. '1013.00')."""
-    return F.format_number(_col(c), "0.00")
+    return F.call_function("format_number", _col(c), F.lit("0.00"))
 
 
 def split_pair(text: str | Column, sep: str = ",") -> tuple[Column, Column]:

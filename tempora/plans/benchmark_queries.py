@@ -71,3 +71,138 @@ FROM w JOIN p ON w.dt = p.dt
 """)
 def bucket_join_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(_flagship(spark, sf_dir), ["avg_value", "avg_k", "avg_user_id", "avg_price"])
+
+
+# ---------------------------------------------------------------------------
+# Shared stand-in tables.
+# ---------------------------------------------------------------------------
+def _bucketed(spark: SparkSession, sf_dir: str, width: int, dedup: bool) -> DataFrame:
+    from tempora.plans.weather_price import bucketed_readings
+
+    return bucketed_readings(S.readings(spark, sf_dir), width_seconds=width, dedup=dedup)
+
+
+def _sql_readings(width: int, distinct: bool) -> str:
+    return (f"SELECT {'DISTINCT ' if distinct else ''}{_sql_bucket(_SQL_EPOCH_TS, width)} AS dt, user_id, event_type, "
+            f"value, {_SQL_K} AS k FROM events")
+
+
+# ---------------------------------------------------------------------------
+# 5-minute averages.
+# ---------------------------------------------------------------------------
+@register("bucket_avg_5min", f"""
+WITH b AS ({_sql_readings(300, False)})
+SELECT dt, round(avg(value), 6) AS avg_value, round(avg(k), 6) AS avg_k, round(avg(user_id), 6) AS avg_user_id
+FROM b GROUP BY dt
+""")
+def bucket_avg_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.aggregates import group_averages
+
+    out = group_averages(_bucketed(spark, sf_dir, 300, dedup=False), "dt", S.STANDIN_AVERAGES)
+    return _round(out, S.STANDIN_AVERAGES)
+
+
+# ---------------------------------------------------------------------------
+# D2 + H5: hourly averages, two of them truncated to int.
+# ---------------------------------------------------------------------------
+@register("bucket_avg_truncated", f"""
+WITH b AS ({_sql_readings(3600, True)})
+SELECT dt, round(avg(value), 6) AS avg_value, CAST(trunc(avg(k)) AS INTEGER) AS avg_k,
+       CAST(trunc(avg(user_id)) AS INTEGER) AS avg_user_id
+FROM b GROUP BY dt
+""")
+def bucket_avg_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.aggregates import group_averages
+
+    out = group_averages(_bucketed(spark, sf_dir, 3600, dedup=True), "dt", S.STANDIN_AVERAGES,
+                         truncated=["avg_k", "avg_user_id"])
+    return _round(out, ["avg_value"])
+
+
+# ---------------------------------------------------------------------------
+# D5 after H1: distinct readings per 5-minute bucket.
+# ---------------------------------------------------------------------------
+@register("dedup_bucketed", _sql_readings(300, True))
+def dedup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bucketed(spark, sf_dir, 300, dedup=True)
+
+
+# ---------------------------------------------------------------------------
+# Count per (hour, category).
+# ---------------------------------------------------------------------------
+@register("count_by_bucket_category", f"""
+WITH b AS ({_sql_readings(3600, False)})
+SELECT dt, event_type, count(*) AS "count" FROM b GROUP BY dt, event_type
+""")
+def count_by_bucket_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.aggregates import count_by
+
+    return count_by(_bucketed(spark, sf_dir, 3600, dedup=False), "dt", "event_type")
+
+
+# ---------------------------------------------------------------------------
+# Hourly modes (event type with its count, and city), ties to the smallest value.
+# ---------------------------------------------------------------------------
+def _sql_mode(src: str, col: str, alias: str, count_alias: str | None = None) -> str:
+    cnt = f", n AS {count_alias}" if count_alias else ""
+    return f"""(SELECT dt, {col} AS {alias}{cnt} FROM (
+      SELECT dt, {col}, n, row_number() OVER (PARTITION BY dt ORDER BY n DESC, {col} ASC NULLS LAST) AS rn
+      FROM (SELECT dt, {col}, count(*) AS n FROM {src} GROUP BY dt, {col})) WHERE rn = 1)"""
+
+
+@register("mode_by_bucket", f"""
+WITH b AS ({_sql_readings(3600, False)})
+SELECT m1.dt, mode_event_type, mode_event_type_count, mode_user_id
+FROM {_sql_mode('b', 'event_type', 'mode_event_type', 'mode_event_type_count')} m1
+JOIN {_sql_mode('b', 'user_id', 'mode_user_id')} m2 ON m1.dt = m2.dt
+""")
+def mode_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.aggregates import mode_per_group
+    from tempora.operators.joins import join_all
+
+    b = _bucketed(spark, sf_dir, 3600, dedup=False)
+    return join_all([
+        mode_per_group(b, "dt", "event_type", "mode_event_type", "mode_event_type_count"),
+        mode_per_group(b, "dt", "user_id", "mode_user_id"),
+    ])
+
+
+# ---------------------------------------------------------------------------
+# L2: exploration table = three modes + five averages (two truncated) per day, joined to prices.
+# ---------------------------------------------------------------------------
+EXPLORE_MODES_STANDIN = {"mode_event_type": "event_type", "mode_user_id": "user_id", "mode_k": "k"}
+EXPLORE_AVERAGES_STANDIN = {"avg_value": "value", "avg_k": "k", "avg_user_id": "user_id",
+                            "avg_k_int": "k", "avg_user_id_int": "user_id"}
+
+
+def _explore(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
+    from tempora.operators.aggregates import modes_and_averages
+
+    return modes_and_averages(_bucketed(spark, sf_dir, width, dedup=True), "dt", EXPLORE_MODES_STANDIN,
+                              EXPLORE_AVERAGES_STANDIN, truncated=["avg_k_int", "avg_user_id_int"])
+
+
+@register("explore_table", f"""
+WITH b AS ({_sql_readings(86400, True)}),
+a AS (SELECT dt, round(avg(value), 6) AS avg_value, round(avg(k), 6) AS avg_k, round(avg(user_id), 6) AS avg_user_id,
+             CAST(trunc(avg(k)) AS INTEGER) AS avg_k_int, CAST(trunc(avg(user_id)) AS INTEGER) AS avg_user_id_int
+      FROM b GROUP BY dt),
+p AS (SELECT {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400, 915148800)} AS dt,
+             round(avg(o_totalprice), 6) AS avg_price FROM orders GROUP BY 1)
+SELECT a.dt, m1.mode_event_type, m2.mode_user_id, m3.mode_k, avg_value, avg_k, avg_user_id, avg_k_int,
+       avg_user_id_int, avg_price
+FROM a
+JOIN {_sql_mode('b', 'event_type', 'mode_event_type')} m1 ON a.dt = m1.dt
+JOIN {_sql_mode('b', 'user_id', 'mode_user_id')} m2 ON a.dt = m2.dt
+JOIN {_sql_mode('b', 'k', 'mode_k')} m3 ON a.dt = m3.dt
+JOIN p ON a.dt = p.dt
+""")
+def explore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.joins import bucket_join
+
+    prices = price_bucket_averages(
+        S.daily_prices(spark, sf_dir), time_col="time", value_col="price", width_seconds=S.DAY_SECONDS,
+        shift_seconds=S.ORDERS_SHIFT_SECONDS, time_is_text=False, drop=["country", "row_id"],
+    )
+    out = bucket_join(_explore(spark, sf_dir, S.DAY_SECONDS), prices, "dt", "dt_prices")
+    return _round(out, ["avg_value", "avg_k", "avg_user_id", "avg_price"])
