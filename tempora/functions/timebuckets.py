@@ -56,6 +56,14 @@ def ts_bucket_start(ts: str | Column, width_seconds: int = BUCKET_SECONDS, shift
     return bucket_start(epoch_seconds(ts), width_seconds, shift_seconds)
 
 
+# Text layouts accepted for event times: plain, with a fraction, 'T' separated, bare date.
+ACCEPTED_TIME_FORMATS = (
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd",
+)
+
+
 def parse_time_text(text: str | Column, formats: tuple[str, ...] = (PRICE_TEXT_FORMAT,)) -> Column:
     """H2: text -> timestamp, trying ``formats`` in order; NULL when none parses.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.constants import PREDICTION_LOOKBACK, VIEW_LOOKBACK
@@ -18,10 +18,24 @@ from tempora.functions.timebuckets import minus_interval
 from tempora.operators.joins import overlay
 
 
-def lookback(df: DataFrame, as_of: str, interval: str, time_col: str = "dt") -> DataFrame:
-    """Rows with ``as_of - interval < dt <= as_of`` (strict lower bound, as the original)."""
+def _as_of(as_of: str | Column) -> Column:
+    return F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
+
+
+def data_now(df: DataFrame, time_col: str = "dt") -> Column:
+    """"Now" of a table: its newest ``time_col``, as a lazy scalar subquery (one value)."""
+    return df.agg(F.max(time_col)).scalar()
+
+
+def lookback(df: DataFrame, as_of: str | Column, interval: str, time_col: str = "dt") -> DataFrame:
+    """Rows with ``as_of - interval < dt <= as_of`` (strict lower bound, as the original).
+
+    ``as_of`` is a timestamp text or a Column (e.g. ``data_now``); the bounds are
+    on the raw column, so they reach the scan as (runtime) pushed filters.
+    """
     t = F.col(time_col)
-    return df.where((t > minus_interval(as_of, interval)) & (t <= F.lit(as_of).cast("timestamp_ntz")))
+    a = _as_of(as_of)
+    return df.where((t > minus_interval(a, interval)) & (t <= a))
 
 
 def rows_at_max(df: DataFrame, time_col: str = "dt") -> DataFrame:
@@ -39,7 +53,7 @@ def latest_row(df: DataFrame, time_col: str = "dt", tiebreak: Sequence[str] = ()
     return df.orderBy(F.col(time_col).desc(), *[F.col(c).asc_nulls_last() for c in tiebreak]).limit(1)
 
 
-def current_prediction(predictions: DataFrame, as_of: str, interval: str = PREDICTION_LOOKBACK,
+def current_prediction(predictions: DataFrame, as_of: str | Column, interval: str = PREDICTION_LOOKBACK,
                        key: Sequence[str] = ("id",)) -> DataFrame:
     """Newest prediction in the lookback, prediction rounded to 2 places."""
     recent = lookback(predictions, as_of, interval)
@@ -47,7 +61,7 @@ def current_prediction(predictions: DataFrame, as_of: str, interval: str = PREDI
     return latest_row(recent, "dt", cols[1:]).select(*cols, F.round("prediction", 2).alias("prediction"))
 
 
-def current_batch_row(batch_view: DataFrame, as_of: str, interval: str = VIEW_LOOKBACK,
+def current_batch_row(batch_view: DataFrame, as_of: str | Column, interval: str = VIEW_LOOKBACK,
                       kelvin_cols: Sequence[str] = ("avg_temp", "avg_feels_like_temp"),
                       value_cols: Sequence[str] | None = None) -> DataFrame:
     """Newest batch-view row in the lookback; temperatures in Celsius (H6); all values to 2 places."""
@@ -59,7 +73,7 @@ def current_batch_row(batch_view: DataFrame, as_of: str, interval: str = VIEW_LO
     )
 
 
-def predicted_vs_actual(predictions: DataFrame, batch_view: DataFrame, as_of: str,
+def predicted_vs_actual(predictions: DataFrame, batch_view: DataFrame, as_of: str | Column,
                         interval: str = VIEW_LOOKBACK, prediction_col: str = "prediction",
                         actual_col: str = "avg_price") -> DataFrame:
     """Both price series in the lookback on one time axis, sorted by time (F2)."""

@@ -52,7 +52,7 @@ def _flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     prices = price_bucket_averages(
         S.daily_prices(spark, sf_dir), time_col="time", value_col="price", width_seconds=S.DAY_SECONDS,
-        shift_seconds=S.ORDERS_SHIFT_SECONDS, time_is_text=False, drop=["country", "row_id"],
+        shift_seconds=S.ORDERS_SHIFT_SECONDS, time_kind="timestamp", drop=["country", "row_id"],
     )
     return weather_price_table(weather, prices)
 
@@ -202,7 +202,230 @@ def explore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     prices = price_bucket_averages(
         S.daily_prices(spark, sf_dir), time_col="time", value_col="price", width_seconds=S.DAY_SECONDS,
-        shift_seconds=S.ORDERS_SHIFT_SECONDS, time_is_text=False, drop=["country", "row_id"],
+        shift_seconds=S.ORDERS_SHIFT_SECONDS, time_kind="timestamp", drop=["country", "row_id"],
     )
     out = bucket_join(_explore(spark, sf_dir, S.DAY_SECONDS), prices, "dt", "dt_prices")
     return _round(out, ["avg_value", "avg_k", "avg_user_id", "avg_price"])
+
+
+# ---------------------------------------------------------------------------
+# Live views (L7-L9) over a 5-minute batch view and a raw-time prediction table.
+# Batch view: non-purchase events (weather) averaged per 5 minutes, joined to
+# purchase events (price ticks) averaged per 5 minutes. Predictions: every event
+# is a scored message at its raw time (dt = ts, id = user_id, prediction = value).
+# ---------------------------------------------------------------------------
+AS_OF = "2024-01-20 12:00:00"
+
+
+def _live_batch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weather = weather_bucket_averages(S.live_readings(spark, sf_dir), width_seconds=300,
+                                      averages=S.STANDIN_AVERAGES, drop=["event_type"])
+    prices = price_bucket_averages(S.price_ticks(spark, sf_dir), time_col="dt", value_col="price",
+                                   width_seconds=300, time_kind="epoch", drop=["event_id"])
+    return weather_price_table(weather, prices)
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select(F.col("ts").alias("dt"), F.col("user_id").alias("id"), F.col("value").alias("prediction"))
+
+
+_SQL_LIVE_VIEW = f"""
+w AS (SELECT dt, avg(value) AS avg_value, avg(k) AS avg_k, avg(user_id) AS avg_user_id
+      FROM (SELECT DISTINCT {_sql_bucket(_SQL_EPOCH_TS, 300)} AS dt, user_id, event_type, value, {_SQL_K} AS k
+            FROM events WHERE event_type <> 'purchase') GROUP BY dt),
+p AS (SELECT {_sql_bucket(_SQL_EPOCH_TS, 300)} AS dt, avg(value) AS avg_price
+      FROM events WHERE event_type = 'purchase' GROUP BY 1),
+v AS (SELECT w.dt, avg_value, avg_k, avg_user_id, avg_price FROM w JOIN p ON w.dt = p.dt)"""
+
+
+def _sql_lookback(col: str, interval: str) -> str:
+    return f"{col} > TIMESTAMP '{AS_OF}' - INTERVAL '{interval}' AND {col} <= TIMESTAMP '{AS_OF}'"
+
+
+@register("latest_row", f"""
+WITH {_SQL_LIVE_VIEW}
+SELECT dt, round(avg_value - 273.15, 2) AS avg_value, round(avg_k, 2) AS avg_k,
+       round(avg_user_id, 2) AS avg_user_id, round(avg_price, 2) AS avg_price
+FROM v WHERE {_sql_lookback('dt', '9 hours 30 minutes')}
+ORDER BY dt DESC LIMIT 1
+""")
+def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.views import current_batch_row
+
+    return current_batch_row(_live_batch_view(spark, sf_dir), AS_OF, kelvin_cols=["avg_value"])
+
+
+@register("latest_prediction", """
+SELECT ts AS dt, user_id AS id, round(value, 2) AS prediction FROM events
+WHERE ts > (SELECT max(ts) FROM events) - INTERVAL '7 minutes' AND ts <= (SELECT max(ts) FROM events)
+ORDER BY ts DESC, user_id ASC LIMIT 1
+""")
+def latest_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 with "now" = the newest prediction time (a scalar subquery, not a literal)."""
+    from tempora.operators.views import current_prediction, data_now
+
+    preds = _predictions(spark, sf_dir)
+    return current_prediction(preds, data_now(preds))
+
+
+@register("series_overlay", f"""
+WITH {_SQL_LIVE_VIEW}
+SELECT 'predicted' AS series, ts AS dt, value AS price FROM events WHERE {_sql_lookback('ts', '9 hours 30 minutes')}
+UNION ALL
+SELECT 'real' AS series, dt, round(avg_price, 6) AS price FROM v WHERE {_sql_lookback('dt', '9 hours 30 minutes')}
+""")
+def series_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.views import predicted_vs_actual
+
+    view = _live_batch_view(spark, sf_dir).withColumn("avg_price", F.round("avg_price", 6))
+    return predicted_vs_actual(_predictions(spark, sf_dir), view, AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# Projections (B2-B7, F1), filters.
+# ---------------------------------------------------------------------------
+@register("renamed_projection", f"""
+WITH r AS (
+  SELECT DISTINCT {_sql_bucket(_SQL_EPOCH_TS, 86400)} AS dt, user_id, event_type, value, {_SQL_K} AS k
+  FROM events),
+w AS (SELECT dt, avg(value) AS avg_value, avg(k) AS avg_k, avg(user_id) AS avg_user_id FROM r GROUP BY dt),
+p AS (SELECT {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400, 915148800)} AS dt,
+             avg(o_totalprice) AS avg_price
+      FROM orders GROUP BY 1)
+SELECT w.dt AS "date", round(avg_value, 6) AS "temp", round(avg_k, 6) AS "humidity",
+       round(avg_price, 6) AS "energy price"
+FROM w JOIN p ON w.dt = p.dt
+ORDER BY w.dt
+""")
+def renamed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.projections import drop_columns, rename_columns, select_aliased
+
+    t = bucket_join_shifted(spark, sf_dir)
+    t = rename_columns(t, {"avg_value": "main_temp", "avg_k": "main_humidity", "avg_price": "price"})
+    t = drop_columns(t, ["avg_user_id", "no_such_column"])
+    return select_aliased(t, {"dt": "date", "main_temp": "temp", "main_humidity": "humidity",
+                              "price": "energy price"}, order_by="dt")
+
+
+@register("sorted_projection", "SELECT ts, value, event_id FROM events ORDER BY ts, event_id")
+def sorted_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("ts", "value", "event_id").orderBy("ts", "event_id")
+
+
+COUNTRY = "NATION_2"
+
+
+@register("country_filter", f"""
+SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_name = '{COUNTRY}'
+""")
+def country_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.projections import where_equals
+
+    cities = S.table(spark, sf_dir, "customer").join(
+        S.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return where_equals(cities, "n_name", COUNTRY, required=True).select("c_custkey", "c_name", "n_name")
+
+
+@register("reject_split", """
+SELECT event_id, event_type,
+       CASE WHEN coalesce(event_type <> 'error', false) THEN 'accepted' ELSE 'rejected' END AS outcome
+FROM events
+""")
+def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.projections import tag_split
+
+    ev = S.table(spark, sf_dir, "events").select("event_id", "event_type")
+    return tag_split(ev, F.col("event_type") != "error")
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions.
+# ---------------------------------------------------------------------------
+@register("parse_time", """
+SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch, ts AS parsed FROM events
+""")
+def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.timebuckets import ACCEPTED_TIME_FORMATS, epoch_seconds, parse_time_text
+
+    ev = S.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("string").alias("text"))
+    parsed = ev.select("event_id", parse_time_text("text", ACCEPTED_TIME_FORMATS).alias("parsed"))
+    return parsed.select("event_id", epoch_seconds("parsed").alias("epoch"), "parsed")
+
+
+@register("split_coordinates", f"""
+SELECT event_id, value AS lat, {_SQL_K} AS lon FROM events
+""")
+def split_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.scalar import split_pair
+
+    ev = S.table(spark, sf_dir, "events")
+    text = F.concat_ws(",", F.col("value").cast("string"), F.get_json_object("props", "$.k"))
+    lat, lon = split_pair(text)
+    return ev.select("event_id", lat.alias("lat"), lon.alias("lon"))
+
+
+@register("json_flatten", f"""
+SELECT {_SQL_EPOCH_TS} AS dt, user_id AS id, value AS main_temp, {_SQL_K} AS main_humidity,
+       event_type AS weather_0__main, CAST(200 AS BIGINT) AS cod
+FROM events
+""")
+def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.streaming.messages import WEATHER_MESSAGE_SCHEMA, parse_weather_messages, weather_messages_from_events
+
+    msgs = weather_messages_from_events(S.table(spark, sf_dir, "events"))
+    flat = parse_weather_messages(msgs, WEATHER_MESSAGE_SCHEMA)
+    return flat.select("dt", "id", "main_temp", "main_humidity", "weather_0__main", "cod")
+
+
+@register("json_encode", f"""
+SELECT event_id, CAST(json_object('dt', {_SQL_EPOCH_TS}, 'id', user_id, 'value', value,
+                                  'event_type', event_type) AS VARCHAR) AS message
+FROM events
+""")
+def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.jsonops import encode_json
+    from tempora.functions.timebuckets import epoch_seconds
+
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", encode_json(epoch_seconds("ts").alias("dt"), F.col("user_id").alias("id"),
+                                             "value", "event_type").alias("message"))
+
+
+@register("utc_offset", """
+WITH e AS (SELECT event_id, event_type, ts, ts + to_hours(CAST(user_id % 25 - 12 AS BIGINT)) AS local_clock FROM events),
+f AS (SELECT event_type, arg_min(epoch_us(local_clock) - epoch_us(ts), (ts, event_id)) AS off_us FROM e GROUP BY event_type)
+SELECT event_id, e.event_type, off_us / 1000000 AS offset_seconds,
+       make_timestamp(epoch_us(ts) + CAST(off_us / 1000000 AS BIGINT) * 1000000) AS local_ts
+FROM e JOIN f ON e.event_type = f.event_type
+""")
+def utc_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.timebuckets import plus_seconds
+    from tempora.operators.series import first_offset
+
+    ev = S.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts",
+        plus_seconds("ts", (F.col("user_id") % 25 - 12) * 3600).alias("local_clock"))
+    out = first_offset(ev, ["event_type"], ["ts", "event_id"], "ts", "local_clock")
+    return out.select("event_id", "event_type", "offset_seconds",
+                      plus_seconds("ts", F.col("offset_seconds")).alias("local_ts"))
+
+
+@register("kelvin_to_celsius", "SELECT event_id, value - 273.15 AS celsius FROM events")
+def kelvin_to_celsius_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.scalar import kelvin_to_celsius
+
+    return S.table(spark, sf_dir, "events").select("event_id", kelvin_to_celsius("value").alias("celsius"))
+
+
+@register("format_two_decimals", """
+SELECT event_id, printf('%.2f', value - 273.15) AS celsius_text, printf('%.2f', value) AS value_text FROM events
+""")
+def format_two_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.scalar import kelvin_to_celsius, two_decimals_text
+
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", two_decimals_text(kelvin_to_celsius("value")).alias("celsius_text"),
+                     two_decimals_text("value").alias("value_text"))

@@ -47,16 +47,26 @@ def weather_bucket_averages(readings: DataFrame, time_col: str = "dt", width_sec
 
 def price_bucket_averages(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN,
                           value_col: str = PRICE_VALUE_COLUMN, width_seconds: int = BUCKET_SECONDS,
-                          shift_seconds: int = 0, time_is_text: bool = True,
+                          shift_seconds: int = 0, time_kind: str = "text",
                           drop: Sequence[str] = PRICE_DROPPED, out_key: str = "dt_prices",
                           out_value: str = "avg_price") -> DataFrame:
     """The price half of L1: parse (H2) -> shift (H3) -> bucket (H1) -> average (D3).
 
+    ``time_kind`` says what ``time_col`` holds: 'text' (yyyy-MM-dd HH:mm:ss),
+    'timestamp', or 'epoch' seconds.
+
     Rows whose time text does not parse get a NULL bucket and form one NULL
-    group, which the inner join then drops (use ``sources.split_valid`` to keep
+    group, which the inner join then drops (use ``operators.projections.split_by`` to keep
     them in a reject table).
     """
-    epoch = parse_time_epoch(time_col) if time_is_text else epoch_seconds(time_col)
+    if time_kind == "text":
+        epoch = parse_time_epoch(time_col)
+    elif time_kind == "timestamp":
+        epoch = epoch_seconds(time_col)
+    elif time_kind == "epoch":
+        epoch = F.col(time_col)
+    else:
+        raise ValueError(f"time_kind must be text, timestamp or epoch, not {time_kind!r}")
     p = (
         prices.withColumn(out_key, bucket_start(epoch, width_seconds, shift_seconds))
         .drop(*[c for c in drop if c != out_key])
