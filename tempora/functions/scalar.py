@@ -68,8 +68,8 @@ def even_timestamp(start: str | Column, stop: str | Column, i: str | Column, per
     e_us = F.unix_micros(_col(stop).cast("timestamp"))
     num = (e_us - s_us) * _col(i).cast("bigint")
     d = F.lit(int(periods - 1))
-    step = (num - F.pmod(num, d)) / d
-    return F.timestamp_micros((s_us + step).cast("bigint")).cast("timestamp_ntz")
+    step = ((num - F.pmod(num, d)) / d).cast("bigint")  # exact: the numerator is a multiple of d
+    return F.timestamp_micros(s_us + step).cast("timestamp_ntz")
 
 
 def gaussian_noise(sigma: float, seed: int) -> Column:

@@ -429,3 +429,244 @@ def format_two_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = S.table(spark, sf_dir, "events")
     return ev.select("event_id", two_decimals_text(kelvin_to_celsius("value")).alias("celsius_text"),
                      two_decimals_text("value").alias("value_text"))
+
+
+# ---------------------------------------------------------------------------
+# Ordered series (E2 + B14, I3 with H15/H16/H17).
+# ---------------------------------------------------------------------------
+@register("prev_pair", """
+SELECT * FROM (
+  SELECT o_orderkey AS row_id, o_orderpriority AS country,
+         lag(o_orderkey) OVER w AS prev_row_id, lag(o_totalprice) OVER w AS prev_price,
+         lag(o_orderdate) OVER w AS prev_time
+  FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey))
+WHERE prev_row_id IS NOT NULL
+""")
+def prev_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.series import previous_row
+
+    p = S.daily_prices(spark, sf_dir)
+    out = previous_row(p, ["country"], ["time", "row_id"], ["row_id", "price", "time"], chunk_seconds=S.DAY_SECONDS)
+    return out.where(F.col("prev_row_id").isNotNull()).select("row_id", "country", "prev_row_id", "prev_price",
+                                                              "prev_time")
+
+
+def _daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.timebuckets import ts_bucket_start
+
+    p = S.daily_prices(spark, sf_dir)
+    return p.groupBy("country", ts_bucket_start("time", S.DAY_SECONDS).alias("time")).agg(
+        F.round(F.avg("price"), 6).alias("price"))
+
+
+def _upsample(spark: SparkSession, sf_dir: str, sigma: float) -> DataFrame:
+    from tempora.operators.series import previous_row, upsample_pairs
+
+    pairs = previous_row(_daily_series(spark, sf_dir), ["country"], ["time"], ["time", "price"],
+                         chunk_seconds=30 * S.DAY_SECONDS).where(F.col("prev_time").isNotNull())
+    # One day between source points, one hour between generated points: 24 per pair.
+    return upsample_pairs(pairs, "prev_time", "time", "prev_price", "price", step_seconds=S.HOUR_SECONDS,
+                          source_step_seconds=S.DAY_SECONDS, periods=None, noise_sigma=sigma, keep=["country"])
+
+
+@register("upsample_linear", f"""
+WITH d AS (SELECT o_orderpriority AS country, {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400)} AS time,
+                  round(avg(o_totalprice), 6) AS price
+           FROM orders GROUP BY 1, 2),
+p AS (SELECT country, lag(time) OVER w AS t0, time AS t1, lag(price) OVER w AS p0, price AS p1
+      FROM d WINDOW w AS (PARTITION BY country ORDER BY time)),
+g AS (SELECT country, t0, t1, p0, p1, unnest(range(0, 24)) AS point FROM p WHERE t0 IS NOT NULL)
+SELECT country, CAST(point AS INTEGER) AS point,
+       make_timestamp(epoch_us(t0) + ((epoch_us(t1) - epoch_us(t0)) * point) // 24) AS ts,
+       p0 + (p1 - p0) * point / 23.0 AS price,
+       CAST(epoch(t1) - epoch(t0) AS BIGINT) AS gap_seconds
+FROM g
+""")
+def upsample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsample(spark, sf_dir, 0.0)
+
+
+@register("upsample_noise")
+def upsample_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 with N(0, 1) noise (seeded); stochastic, so checked by row count and by residual spread."""
+    return _upsample(spark, sf_dir, 1.0)
+
+
+# ---------------------------------------------------------------------------
+# Profiles (D7-D10) over the per-hour exploration table and the joined daily table.
+# ---------------------------------------------------------------------------
+def _hourly_explore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _explore(spark, sf_dir, S.HOUR_SECONDS).withColumn("avg_value", F.round("avg_value", 6))
+
+
+_SQL_HOURLY = f"""
+b AS ({_sql_readings(3600, True)}),
+a AS (SELECT dt, round(avg(value), 6) AS avg_value FROM b GROUP BY dt),
+h AS (SELECT a.dt, m.mode_event_type, a.avg_value FROM a JOIN {_sql_mode('b', 'event_type', 'mode_event_type')} m
+      ON a.dt = m.dt)"""
+
+
+@register("hist_categorical", f"""
+WITH {_SQL_HOURLY}
+SELECT mode_event_type, count(*) AS "count" FROM h GROUP BY mode_event_type
+""")
+def hist_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.profile import categorical_histogram
+
+    return categorical_histogram(_hourly_explore(spark, sf_dir), "mode_event_type")
+
+
+@register("hist_numeric", f"""
+WITH {_SQL_HOURLY},
+s AS (SELECT count(avg_value) AS n, min(avg_value) AS lo, max(avg_value) AS hi,
+             quantile_cont(avg_value, 0.25) AS q1, quantile_cont(avg_value, 0.75) AS q3 FROM h),
+k AS (SELECT lo, hi, CAST(ceil((hi - lo) / (CASE WHEN 2.0 * (q3 - q1) * pow(n, -1.0 / 3.0) > 0
+                                            THEN least(2.0 * (q3 - q1) * pow(n, -1.0 / 3.0), (hi - lo) / (log2(n) + 1.0))
+                                            ELSE (hi - lo) / (log2(n) + 1.0) END)) AS INTEGER) AS nb FROM s),
+w AS (SELECT lo, nb, (hi - lo) / nb AS width FROM k),
+c AS (SELECT CAST(least(floor((avg_value - (SELECT lo FROM w)) / (SELECT width FROM w)), (SELECT nb FROM w) - 1)
+                  AS INTEGER) AS bin, count(*) AS "count"
+      FROM h GROUP BY 1)
+SELECT bin, (SELECT lo FROM w) + bin * (SELECT width FROM w) AS bin_lo,
+       (SELECT lo FROM w) + (bin + 1) * (SELECT width FROM w) AS bin_hi, "count"
+FROM c
+""")
+def hist_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.profile import numeric_histogram
+
+    return numeric_histogram(_hourly_explore(spark, sf_dir), "avg_value", bins="auto")
+
+
+@register("box_stats", f"""
+WITH {_SQL_HOURLY},
+q AS (SELECT mode_event_type, count(*) AS n, quantile_cont(avg_value, 0.25) AS q1,
+             quantile_cont(avg_value, 0.5) AS median, quantile_cont(avg_value, 0.75) AS q3
+      FROM h GROUP BY mode_event_type),
+f AS (SELECT q.mode_event_type,
+             min(CASE WHEN avg_value >= q1 - 1.5 * (q3 - q1) THEN avg_value END) AS whisker_lo,
+             max(CASE WHEN avg_value <= q3 + 1.5 * (q3 - q1) THEN avg_value END) AS whisker_hi,
+             count(CASE WHEN avg_value < q1 - 1.5 * (q3 - q1) OR avg_value > q3 + 1.5 * (q3 - q1) THEN 1 END)
+               AS n_outliers
+      FROM h JOIN q ON h.mode_event_type = q.mode_event_type GROUP BY q.mode_event_type)
+SELECT q.mode_event_type, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(q3 - q1, 6) AS iqr, whisker_lo, whisker_hi, n_outliers
+FROM q JOIN f ON q.mode_event_type = f.mode_event_type
+""")
+def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.profile import box_stats as box
+
+    out = box(_hourly_explore(spark, sf_dir), "mode_event_type", "avg_value")
+    return _round(out, ["q1", "median", "q3", "iqr"])
+
+
+@register("pair_stats", f"""
+WITH r AS (
+  SELECT DISTINCT {_sql_bucket(_SQL_EPOCH_TS, 86400)} AS dt, user_id, event_type, value, {_SQL_K} AS k
+  FROM events),
+w AS (SELECT dt, round(avg(value), 6) AS avg_value FROM r GROUP BY dt),
+p AS (SELECT {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400, 915148800)} AS dt,
+             round(avg(o_totalprice), 6) AS avg_price
+      FROM orders GROUP BY 1),
+j AS (SELECT avg_value - 273.15 AS x, avg_price AS y FROM w JOIN p ON w.dt = p.dt)
+SELECT count(*) AS n, round(corr(y, x), 6) AS corr, round(regr_slope(y, x), 3) AS slope,
+       round(regr_intercept(y, x), 1) AS intercept, round(regr_r2(y, x), 6) AS r2
+FROM j
+""")
+def pair_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.functions.scalar import kelvin_to_celsius
+    from tempora.operators.profile import pair_stats as pairs
+
+    t = bucket_join_shifted(spark, sf_dir).select(kelvin_to_celsius("avg_value").alias("x"),
+                                                  F.col("avg_price").alias("y"))
+    out = pairs(t, "x", "y")
+    return out.select("n", F.round("corr", 6).alias("corr"), F.round("slope", 3).alias("slope"),
+                      F.round("intercept", 1).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+# ---------------------------------------------------------------------------
+# Split and models.
+# ---------------------------------------------------------------------------
+@register("hash_split", """
+SELECT event_id,
+       CASE WHEN ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 70
+            THEN 'train' ELSE 'test' END AS split
+FROM events
+""")
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.ml import hash_split_label
+
+    return S.table(spark, sf_dir, "events").select("event_id", hash_split_label(["event_id"]).alias("split"))
+
+
+_FEATURES_STANDIN = ["avg_value", "avg_k", "avg_user_id"]
+
+
+@register("ols_fit", f"""
+WITH r AS (
+  SELECT DISTINCT {_sql_bucket(_SQL_EPOCH_TS, 86400)} AS dt, user_id, event_type, value, {_SQL_K} AS k
+  FROM events),
+w AS (SELECT dt, round(avg(value), 6) AS avg_value FROM r GROUP BY dt),
+p AS (SELECT {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400, 915148800)} AS dt,
+             round(avg(o_totalprice), 6) AS avg_price
+      FROM orders GROUP BY 1)
+SELECT round(regr_slope(avg_price, avg_value), 3) AS slope, round(regr_intercept(avg_price, avg_value), 1) AS intercept,
+       round(regr_r2(avg_price, avg_value), 6) AS r2
+FROM w JOIN p ON w.dt = p.dt
+""")
+def ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + J3 without penalty (one feature): MLlib's least-squares fit equals SQL regr_*."""
+    from tempora.operators.ml import assemble, fit_linear
+
+    data = assemble(bucket_join_shifted(spark, sf_dir), ["avg_value"])
+    model = fit_linear(data, label="avg_price", reg_param=0.0, elastic_net=0.0)
+    row = (float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))
+    out = spark.createDataFrame([row], "slope double, intercept double, r2 double")
+    return out.select(F.round("slope", 3).alias("slope"), F.round("intercept", 1).alias("intercept"),
+                      F.round("r2", 6).alias("r2"))
+
+
+@register("elastic_net_fit")
+def elastic_net_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1, J3-J5 with the original parameters: coefficients, intercept, iterations, history, RMSE, r^2."""
+    from tempora.operators.ml import assemble, fit_linear, model_summary
+
+    data = assemble(bucket_join_shifted(spark, sf_dir), _FEATURES_STANDIN)
+    return model_summary(spark, fit_linear(data, label="avg_price"))
+
+
+@register("elastic_net_eval")
+def elastic_net_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """70/30 split by key hash, fit on train, RMSE / MAE / r^2 on test."""
+    from tempora.operators.ml import assemble, evaluate, fit_linear, hash_split as split
+
+    data = assemble(bucket_join_shifted(spark, sf_dir), _FEATURES_STANDIN)
+    train, test = split(data, ["dt"])
+    return evaluate(fit_linear(train, label="avg_price"), test)
+
+
+@register("save_load_predict")
+def save_load_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, save to a new version folder in the shared folder, load, predict every row."""
+    from tempora.operators.ml import assemble, fit_linear, load_model, predict, save_model
+    from tempora.session import shared_path
+
+    data = assemble(bucket_join_shifted(spark, sf_dir), _FEATURES_STANDIN)
+    path = save_model(fit_linear(data, label="avg_price"), shared_path(spark, "models", unique=True), "v000001")
+    return predict(load_model(path), data).select("dt", "avg_price", "prediction")
+
+
+# ---------------------------------------------------------------------------
+# City list from a ';' CSV (A3, B13, H7, G1, B9). The CSV is written from
+# customer x nation into the shared folder, then read back like the original file.
+# ---------------------------------------------------------------------------
+@register("city_list", f"""
+SELECT c_custkey AS "Geoname ID", c_name AS "Name", c_acctbal AS lat, CAST(c_nationkey AS DOUBLE) AS lon
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = '{COUNTRY}'
+""")
+def city_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.plans.cities import country_cities, write_city_csv
+    from tempora.session import shared_path
+
+    path = shared_path(spark, "city_csv", unique=True)
+    write_city_csv(S.table(spark, sf_dir, "customer"), S.table(spark, sf_dir, "nation"), path)
+    return country_cities(spark, path, COUNTRY).select("Geoname ID", "Name", "lat", "lon")
