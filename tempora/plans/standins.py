@@ -36,7 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather-reading shape: dt (epoch s), user_id (city), event_type (category), value, k."""
-    ev = table(spark, sf_dir, "events")
+    return events_to_readings(table(spark, sf_dir, "events"))
+
+
+def events_to_readings(ev: DataFrame) -> DataFrame:
+    """The reading projection of an events frame (batch or streaming)."""
     return ev.select(
         epoch_seconds("ts").alias("dt"),
         "user_id",
@@ -57,6 +61,15 @@ def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``events`` as a file stream (the folder holds every table; a glob keeps this one)."""
+    schema = table(spark, sf_dir, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(sf_dir)
+
+
 def price_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.where(F.col("event_type") == PRICE_TICK_TYPE).select(
