@@ -19,14 +19,21 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: clean_name(c) for c in df.columns if clean_name(c) != c})
 
 
-def decode_json(value: str | Column, schema: T.StructType) -> Column:
+CORRUPT_FIELD = "_corrupt_record"
+
+
+def decode_json(value: str | Column, schema: T.StructType, keep_corrupt: bool = False) -> Column:
     """H9, decode step: bytes or text -> struct with a fixed schema.
 
-    Missing keys give NULL fields and malformed text gives a NULL struct (the
-    default PERMISSIVE mode), so bad messages can be routed to a reject table.
+    Missing keys give NULL fields (PERMISSIVE mode). With ``keep_corrupt`` the
+    struct gets a ``_corrupt_record`` field holding the text of a message that
+    does not parse, so bad messages can be routed to a reject table.
     """
     v = F.col(value) if isinstance(value, str) else value
-    return F.from_json(v.cast("string"), schema)
+    if not keep_corrupt:
+        return F.from_json(v.cast("string"), schema)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT_FIELD, T.StringType())])
+    return F.from_json(v.cast("string"), full, {"columnNameOfCorruptRecord": CORRUPT_FIELD})
 
 
 def _flatten_fields(prefix: str, col: Column, dtype: T.DataType, list_items: dict[str, int]) -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.constants import PRICE_MESSAGE_KEYS
-from tempora.functions.jsonops import clean_name, decode_json, encode_json, flatten_struct
+from tempora.functions.jsonops import CORRUPT_FIELD, clean_name, decode_json, encode_json, flatten_struct
 from tempora.functions.timebuckets import epoch_seconds
 
 _D = T.DoubleType()
@@ -53,9 +53,13 @@ def parse_weather_messages(messages: DataFrame, schema: T.StructType = WEATHER_M
     layout); the list itself stays as a column. A malformed message gives a row
     of NULLs plus ``_malformed = true`` so callers can reject it.
     """
-    decoded = messages.select(*(keep or []), decode_json(value_col, schema).alias("_msg"))
-    flat = flatten_struct(decoded.withColumn("_malformed", F.col("_msg").isNull()), "_msg",
-                          list_items if list_items is not None else {"weather": 1},
+    decoded = messages.select(*(keep or []), decode_json(value_col, schema, keep_corrupt=True).alias("_raw"))
+    decoded = decoded.select(
+        *(keep or []),
+        (F.col("_raw").isNull() | F.col(f"_raw.{CORRUPT_FIELD}").isNotNull()).alias("_malformed"),
+        F.struct(*[F.col(f"_raw.{f.name}").alias(f.name) for f in schema.fields]).alias("_msg"),
+    )
+    flat = flatten_struct(decoded, "_msg", list_items if list_items is not None else {"weather": 1},
                           keep=[*(keep or []), "_malformed"])
     return flat.withColumnsRenamed({c: clean_name(c) for c in flat.columns if clean_name(c) != c})
 
