@@ -759,3 +759,50 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                       available_now=True)
     run_available(q)
     return preds.read(spark).select("dt", "id", "prediction")
+
+
+# ---------------------------------------------------------------------------
+# SQL mode aggregate (NULLs ignored, smallest on ties); X2 / X3 extensions.
+# ---------------------------------------------------------------------------
+@register("mode_aggregate_daily", f"""
+WITH b AS ({_sql_readings(86400, False)})
+SELECT dt, event_type AS mode_event_type FROM (
+  SELECT dt, event_type, row_number() OVER (PARTITION BY dt ORDER BY n DESC, event_type ASC) AS rn
+  FROM (SELECT dt, event_type, count(*) AS n FROM b WHERE event_type IS NOT NULL GROUP BY dt, event_type))
+WHERE rn = 1
+""")
+def mode_aggregate_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.operators.aggregates import mode_aggregate
+
+    return mode_aggregate(_bucketed(spark, sf_dir, S.DAY_SECONDS, dedup=False), "dt", "event_type", "mode_event_type")
+
+
+@register("forecast_error", f"""
+WITH pr AS (SELECT {_sql_bucket(_SQL_EPOCH_TS, 300)} AS dt, avg(value) AS prediction FROM events GROUP BY 1),
+re AS (SELECT {_sql_bucket(_SQL_EPOCH_TS, 300)} AS dt, avg(value) AS avg_price
+       FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT count(*) AS n, round(sqrt(avg((prediction - avg_price) * (prediction - avg_price))), 6) AS rmse,
+       round(avg(abs(prediction - avg_price)), 6) AS mae
+FROM pr JOIN re ON pr.dt = re.dt
+""")
+def forecast_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 (extension): predictions averaged per 5-minute bucket against the real bucket price."""
+    from tempora.functions.timebuckets import ts_bucket_start
+    from tempora.operators.joins import forecast_error as error
+
+    preds = _predictions(spark, sf_dir).groupBy(ts_bucket_start("dt", 300).alias("dt")).agg(
+        F.avg("prediction").alias("prediction"))
+    real = price_bucket_averages(S.price_ticks(spark, sf_dir), time_col="dt", value_col="price", width_seconds=300,
+                                 time_kind="epoch", drop=["event_id"], out_key="dt")
+    return _round(error(preds, real), ["rmse", "mae"])
+
+
+@register("score_buckets")
+def score_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 (extension): the model scored on 5-minute bucket averages (what it was trained on)."""
+    from tempora.operators.ml import assemble, fit_linear
+    from tempora.streaming.bucket_stream import score_bucket_averages
+
+    features = ["avg_value", "avg_k"]
+    model = fit_linear(assemble(bucket_join_shifted(spark, sf_dir), features), label="avg_price")
+    return score_bucket_averages(bucket_avg_5min(spark, sf_dir), model, features)
