@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tempora.constants import PREDICTION_LOOKBACK, VIEW_LOOKBACK
 from tempora.functions.scalar import kelvin_to_celsius
-from tempora.functions.timebuckets import minus_interval
+from tempora.functions.timebuckets import epoch_seconds, floor_to_width, minus_interval, seconds_to_ts
 from tempora.operators.joins import overlay
 
 
@@ -38,6 +38,22 @@ def lookback(df: DataFrame, as_of: str | Column, interval: str, time_col: str =
     return df.where((t > minus_interval(a, interval)) & (t <= a))
 
 
+def bucket_lookback_on_raw(df: DataFrame, as_of: str | Column, interval: str, width_seconds: int,
+                           ts_col: str = "ts") -> DataFrame:
+    """B10 moved before bucketing: keep the raw rows whose bucket passes the lookback.
+
+    A bucket start ``b`` satisfies ``L < b <= A`` (L = as_of - interval, A = as_of)
+    exactly when its rows have ``floor(L/w)*w + w <= ts < floor(A/w)*w + w``, so
+    filtering raw ``ts`` with these bounds keeps the same buckets, whole. Unlike a
+    predicate on the computed bucket, this one reaches the Parquet reader.
+    """
+    a = _as_of(as_of)
+    lo = seconds_to_ts(floor_to_width(epoch_seconds(minus_interval(a, interval)), width_seconds) + width_seconds)
+    hi = seconds_to_ts(floor_to_width(epoch_seconds(a), width_seconds) + width_seconds)
+    t = F.col(ts_col)
+    return df.where((t >= lo) & (t < hi))
+
+
 def rows_at_max(df: DataFrame, time_col: str = "dt") -> DataFrame:
     """Every row at the maximum ``time_col`` (aggregate + join, no global sort)."""
     top = df.agg(F.max(time_col).alias(time_col))

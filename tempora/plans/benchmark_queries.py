@@ -217,10 +217,15 @@ def explore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 AS_OF = "2024-01-20 12:00:00"
 
 
-def _live_batch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weather = weather_bucket_averages(S.live_readings(spark, sf_dir), width_seconds=300,
+def _live_batch_view(spark: SparkSession, sf_dir: str, lookback: str | None = None) -> DataFrame:
+    """The 5-minute batch view; with ``lookback`` only the raw rows of the buckets in
+    (AS_OF - lookback, AS_OF] are read (the bound is pushed into the scan)."""
+    from tempora.operators.views import bucket_lookback_on_raw
+
+    pre = (lambda ev: bucket_lookback_on_raw(ev, AS_OF, lookback, 300)) if lookback else None
+    weather = weather_bucket_averages(S.live_readings(spark, sf_dir, pre), width_seconds=300,
                                       averages=S.STANDIN_AVERAGES, drop=["event_type"])
-    prices = price_bucket_averages(S.price_ticks(spark, sf_dir), time_col="dt", value_col="price",
+    prices = price_bucket_averages(S.price_ticks(spark, sf_dir, pre), time_col="dt", value_col="price",
                                    width_seconds=300, time_kind="epoch", drop=["event_id"])
     return weather_price_table(weather, prices)
 
@@ -253,7 +258,10 @@ ORDER BY dt DESC LIMIT 1
 def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.operators.views import current_batch_row
 
-    return current_batch_row(_live_batch_view(spark, sf_dir), AS_OF, kelvin_cols=["avg_value"])
+    from tempora.constants import VIEW_LOOKBACK
+
+    view = _live_batch_view(spark, sf_dir, VIEW_LOOKBACK)
+    return current_batch_row(view, AS_OF, kelvin_cols=["avg_value"])
 
 
 @register("latest_prediction", """
@@ -278,7 +286,9 @@ SELECT 'real' AS series, dt, round(avg_price, 6) AS price FROM v WHERE {_sql_loo
 def series_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.operators.views import predicted_vs_actual
 
-    view = _live_batch_view(spark, sf_dir).withColumn("avg_price", F.round("avg_price", 6))
+    from tempora.constants import VIEW_LOOKBACK
+
+    view = _live_batch_view(spark, sf_dir, VIEW_LOOKBACK).withColumn("avg_price", F.round("avg_price", 6))
     return predicted_vs_actual(_predictions(spark, sf_dir), view, AS_OF)
 
 

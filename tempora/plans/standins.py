@@ -70,15 +70,19 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     return reader.parquet(sf_dir)
 
 
-def price_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_ticks(spark: SparkSession, sf_dir: str, prefilter=None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
+    if prefilter is not None:
+        ev = prefilter(ev)
     return ev.where(F.col("event_type") == PRICE_TICK_TYPE).select(
         epoch_seconds("ts").alias("dt"), F.col("value").alias("price"), "event_id"
     )
 
 
-def live_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def live_readings(spark: SparkSession, sf_dir: str, prefilter=None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
+    if prefilter is not None:
+        ev = prefilter(ev)
     return ev.where(F.col("event_type") != PRICE_TICK_TYPE).select(
         epoch_seconds("ts").alias("dt"),
         "user_id",
