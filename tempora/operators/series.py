@@ -65,6 +65,9 @@ def first_offset(df: DataFrame, series: Sequence[str], order: Sequence[str], utc
     aggregated per series) and joined back; the per-series table is tiny.
     """
     series, order = list(series), list(order)
+    if not series:  # one series: join on a constant key (a hash join, not a cartesian product)
+        res = first_offset(df.withColumn("__one", F.lit(0)), ["__one"], order, utc_col, local_col, out)
+        return res.drop("__one")
     firsts = df.groupBy(*series).agg(
         F.min(F.struct(*[F.col(o) for o in order], F.col(utc_col).alias("u"), F.col(local_col).alias("l"))).alias("_f")
     ).select(*series, (F.unix_micros(F.col("_f.l").cast("timestamp")) - F.unix_micros(F.col("_f.u").cast("timestamp")))

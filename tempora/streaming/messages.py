@@ -6,7 +6,7 @@ files or a message bus is a DataFrame with a ``value`` column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,13 +88,14 @@ def weather_messages_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def price_messages(prices: DataFrame, country: str, iso_code: str, utc_col: str, local_col: str,
+def price_messages(prices: DataFrame, country: str | Column, iso_code: str | Column, utc_col: str, local_col: str,
                    price_col: str) -> DataFrame:
     """A11 for price points: the five keys, times as 'yyyy-MM-dd HH:mm:ss' text."""
     fmt = "yyyy-MM-dd HH:mm:ss"
+    as_col = lambda v: F.lit(v) if isinstance(v, str) else v
     return prices.select(encode_json(
-        F.lit(country).alias(PRICE_MESSAGE_KEYS[0]),
-        F.lit(iso_code).alias(PRICE_MESSAGE_KEYS[1]),
+        as_col(country).alias(PRICE_MESSAGE_KEYS[0]),
+        as_col(iso_code).alias(PRICE_MESSAGE_KEYS[1]),
         F.date_format(utc_col, fmt).alias(PRICE_MESSAGE_KEYS[2]),
         F.date_format(local_col, fmt).alias(PRICE_MESSAGE_KEYS[3]),
         F.col(price_col).alias(PRICE_MESSAGE_KEYS[4]),

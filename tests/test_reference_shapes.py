@@ -76,3 +76,23 @@ def test_bounded_listening_with_console_sink(spark, scratch):
     q = to_console(message_stream(spark, topic), f"{scratch}/ckpt")
     assert run_bounded(q, 3) is False  # still listening after 3 s, then stopped
     assert not q.isActive
+
+
+def test_price_replay_messages(spark, scratch):
+    from tempora.plans.price_replay import replay_messages
+
+    path = f"{scratch}/history.csv"
+    with open(path, "w") as f:
+        f.write(",".join(PRICE_MESSAGE_KEYS) + "\n")
+        for h, p in [(0, 100.0), (1, 110.0), (2, 90.0)]:
+            f.write(f"Belgium,BEL,2022-01-01 {h:02d}:00:00,2022-01-01 {h + 1:02d}:00:00,{p}\n")
+        f.write("France,FRA,2022-01-01 00:00:00,2022-01-01 01:00:00,80.0\n")
+    history = read_csv(spark, path)
+    msgs = parse_price_messages(replay_messages(history, "Belgium", noise_sigma=0.0))
+    assert msgs.count() == 2 * 720
+    rows = msgs.orderBy("Datetime__UTC_").collect()
+    assert rows[0].Datetime__Local_ == "2022-01-01 01:00:00" and rows[0].Country == "Belgium"
+    assert rows[0].ISO3_Code == "BEL" and rows[0].Price__EUR_MWhe_ == 100.0
+    assert rows[719].Price__EUR_MWhe_ == 110.0 and rows[719].Datetime__UTC_ == "2022-01-01 00:59:55"
+    noisy = replay_messages(history, "Belgium", noise_sigma=1.0, seed=7)
+    assert noisy.count() == 2 * 720
