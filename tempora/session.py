@@ -56,8 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="tempora-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:  # classic sessions: also the folder used by DataFrame.checkpoint()
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext
+        pass
     return current
 
 
