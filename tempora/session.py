@@ -71,3 +71,23 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         names.append(uuid.uuid4().hex[:12])
     return os.path.join(base, *names) if "://" not in base else "/".join([base.rstrip("/"), *names])
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 * 1024 ** 2
+               ) -> dict[str, str]:
+    """Settings sized to the data: shuffle partitions so that a shuffle partition holds
+    about ``target_partition_bytes`` of (uncompressed-ish) input, never fewer than
+    two waves of tasks; AQE then coalesces small partitions and splits skewed ones.
+
+    Example: 100 TB of Parquet on 8,000 cores -> 409,600 initial shuffle partitions,
+    coalesced at run time to the advisory size.
+    """
+    parts = max(2 * executor_cores_total, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 ** 2)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

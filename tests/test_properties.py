@@ -62,3 +62,11 @@ def test_model_cache_reloads_newer_version(spark, scratch):
     assert cache.current() is first  # unchanged folder: no reload
     save_model(fit_linear(data, reg_param=0.0), f"{scratch}/models", "v000002")
     assert cache.current() is not first and cache.path.endswith("v000002")
+
+
+def test_scale_conf_sizes_partitions():
+    from tempora.session import scale_conf
+
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert int(scale_conf(10 ** 6, 64)["spark.sql.shuffle.partitions"]) == 128
