@@ -47,13 +47,17 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local scratch folder only when unset.
+    """Return ``spark.checkpoint.dir``; set a local scratch folder only when unset in local mode.
 
     On a cluster the setting names a shared (HDFS / object store) folder that
-    survives executor loss, and it is never overridden here.
+    survives executor loss; it is never overridden here, and a cluster session
+    without it is an error rather than a silent machine-local fallback.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder (HDFS / object store) on a cluster")
         current = tempfile.mkdtemp(prefix="tempora-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:  # classic sessions: also the folder used by DataFrame.checkpoint()

@@ -52,10 +52,11 @@ class KeyedTable:
     with no ``order`` the last write wins, as a database upsert).
     """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] = ()):
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] = (), compact_every: int | None = None):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order = list(order)
+        self.compact_every = compact_every
 
     @property
     def log_dir(self) -> str:
@@ -123,9 +124,37 @@ class KeyedTable:
             f"{self.snapshot_dir}/{BATCH_COL}={top}")
         return top
 
+    def vacuum(self, spark: SparkSession) -> int:
+        """Delete log batches and older snapshots already covered by the newest snapshot.
+
+        Safe for readers that list the table afterwards; a reader that listed
+        before may fail on a deleted folder and simply re-reads. Returns the
+        number of folders removed.
+        """
+        snaps = _complete_batches(spark, self.snapshot_dir)
+        if not snaps:
+            return 0
+        keep = snaps[-1]
+        doomed = [f"{self.log_dir}/{BATCH_COL}={b}" for b in self.applied_batches(spark) if b <= keep]
+        doomed += [f"{self.snapshot_dir}/{BATCH_COL}={b}" for b in snaps[:-1]]
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for d in doomed:
+            p = jvm.org.apache.hadoop.fs.Path(d)
+            p.getFileSystem(conf).delete(p, True)
+        return len(doomed)
+
     def upsert_stream_batch(self, df: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` callback: a micro-batch replayed with the same id rewrites the same folder."""
+        """``foreachBatch`` callback: a micro-batch replayed with the same id rewrites the same folder.
+
+        With ``compact_every=n``, every n-th batch also compacts and vacuums, so a
+        long-running stream keeps a bounded number of folders to read.
+        """
         self.write_batch(df, batch_id)
+        if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
+            spark = df.sparkSession
+            self.compact(spark)
+            self.vacuum(spark)
 
 
 def publish_json(df: DataFrame, path: str, files: int | None = None) -> None:

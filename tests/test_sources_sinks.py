@@ -67,3 +67,14 @@ def test_keyed_table_last_write_wins_without_order(spark, scratch):
     t.write_batch(spark.createDataFrame([(1, 5.0)], "dt int, avg_price double"), 1)
     assert {r.dt: r.avg_price for r in t.read(spark).collect()} == {1: 5.0, 2: 2.0}
     assert t.read(spark).where(F.col("dt") == 1).count() == 1
+
+
+def test_keyed_table_periodic_compaction_and_vacuum(spark, scratch):
+    t = KeyedTable(f"{scratch}/s", keys=["id"], order=["v"], compact_every=3)
+    for b in range(7):
+        t.upsert_stream_batch(spark.createDataFrame([(b % 2, b)], "id int, v int"), b)
+    state = {r.id: r.v for r in t.read(spark).collect()}
+    assert state == {0: 6, 1: 5}
+    # Snapshots at batches 2 and 5 (older one removed), log keeps only batch 6.
+    assert t.applied_batches(spark) == [6]
+    assert os.listdir(f"{scratch}/s/snapshot") == ["batch_id=5"]
