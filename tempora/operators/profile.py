@@ -66,7 +66,7 @@ def numeric_histogram(df: DataFrame, column: str, bins: int | str = "auto", exac
 def box_stats(df: DataFrame, category: str, value: str, exact: bool = True) -> DataFrame:
     """Per category: n, quartiles, whiskers (furthest points within 1.5 IQR), outlier count.
 
-    Two aggregate passes and one join on the (small) per-category quartile table.
+    Two aggregate passes and one (broadcast) join to the small per-category quartile table.
     ``exact=True`` uses exact percentiles, whose state grows with a group's
     distinct values; ``exact=False`` uses mergeable bounded sketches for raw,
     unbounded inputs. The original draws these over per-bucket tables, whose
@@ -79,13 +79,16 @@ def box_stats(df: DataFrame, category: str, value: str, exact: bool = True) -> D
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col(value)
+    # The per-category quartiles are constant within a category: carried through the
+    # fence aggregate with ``first`` instead of a second join back to them.
     joined = df.where(v.isNotNull()).join(q, on=category, how="inner")
-    fences = joined.groupBy(category).agg(
+    carried = ["n", "q1", "median", "q3", "iqr"]
+    return joined.groupBy(category).agg(
+        *[F.first(c).alias(c) for c in carried],
         F.min(F.when(v >= lo_fence, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_fence, v)).alias("whisker_hi"),
         F.count(F.when((v < lo_fence) | (v > hi_fence), 1)).alias("n_outliers"),
     )
-    return q.join(fences, on=category, how="inner")
 
 
 def pair_stats(df: DataFrame, x: str, y: str) -> DataFrame:

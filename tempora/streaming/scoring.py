@@ -66,3 +66,16 @@ def start_scoring(spark: SparkSession, messages: DataFrame, model_dir: str, pred
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def score_for(spark: SparkSession, messages: DataFrame, model_dir: str, predictions: KeyedTable, rejects_path: str,
+              checkpoint: str, seconds: float, iterations: int = 1, features: Sequence[str] = FEATURES_7,
+              processing_time: str = "5 seconds") -> None:
+    """``iterations`` runs of ``seconds`` each; every run resumes from the same
+    checkpoint (no message is scored twice or lost) and picks up the newest model."""
+    from tempora.streaming.sources import run_bounded
+
+    for _ in range(iterations):
+        q = start_scoring(spark, messages, model_dir, predictions, rejects_path, checkpoint, features,
+                          processing_time=processing_time)
+        run_bounded(q, seconds)
