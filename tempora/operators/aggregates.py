@@ -18,10 +18,32 @@ def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def exact_avg(c: str | Column, scale: int) -> Column:
+    """Average of a measure with ``scale`` decimals, from an exact 64-bit sum of its scaled units.
+
+    ``avg`` of doubles depends on summation order, so its last bits change with
+    partitioning; this form gives the same double on every run and engine
+    (sum of units / (count * 10^scale)). An overflowing sum raises (ANSI) rather
+    than returning a wrong value.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    unit = 10 ** int(scale)
+    return F.sum(F.round(col * F.lit(unit)).cast("bigint")).cast("double") / (
+        F.count(col).cast("double") * F.lit(float(unit)))
+
+
 def group_averages(df: DataFrame, keys: str | Sequence[str], averages: Mapping[str, str | Column],
-                   truncated: Sequence[str] = ()) -> DataFrame:
-    """``avg`` of each measure per group (NULLs skipped); ``truncated`` aliases become int (H5)."""
-    aggs = [F.avg(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in averages.items()]
+                   truncated: Sequence[str] = (), exact_scales: Mapping[str, int] | None = None) -> DataFrame:
+    """``avg`` of each measure per group (NULLs skipped); ``truncated`` aliases become int (H5).
+
+    ``exact_scales`` maps an alias to the number of decimals of its measure, to
+    average it exactly (``exact_avg``) instead of by floating summation.
+    """
+    exact_scales = exact_scales or {}
+    aggs = [
+        (exact_avg(c, exact_scales[a]) if a in exact_scales else F.avg(F.col(c) if isinstance(c, str) else c)).alias(a)
+        for a, c in averages.items()
+    ]
     out = df.groupBy(*_cols(keys)).agg(*aggs)
     if truncated:
         out = out.withColumns({a: F.col(a).cast("int") for a in truncated})

@@ -103,20 +103,21 @@ def bucket_avg_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# D2 + H5: hourly averages, two of them truncated to int.
+# D2 + H5: hourly averages, two of them truncated to int. ``value`` has two
+# decimals and is averaged exactly (same double on every run), so it is not rounded.
 # ---------------------------------------------------------------------------
 @register("bucket_avg_truncated", f"""
 WITH b AS ({_sql_readings(3600, True)})
-SELECT dt, round(avg(value), 6) AS avg_value, CAST(trunc(avg(k)) AS INTEGER) AS avg_k,
-       CAST(trunc(avg(user_id)) AS INTEGER) AS avg_user_id
+SELECT dt, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (CAST(count(value) AS DOUBLE) * 100.0::DOUBLE)
+         AS avg_value,
+       CAST(trunc(avg(k)) AS INTEGER) AS avg_k, CAST(trunc(avg(user_id)) AS INTEGER) AS avg_user_id
 FROM b GROUP BY dt
 """)
 def bucket_avg_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.operators.aggregates import group_averages
 
-    out = group_averages(_bucketed(spark, sf_dir, 3600, dedup=True), "dt", S.STANDIN_AVERAGES,
-                         truncated=["avg_k", "avg_user_id"])
-    return _round(out, ["avg_value"])
+    return group_averages(_bucketed(spark, sf_dir, 3600, dedup=True), "dt", S.STANDIN_AVERAGES,
+                          truncated=["avg_k", "avg_user_id"], exact_scales={"avg_value": 2})
 
 
 # ---------------------------------------------------------------------------
