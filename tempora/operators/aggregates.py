@@ -95,7 +95,7 @@ def mode_aggregate(df: DataFrame, keys: str | Sequence[str], category: str, alia
 
 
 def modes_and_averages(df: DataFrame, key: str, modes: Mapping[str, str], averages: Mapping[str, str],
-                       truncated: Sequence[str] = ()) -> DataFrame:
+                       truncated: Sequence[str] = (), exact_scales: Mapping[str, int] | None = None) -> DataFrame:
     """L2 core in one shared pass: several E1 modes and D2 averages per ``key``.
 
     One Expand + partial aggregate over grouping sets ``(key, c1) ... (key, cN), (key)``
@@ -103,6 +103,7 @@ def modes_and_averages(df: DataFrame, key: str, modes: Mapping[str, str], averag
     group-by on ``key`` picks each mode and carries the averages. This replaces
     N+1 separate aggregations of the same rows and N joins on ``key``.
     """
+    exact_scales = exact_scales or {}
     mode_items = list(modes.items())
     sets = [[key, c] for _, c in mode_items] + [[key]]
     first = (
@@ -110,7 +111,8 @@ def modes_and_averages(df: DataFrame, key: str, modes: Mapping[str, str], averag
         .agg(
             F.grouping_id().alias("_gid"),
             F.count(F.lit(1)).alias("_n"),
-            *[F.avg(c).alias(a) for a, c in averages.items()],
+            *[(exact_avg(c, exact_scales[a]) if a in exact_scales else F.avg(c)).alias(a)
+              for a, c in averages.items()],
         )
     )
     # grouping_id bit i is 1 when the i-th grouping column is absent from the set.

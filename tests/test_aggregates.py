@@ -59,3 +59,19 @@ def test_hot_bucket_is_pre_aggregated(spark):
                                    F.col("id").cast("double").alias("v"))
     plan = group_averages(df, "dt", {"a": "v"})._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan
+
+
+def test_exact_average_is_partitioning_independent(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 3), round(rnd.uniform(0, 500), 2)) for _ in range(20000)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    a = group_averages(df.repartition(3), "g", {"m": "v"}, exact_scales={"m": 2}).collect()
+    b = group_averages(df.repartition(17, "v"), "g", {"m": "v"}, exact_scales={"m": 2}).collect()
+    assert sorted((r.g, r.m) for r in a) == sorted((r.g, r.m) for r in b)
+    from fractions import Fraction
+    for r in a:
+        vals = [v for g, v in rows if g == r.g]
+        exact = Fraction(sum(round(v * 100) for v in vals), 100 * len(vals))
+        assert r.m == float(exact) or abs(r.m - float(exact)) <= 1e-12 * abs(float(exact))
+    shared = modes_and_averages(df, "g", {"mv": "v"}, {"m": "v"}, exact_scales={"m": 2}).collect()
+    assert sorted((r.g, r.m) for r in shared) == sorted((r.g, r.m) for r in a)
