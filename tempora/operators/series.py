@@ -21,24 +21,38 @@ from tempora.functions.timebuckets import epoch_seconds, floor_to_width
 
 def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], carry: Sequence[str],
                  chunk_seconds: int | None = 86_400, time_col: str | None = None,
-                 prefix: str = "prev_") -> DataFrame:
+                 prefix: str = "prev_", chunking: str = "time", num_chunks: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` for each ``carry`` column, taken from the preceding row of the series.
 
     ``order`` is the full sort key (time first, then a tie-breaker that makes it
-    unique). With ``chunk_seconds`` set, the window is partitioned by
-    (series, chunk of ``time_col``), and chunk boundaries are stitched with a
-    small per-chunk table; ``chunk_seconds=None`` uses one window per series.
+    unique). Chunking decides how a series is cut into window partitions, whose
+    boundaries are then stitched with a small per-chunk table:
+
+    - ``chunking="time"``: chunks of ``chunk_seconds`` of ``time_col`` (one
+      shuffle). A window task holds one series' rows of one chunk, so the width
+      bounds it; rows sharing a single instant stay together.
+    - ``chunking="range"``: ``num_chunks`` ranges of the full sort key, with
+      boundaries sampled by Spark's range partitioner, so a hot series and even
+      a hot instant are split evenly. The chunk ids are fixed once with a
+      reliable ``checkpoint()`` (in ``spark.checkpoint.dir``) so that every
+      branch of the plan sees the same assignment.
+    - ``chunk_seconds=None`` with ``chunking="time"``: one window per series.
+
     The first row of a series has NULL predecessors (B14 drops it with
     ``where(prev_x IS NOT NULL)``).
     """
     series, order, carry = list(series), list(order), list(carry)
     time_col = time_col or order[0]
-    if chunk_seconds is None:
+    chunk = "__chunk"
+    if chunking == "range":
+        n = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = df.repartitionByRange(n, *series, *order).withColumn(chunk, F.spark_partition_id().cast("bigint"))
+        d = d.checkpoint(eager=True)
+    elif chunk_seconds is None:
         w = Window.partitionBy(*series).orderBy(*order)
         return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in carry})
-
-    chunk = "__chunk"
-    d = df.withColumn(chunk, floor_to_width(epoch_seconds(time_col), chunk_seconds))
+    else:
+        d = df.withColumn(chunk, floor_to_width(epoch_seconds(time_col), chunk_seconds))
     w = Window.partitionBy(*series, chunk).orderBy(*order)
     d = d.withColumns({f"__lag_{c}": F.lag(c).over(w) for c in carry}).withColumn("__first", F.row_number().over(w) == 1)
 

@@ -457,7 +457,8 @@ def prev_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.operators.series import previous_row
 
     p = S.daily_prices(spark, sf_dir)
-    out = previous_row(p, ["country"], ["time", "row_id"], ["row_id", "price", "time"], chunk_seconds=S.DAY_SECONDS)
+    # Range chunks of the full sort key: a hot country or a hot day is split evenly.
+    out = previous_row(p, ["country"], ["time", "row_id"], ["row_id", "price", "time"], chunking="range")
     return out.where(F.col("prev_row_id").isNotNull()).select("row_id", "country", "prev_row_id", "prev_price",
                                                               "prev_time")
 

@@ -80,3 +80,22 @@ def test_first_offset_constant_per_series(spark):
     df = spark.createDataFrame(rows, "c string, utc timestamp_ntz, local timestamp_ntz, k int")
     got = {r.k: r.offset_seconds for r in first_offset(df, ["c"], ["utc", "k"], "utc", "local").collect()}
     assert got == {1: 3600.0, 2: 3600.0}  # taken from the first row only: no daylight-saving switch
+
+
+def test_range_chunking_splits_a_hot_instant(spark):
+    # One series holds a third of the rows, all at the same instant; range chunks split it.
+    hot_t = dt.datetime(2024, 1, 1, 12)
+    rows = [("HOT", hot_t, i, float(i)) for i in range(3000)]
+    rnd = random.Random(9)
+    rows += [(rnd.choice(["A", "B"]), hot_t + dt.timedelta(seconds=rnd.randint(-90000, 90000)), 3000 + i, rnd.random())
+             for i in range(6000)]
+    df = spark.createDataFrame(rows, "country string, time timestamp_ntz, row_id int, price double")
+    args = (["country"], ["time", "row_id"], ["row_id", "price"])
+    ranged = previous_row(df, *args, chunking="range", num_chunks=12)
+    plain = previous_row(df, *args, chunk_seconds=None)
+    key = lambda d: sorted((r.row_id, r.prev_row_id, r.prev_price) for r in d.collect())
+    assert key(ranged) == key(plain)
+    # The hot instant is spread over several chunks of bounded size.
+    sizes = (df.repartitionByRange(12, "country", "time", "row_id").groupBy(F.spark_partition_id().alias("p"))
+             .count().collect())
+    assert max(r["count"] for r in sizes) <= 2 * 9000 / 12
