@@ -2,9 +2,7 @@
 
 import json
 
-from pyspark.sql import functions as F
 
-from tempora.constants import FEATURES_7
 from tempora.plans.jobs import refresh_batch_view, retrain, train_test_report
 from tempora.plans.weather_price import weather_bucket_averages
 from tempora.sources.files import read_newest_drop
