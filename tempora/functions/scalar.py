@@ -23,8 +23,13 @@ def kelvin_to_celsius(c: str | Column) -> Column:
 
 
 def two_decimals(c: str | Column) -> Column:
-    """H12, numeric form: round half-up to 2 places."""
-    return F.round(_col(c), 2)
+    """H12, numeric form: the value of its '%.2f' text, as the original's views return it.
+
+    '%.2f' rounds the exact binary value (1.005 is 1.00499... and gives 1.00),
+    whereas ``round(x, 2)`` rounds the shortest decimal text half-up (1.01);
+    formatting then parsing keeps the original's numbers.
+    """
+    return two_decimals_text(c).cast("double")
 
 
 def two_decimals_text(c: str | Column) -> Column:

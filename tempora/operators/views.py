@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempora.constants import PREDICTION_LOOKBACK, VIEW_LOOKBACK
-from tempora.functions.scalar import kelvin_to_celsius
+from tempora.functions.scalar import kelvin_to_celsius, two_decimals
 from tempora.functions.timebuckets import epoch_seconds, floor_to_width, minus_interval, seconds_to_ts
 from tempora.operators.joins import overlay
 
@@ -74,7 +74,7 @@ def current_prediction(predictions: DataFrame, as_of: str | Column, interval: st
     """Newest prediction in the lookback, prediction rounded to 2 places."""
     recent = lookback(predictions, as_of, interval)
     cols = ["dt", *[k for k in key if k in predictions.columns]]
-    return latest_row(recent, "dt", cols[1:]).select(*cols, F.round("prediction", 2).alias("prediction"))
+    return latest_row(recent, "dt", cols[1:]).select(*cols, two_decimals("prediction").alias("prediction"))
 
 
 def current_batch_row(batch_view: DataFrame, as_of: str | Column, interval: str = VIEW_LOOKBACK,
@@ -85,7 +85,7 @@ def current_batch_row(batch_view: DataFrame, as_of: str | Column, interval: str
     value_cols = list(value_cols) if value_cols is not None else [c for c in batch_view.columns if c != "dt"]
     return recent.select(
         "dt",
-        *[F.round(kelvin_to_celsius(c) if c in kelvin_cols else F.col(c), 2).alias(c) for c in value_cols],
+        *[two_decimals(kelvin_to_celsius(c) if c in kelvin_cols else F.col(c)).alias(c) for c in value_cols],
     )
 
 

@@ -251,8 +251,9 @@ def _sql_lookback(col: str, interval: str) -> str:
 
 @register("latest_row", f"""
 WITH {_SQL_LIVE_VIEW}
-SELECT dt, round(avg_value - 273.15, 2) AS avg_value, round(avg_k, 2) AS avg_k,
-       round(avg_user_id, 2) AS avg_user_id, round(avg_price, 2) AS avg_price
+SELECT dt, CAST(printf('%.2f', avg_value - 273.15) AS DOUBLE) AS avg_value,
+       CAST(printf('%.2f', avg_k) AS DOUBLE) AS avg_k, CAST(printf('%.2f', avg_user_id) AS DOUBLE) AS avg_user_id,
+       CAST(printf('%.2f', avg_price) AS DOUBLE) AS avg_price
 FROM v WHERE {_sql_lookback('dt', '9 hours 30 minutes')}
 ORDER BY dt DESC LIMIT 1
 """)
@@ -266,7 +267,7 @@ def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("latest_prediction", """
-SELECT ts AS dt, user_id AS id, round(value, 2) AS prediction FROM events
+SELECT ts AS dt, user_id AS id, CAST(printf('%.2f', value) AS DOUBLE) AS prediction FROM events
 WHERE ts > (SELECT max(ts) FROM events) - INTERVAL '7 minutes' AND ts <= (SELECT max(ts) FROM events)
 ORDER BY ts DESC, user_id ASC LIMIT 1
 """)

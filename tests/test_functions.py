@@ -78,3 +78,11 @@ def test_linspace_and_even_timestamps(spark):
     assert out[1].t - out[0].t == dt.timedelta(seconds=5)
     assert out[-1].t == t1 - dt.timedelta(seconds=5)
     assert spark.range(1).select(int_div(F.lit(3600), 5)).first()[0] == 720
+
+
+def test_two_decimals_matches_percent_format(spark):
+    from tempora.functions import two_decimals
+
+    xs = [1.005, 2.675, 0.125, -266.6, 1013.256, 6.85]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(two_decimals("x")).collect()]
+    assert got == [float("{:.2f}".format(x)) for x in xs]
