@@ -1,5 +1,6 @@
 """Jobs on reference-shaped inputs (L3, L4, L5, A12) and batch = stream."""
 
+import datetime as dt
 import json
 
 
@@ -149,3 +150,20 @@ def test_stream_drops_rows_behind_the_watermark(spark, scratch):
     run_available(q)
     # The replayed first hour arrives after the watermark passed it: it changes nothing.
     assert spark.table("x1_late").count() == 27
+
+
+def test_bounded_scoring_runs_resume_from_checkpoint(spark, scratch):
+    from tempora.operators.ml import assemble, fit_linear, save_model
+    from tempora.streaming.scoring import score_for
+
+    train = spark.createDataFrame([(float(i), 2.0 * i + 1.0) for i in range(20)], "main_temp double, price double")
+    save_model(fit_linear(assemble(train, ["main_temp"]), reg_param=0.0), f"{scratch}/models", "v000001")
+    topic = f"{scratch}/topic"
+    msgs = [json.dumps({"dt": 1671260000 + i, "main": {"temp": float(i)}, "id": 1, "cod": 200}) for i in range(8)]
+    publish_json(spark.createDataFrame([(m,) for m in msgs], "value string"), topic, files=2)
+    preds = KeyedTable(f"{scratch}/predictions", keys=["dt", "id"])
+    stream = message_stream(spark, topic, max_files_per_trigger=1)
+    score_for(spark, stream, f"{scratch}/models", preds, f"{scratch}/rejects", f"{scratch}/ckpt", seconds=6,
+              iterations=2, features=["main_temp"], processing_time="1 second")
+    got = sorted((r.dt, round(r.prediction, 6)) for r in preds.read(spark).collect())
+    assert got == [(dt.datetime(2022, 12, 17, 6, 53, 20) + dt.timedelta(seconds=i), 2.0 * i + 1.0) for i in range(8)]
