@@ -167,3 +167,23 @@ def test_bounded_scoring_runs_resume_from_checkpoint(spark, scratch):
               iterations=2, features=["main_temp"], processing_time="1 second")
     got = sorted((r.dt, round(r.prediction, 6)) for r in preds.read(spark).collect())
     assert got == [(dt.datetime(2022, 12, 17, 6, 53, 20) + dt.timedelta(seconds=i), 2.0 * i + 1.0) for i in range(8)]
+
+
+def test_cli_jobs_end_to_end(spark, scratch):
+    from tempora import cli
+
+    w, p = _drops(spark, scratch)
+    out = cli.main(["refresh-view", "--weather-dir", w, "--prices-dir", p, "--view", f"{scratch}/view", "--compact"],
+                   spark=spark)
+    assert out.startswith("batch 0")
+    assert KeyedTable(f"{scratch}/view", keys=["dt"]).read(spark).count() == 40
+    path = cli.main(["retrain", "--weather-dir", w, "--prices-dir", p, "--model-dir", f"{scratch}/models",
+                     "--version", "v000001"], spark=spark)
+    assert path.endswith("v000001")
+    msgs = [json.dumps({"dt": 1671260000, "main": {"temp": 280.0, "pressure": 1010, "humidity": 70},
+                        "visibility": 9000, "wind": {"speed": 3.0, "deg": 200}, "clouds": {"all": 40},
+                        "id": 7, "cod": 200})]
+    publish_json(spark.createDataFrame([(m,) for m in msgs], "value string"), f"{scratch}/topic")
+    cli.main(["land", "--messages", f"{scratch}/topic", "--drops", f"{scratch}/landed", "--available-now"],
+             spark=spark)
+    assert read_newest_drop(spark, f"{scratch}/landed").count() == 1
