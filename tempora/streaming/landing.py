@@ -22,23 +22,38 @@ def drop_name(newest_epoch: int, batch_id: int) -> str:
     return t.strftime("%Y-%m-%d-%H-%M-%S") + f"{int(batch_id):08d}"
 
 
-def land_batch(parsed: DataFrame, directory: str, batch_id: int, time_col: str = "dt") -> str | None:
-    """Write one batch of parsed messages as a drop; returns its name (None when empty)."""
+def land_batch(parsed: DataFrame, directory: str, batch_id: int, time_col: str = "dt",
+               partition_by_day: bool = False) -> str | None:
+    """Write one batch of parsed messages as a drop; returns its name (None when empty).
+
+    With ``partition_by_day`` the drop is partitioned by the UTC day of
+    ``time_col`` (a ``day=`` folder per day), so readers of a date range only
+    open those folders (partition pruning).
+    """
     good = parsed.where(~F.col("_malformed")).drop("_malformed", "weather")
     newest = good.agg(F.max(time_col)).first()[0]
     if newest is None:
         return None
     name = drop_name(newest, batch_id)
-    good.write.mode("overwrite").parquet(f"{directory.rstrip('/')}/{name}")
+    writer = good
+    if partition_by_day:
+        writer = good.withColumn("day", F.to_date(F.timestamp_seconds(time_col)))
+        writer.write.mode("overwrite").partitionBy("day").parquet(f"{directory.rstrip('/')}/{name}")
+    else:
+        writer.write.mode("overwrite").parquet(f"{directory.rstrip('/')}/{name}")
     return name
 
 
-def start_landing(messages: DataFrame, directory: str, checkpoint: str, available_now: bool = False
-                  ) -> StreamingQuery:
+def start_landing(messages: DataFrame, directory: str, checkpoint: str, available_now: bool = False,
+                  partition_by_day: bool = False) -> StreamingQuery:
     parsed = parse_weather_messages(messages)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, directory, batch_id)
+        batch = batch.persist()  # read twice: newest time for the name, then the write
+        try:
+            land_batch(batch, directory, batch_id, partition_by_day=partition_by_day)
+        finally:
+            batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

@@ -56,9 +56,15 @@ def start_scoring(spark: SparkSession, messages: DataFrame, model_dir: str, pred
     cache = ModelCache(spark, model_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good, bad = message_rejects(batch, features)
-        predictions.write_batch(score(good, cache.current(), features), batch_id)
-        bad.drop("weather").write.mode("overwrite").parquet(f"{rejects_path}/batch_id={int(batch_id)}")
+        # Two writes read the micro-batch: keep it for the handler (a lost block is
+        # recomputed from the checkpointed source offsets).
+        batch = batch.persist()
+        try:
+            good, bad = message_rejects(batch, features)
+            predictions.write_batch(score(good, cache.current(), features), batch_id)
+            bad.drop("weather").write.mode("overwrite").parquet(f"{rejects_path}/batch_id={int(batch_id)}")
+        finally:
+            batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

@@ -187,3 +187,19 @@ def test_cli_jobs_end_to_end(spark, scratch):
     cli.main(["land", "--messages", f"{scratch}/topic", "--drops", f"{scratch}/landed", "--available-now"],
              spark=spark)
     assert read_newest_drop(spark, f"{scratch}/landed").count() == 1
+
+
+def test_landing_partitioned_by_day_prunes(spark, scratch):
+    from pyspark.sql import functions as F
+
+    msgs = [json.dumps({"dt": 1671253800 + 6 * 3600 * i, "main": {"temp": 280.0 + i}, "id": 1, "cod": 200})
+            for i in range(12)]
+    topic = f"{scratch}/topic"
+    publish_json(spark.createDataFrame([(m,) for m in msgs], "value string"), topic, files=1)
+    run_available(start_landing(message_stream(spark, topic), f"{scratch}/weather", f"{scratch}/ckpt",
+                                available_now=True, partition_by_day=True))
+    drop = read_newest_drop(spark, f"{scratch}/weather")
+    one_day = drop.where(F.col("day") == "2022-12-18")
+    assert one_day.count() == 4
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
