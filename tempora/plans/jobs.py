@@ -52,3 +52,21 @@ def train_test_report(spark: SparkSession, data: DataFrame, features: Sequence[s
     train, test = hash_split(assembled, list(key_cols), train_percent)
     model = fit_linear(train, label=label)
     return model_summary(spark, model), evaluate(model, test)
+
+
+def serve_views(spark: SparkSession, predictions: KeyedTable, batch_view: KeyedTable,
+                as_of: str | None = None) -> dict[str, DataFrame]:
+    """L7-L9 over the serving tables: current prediction, current batch row, predicted vs real.
+
+    ``as_of`` defaults to the newest prediction time (the data's "now"); the
+    lookback filters are on the tables' key column ``dt`` and reach their scans.
+    """
+    from tempora.operators.views import current_batch_row, current_prediction, data_now, predicted_vs_actual
+
+    preds, view = predictions.read(spark), batch_view.read(spark)
+    now = as_of if as_of is not None else data_now(preds)
+    return {
+        "prediction": current_prediction(preds, now),
+        "batch_view": current_batch_row(view, now),
+        "plot": predicted_vs_actual(preds, view, now),
+    }

@@ -203,3 +203,25 @@ def test_landing_partitioned_by_day_prunes(spark, scratch):
     assert one_day.count() == 4
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_serve_views_from_tables(spark, scratch):
+    import datetime as _dt
+
+    from tempora.plans.jobs import serve_views
+
+    w, p = _drops(spark, scratch)
+    view = KeyedTable(f"{scratch}/view", keys=["dt"])
+    refresh_batch_view(spark, w, p, view)
+    preds = KeyedTable(f"{scratch}/preds", keys=["dt", "id"])
+    base = _dt.datetime(2022, 12, 17, 5, 10)
+    rows = [(base + _dt.timedelta(minutes=5 * i), 7, 100.0 + i) for i in range(40)]
+    preds.write_batch(spark.createDataFrame(rows, "dt timestamp_ntz, id bigint, prediction double"), 0)
+    out = serve_views(spark, preds, view)
+    latest = out["prediction"].first()
+    assert latest.dt == rows[-1][0] and latest.prediction == 139.0
+    bv = out["batch_view"].first()
+    assert bv.dt <= rows[-1][0] and abs(bv.avg_temp - round(bv.avg_temp, 2)) < 1e-9
+    plot = out["plot"].collect()
+    assert {r.series for r in plot} == {"predicted", "real"}
+    assert [r.dt for r in plot] == sorted(r.dt for r in plot)
