@@ -1,10 +1,11 @@
 """Ordered-series operators: predecessor pairing (E2) and up-sampling.
 
 A window over a whole series sends the series to one task. ``previous_row``
-avoids that for long series: rows are windowed per (series, chunk of time),
-and the first row of each chunk takes its predecessor from the last row of the
-previous non-empty chunk, found on a small per-chunk table (one row per series
-and chunk, so its size is bounded by the time range, not by the row count).
+avoids that for long series: rows are windowed per (series, chunk), and the
+first row of each chunk takes its predecessor from the last row of the previous
+non-empty chunk, found on a small per-chunk table (one row per series and
+chunk). Chunks are spans of time, or ranges of the full sort key sampled by
+Spark's range partitioner (which also split a hot series or a hot instant).
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], car
     if chunking == "range":
         n = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         d = df.repartitionByRange(n, *series, *order).withColumn(chunk, F.spark_partition_id().cast("bigint"))
+        from tempora.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
         d = d.checkpoint(eager=True)
     elif chunk_seconds is None:
         w = Window.partitionBy(*series).orderBy(*order)
