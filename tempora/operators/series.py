@@ -51,7 +51,9 @@ def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], car
         from tempora.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(df.sparkSession)
-        d = d.checkpoint(eager=True)
+        # Whole chunks to tasks by range (about one chunk per task; hashing chunk ids would
+        # let several collide). The window and the per-chunk aggregate both reuse it.
+        d = d.checkpoint(eager=True).repartitionByRange(n, *series, chunk)
     elif chunk_seconds is None:
         w = Window.partitionBy(*series).orderBy(*order)
         return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in carry})
