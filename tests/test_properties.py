@@ -70,3 +70,23 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     assert int(scale_conf(10 ** 6, 64)["spark.sql.shuffle.partitions"]) == 128
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+                min_size=1, max_size=40))
+def test_mode_matches_brute_force(spark, rows):
+    from collections import Counter
+
+    from tempora.operators.aggregates import mode_per_group
+
+    df = spark.createDataFrame(rows, "g int, c string")
+    got = {r.g: (r.m, r.n) for r in mode_per_group(df, "g", "c", "m", "n").collect()}
+    want = {}
+    for g in {g for g, _ in rows}:
+        counts = Counter(c for gg, c in rows if gg == g)
+        best = max(counts.values())
+        tied = [c for c, n in counts.items() if n == best]
+        non_null = sorted(c for c in tied if c is not None)
+        want[g] = (non_null[0] if non_null else None, best)
+    assert got == want
