@@ -111,6 +111,8 @@ def upsample_pairs(pairs: DataFrame, t0: str, t1: str, p0: str, p1: str,
     Rows are generated inside each task from ``sequence`` (no shuffle).
     """
     n = source_step_seconds // step_seconds
+    if n < 1:
+        raise ValueError(f"step_seconds ({step_seconds}) must not exceed source_step_seconds ({source_step_seconds})")
     periods = periods or n + 1
     idx = "point"
     out = pairs.select(*keep, t0, t1, p0, p1, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(idx))

@@ -64,6 +64,8 @@ def serve_views(spark: SparkSession, predictions: KeyedTable, batch_view: KeyedT
     from tempora.operators.views import current_batch_row, current_prediction, data_now, predicted_vs_actual
 
     preds, view = predictions.read(spark), batch_view.read(spark)
+    if preds is None or view is None:
+        raise ValueError("a serving table has no committed batch yet")
     now = as_of if as_of is not None else data_now(preds)
     return {
         "prediction": current_prediction(preds, now),

@@ -99,3 +99,11 @@ def test_range_chunking_splits_a_hot_instant(spark):
     sizes = (df.repartitionByRange(12, "country", "time", "row_id").groupBy(F.spark_partition_id().alias("p"))
              .count().collect())
     assert max(r["count"] for r in sizes) <= 2 * 9000 / 12
+
+
+def test_upsample_rejects_a_step_longer_than_the_source(spark):
+    import pytest
+
+    pairs = spark.createDataFrame([(T0, T0, 1.0, 2.0)], "t0 timestamp_ntz, t1 timestamp_ntz, p0 double, p1 double")
+    with pytest.raises(ValueError):
+        upsample_pairs(pairs, "t0", "t1", "p0", "p1", step_seconds=7200, source_step_seconds=3600)
