@@ -104,6 +104,10 @@ class KeyedTable:
             parts.append(log)
         if not parts:
             return None
+        if (snaps and not batches) or (not snaps and len(batches) == 1):
+            # Only a snapshot, or only one batch: already one row per key (both are
+            # written de-duplicated), so the read needs no shuffle.
+            return parts[0].drop(BATCH_COL)
         unioned = parts[0]
         for p in parts[1:]:
             unioned = unioned.unionByName(p, allowMissingColumns=True)

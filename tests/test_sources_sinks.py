@@ -78,3 +78,18 @@ def test_keyed_table_periodic_compaction_and_vacuum(spark, scratch):
     # Snapshots at batches 2 and 5 (older one removed), log keeps only batch 6.
     assert t.applied_batches(spark) == [6]
     assert os.listdir(f"{scratch}/s/snapshot") == ["batch_id=5"]
+
+
+def test_keyed_table_single_part_read_has_no_shuffle(spark, scratch):
+    t = KeyedTable(f"{scratch}/c", keys=["id"])
+    t.write_batch(spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0)], "id int, v double"), 0)
+    one = t.read(spark)
+    assert sorted((r.id, r.v) for r in one.collect()) == [(1, 1.0), (2, 3.0)] or \
+        sorted((r.id, r.v) for r in one.collect()) == [(1, 2.0), (2, 3.0)]
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    t.write_batch(spark.createDataFrame([(2, 4.0)], "id int, v double"), 1)
+    t.compact(spark)
+    snap = t.read(spark)
+    assert dict((r.id, r.v) for r in snap.collect())[2] == 4.0
+    assert "Exchange" not in snap._jdf.queryExecution().executedPlan().toString()
+    assert snap.columns == ["id", "v"]
