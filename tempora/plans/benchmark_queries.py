@@ -819,3 +819,21 @@ def score_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ["avg_value", "avg_k"]
     model = fit_linear(assemble(bucket_join_shifted(spark, sf_dir), features), label="avg_price")
     return score_bucket_averages(bucket_avg_5min(spark, sf_dir), model, features)
+
+
+@register("hist_numeric_fixed", f"""
+WITH {_SQL_HOURLY},
+s AS (SELECT min(avg_value) AS lo, max(avg_value) AS hi FROM h),
+w AS (SELECT lo, (hi - lo) / 12 AS width FROM s),
+c AS (SELECT CAST(least(floor((avg_value - (SELECT lo FROM w)) / (SELECT width FROM w)), 11) AS INTEGER) AS bin,
+             count(*) AS "count"
+      FROM h GROUP BY 1)
+SELECT bin, (SELECT lo FROM w) + bin * (SELECT width FROM w) AS bin_lo,
+       (SELECT lo FROM w) + (bin + 1) * (SELECT width FROM w) AS bin_hi, "count"
+FROM c
+""")
+def hist_numeric_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 with a given bin count (12 equal-width bins over [min, max])."""
+    from tempora.operators.profile import numeric_histogram
+
+    return numeric_histogram(_hourly_explore(spark, sf_dir), "avg_value", bins=12)
