@@ -837,3 +837,14 @@ def hist_numeric_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.operators.profile import numeric_histogram
 
     return numeric_histogram(_hourly_explore(spark, sf_dir), "avg_value", bins=12)
+
+
+@register("latest_rows", """
+SELECT event_id, ts, user_id, value FROM events WHERE ts = (SELECT max(ts) FROM events)
+""")
+def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row at the newest time (an aggregate and a semi-join, no global sort)."""
+    from tempora.operators.views import rows_at_max
+
+    ev = S.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return rows_at_max(ev, "ts")
