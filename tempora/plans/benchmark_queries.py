@@ -848,3 +848,19 @@ def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = S.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     return rows_at_max(ev, "ts")
+
+
+@register("drop_name_parse", """
+SELECT event_id, strftime(ts, '%Y-%m-%d-%H-%M-%S') || CAST(event_id AS VARCHAR) AS name,
+       date_trunc('second', ts) AS name_time
+FROM events
+""")
+def drop_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8: drop names "<yyyy-MM-dd-HH-mm-ss><suffix>" built from event times; the first 19
+    characters are parsed back (the suffix is ignored, as the newest-drop reader does)."""
+    from tempora.functions.timebuckets import drop_name_time
+
+    ev = S.table(spark, sf_dir, "events")
+    named = ev.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd-HH-mm-ss"),
+                                           F.col("event_id").cast("string")).alias("name"))
+    return named.select("event_id", "name", drop_name_time("name").alias("name_time"))
