@@ -864,3 +864,53 @@ def drop_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = ev.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd-HH-mm-ss"),
                                            F.col("event_id").cast("string")).alias("name"))
     return named.select("event_id", "name", drop_name_time("name").alias("name_time"))
+
+
+# ---------------------------------------------------------------------------
+# I3 + H13 + A11: the price-replay job on a history derived from orders (one row per
+# priority and day; local time = UTC + the priority's digit in hours), replayed for
+# one country at 1-hour steps, published as JSON messages and decoded again.
+# ---------------------------------------------------------------------------
+REPLAY_COUNTRY = "1-URGENT"
+
+
+def _price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.constants import PRICE_MESSAGE_KEYS as K
+    from tempora.functions.timebuckets import plus_seconds
+
+    daily = _daily_series(spark, sf_dir)
+    hours = F.substring("country", 1, 1).cast("int")
+    return daily.select(
+        F.col("country").alias(K[0]),
+        F.concat(F.lit("P"), F.substring("country", 1, 1)).alias(K[1]),
+        F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias(K[2]),
+        F.date_format(plus_seconds("time", hours * 3600), "yyyy-MM-dd HH:mm:ss").alias(K[3]),
+        F.col("price").alias(K[4]),
+    )
+
+
+@register("price_replay", f"""
+WITH d AS (SELECT o_orderpriority AS country, {_sql_bucket("CAST(floor(epoch(o_orderdate)) AS BIGINT)", 86400)} AS time,
+                  round(avg(o_totalprice), 6) AS price
+           FROM orders GROUP BY 1, 2),
+c AS (SELECT * FROM d WHERE country = '{REPLAY_COUNTRY}'),
+p AS (SELECT country, lag(time) OVER w AS t0, time AS t1, lag(price) OVER w AS p0, price AS p1
+      FROM c WINDOW w AS (ORDER BY time)),
+g AS (SELECT country, t0, t1, p0, p1, unnest(range(0, 24)) AS point FROM p WHERE t0 IS NOT NULL),
+x AS (SELECT country, make_timestamp(epoch_us(t0) + ((epoch_us(t1) - epoch_us(t0)) * point) // 24) AS ts,
+             p0 + (p1 - p0) * point / 23.0 AS price FROM g)
+SELECT country AS "Country", 'P' || substr(country, 1, 1) AS "ISO3_Code",
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Datetime__UTC_",
+       strftime(ts + to_hours(CAST(substr(country, 1, 1) AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS "Datetime__Local_",
+       price AS "Price__EUR_MWhe_"
+FROM x
+""")
+def price_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 as one job: history -> one country (B9) -> first-row UTC offset (H13) -> pairs
+    -> 24 points per daily pair (H15/H16) -> JSON messages (A11) -> decoded (H9/H10)."""
+    from tempora.plans.price_replay import replay_messages
+    from tempora.streaming.messages import parse_price_messages
+
+    msgs = replay_messages(_price_history(spark, sf_dir), REPLAY_COUNTRY, step_seconds=S.HOUR_SECONDS,
+                           source_step_seconds=S.DAY_SECONDS, periods=None, noise_sigma=0.0)
+    return parse_price_messages(msgs)
