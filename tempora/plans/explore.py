@@ -1,4 +1,4 @@
-"""L2 (exploration table) and L10 (distribution report) with the reference's column names."""
+"""L2 (exploration table) and L10 (distribution report) with the original column names."""
 
 from __future__ import annotations
 

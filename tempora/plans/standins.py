@@ -1,4 +1,4 @@
-"""Map the benchmark tables onto the reference's inputs (readings, prices, messages).
+"""Map the benchmark tables onto the original system's inputs (readings, prices, messages).
 
 - weather readings  <- ``events``: epoch ``dt`` from ``ts``; ``user_id`` is the city id;
   ``event_type`` the weather category; ``value``, ``k`` (from ``props``) and

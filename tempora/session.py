@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. UTC makes timestamp <-> epoch conversions exact
-# and is what the reference's data model assumes (all instants are UTC).
+# and is what the original data model assumes (all instants are UTC).
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
