@@ -70,6 +70,7 @@ SELECT w.dt, round(avg_value, 6) AS avg_value, round(avg_k, 6) AS avg_k,
 FROM w JOIN p ON w.dt = p.dt
 """)
 def bucket_join_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 (flagship): per-day weather averages (bucket, distinct, average) joined to per-day prices shifted onto the same month."""
     return _round(_flagship(spark, sf_dir), ["avg_value", "avg_k", "avg_user_id", "avg_price"])
 
 
@@ -96,6 +97,7 @@ SELECT dt, round(avg(value), 6) AS avg_value, round(avg(k), 6) AS avg_k, round(a
 FROM b GROUP BY dt
 """)
 def bucket_avg_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of the readings per 5-minute bucket."""
     from tempora.operators.aggregates import group_averages
 
     out = group_averages(_bucketed(spark, sf_dir, 300, dedup=False), "dt", S.STANDIN_AVERAGES)
@@ -114,6 +116,7 @@ SELECT dt, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (CAST(count
 FROM b GROUP BY dt
 """)
 def bucket_avg_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly averages of distinct readings; two truncated to int, the 2-decimal measure averaged exactly."""
     from tempora.operators.aggregates import group_averages
 
     return group_averages(_bucketed(spark, sf_dir, 3600, dedup=True), "dt", S.STANDIN_AVERAGES,
@@ -125,6 +128,7 @@ def bucket_avg_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @register("dedup_bucketed", _sql_readings(300, True))
 def dedup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 after H1: distinct readings per 5-minute bucket."""
     return _bucketed(spark, sf_dir, 300, dedup=True)
 
 
@@ -136,6 +140,7 @@ WITH b AS ({_sql_readings(3600, False)})
 SELECT dt, event_type, count(*) AS "count" FROM b GROUP BY dt, event_type
 """)
 def count_by_bucket_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per (hour, category)."""
     from tempora.operators.aggregates import count_by
 
     return count_by(_bucketed(spark, sf_dir, 3600, dedup=False), "dt", "event_type")
@@ -158,6 +163,7 @@ FROM {_sql_mode('b', 'event_type', 'mode_event_type', 'mode_event_type_count')}
 JOIN {_sql_mode('b', 'user_id', 'mode_user_id')} m2 ON m1.dt = m2.dt
 """)
 def mode_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly mode of the category (with its count) and of the city; ties to the smallest value."""
     from tempora.operators.aggregates import mode_per_group
     from tempora.operators.joins import join_all
 
@@ -199,6 +205,7 @@ JOIN {_sql_mode('b', 'k', 'mode_k')} m3 ON a.dt = m3.dt
 JOIN p ON a.dt = p.dt
 """)
 def explore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: three modes and five averages per day in one grouping-sets pass, joined to daily prices."""
     from tempora.operators.joins import bucket_join
 
     prices = price_bucket_averages(
@@ -258,6 +265,7 @@ FROM v WHERE {_sql_lookback('dt', '9 hours 30 minutes')}
 ORDER BY dt DESC LIMIT 1
 """)
 def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 5-minute batch-view row in the 9 h 30 min lookback; Celsius, two places."""
     from tempora.operators.views import current_batch_row
 
     from tempora.constants import VIEW_LOOKBACK
@@ -286,6 +294,7 @@ UNION ALL
 SELECT 'real' AS series, dt, round(avg_price, 6) AS price FROM v WHERE {_sql_lookback('dt', '9 hours 30 minutes')}
 """)
 def series_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted and real price series in the lookback on one time axis."""
     from tempora.operators.views import predicted_vs_actual
 
     from tempora.constants import VIEW_LOOKBACK
@@ -311,6 +320,7 @@ FROM w JOIN p ON w.dt = p.dt
 ORDER BY w.dt
 """)
 def renamed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renames, drops (missing names ignored) and an aliased projection with spaces, sorted."""
     from tempora.operators.projections import drop_columns, rename_columns, select_aliased
 
     t = bucket_join_shifted(spark, sf_dir)
@@ -322,6 +332,7 @@ def renamed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sorted_projection", "SELECT ts, value, event_id FROM events ORDER BY ts, event_id")
 def sorted_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column subset sorted by time (ties by id)."""
     ev = S.table(spark, sf_dir, "events")
     return ev.select("ts", "value", "event_id").orderBy("ts", "event_id")
 
@@ -334,6 +345,7 @@ SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_na
 WHERE n_name = '{COUNTRY}'
 """)
 def country_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers (cities) of one nation (country); fails when there is none."""
     from tempora.operators.projections import where_equals
 
     cities = S.table(spark, sf_dir, "customer").join(
@@ -347,6 +359,7 @@ SELECT event_id, event_type,
 FROM events
 """)
 def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted / rejected label from a status predicate (NULL counts as rejected)."""
     from tempora.operators.projections import tag_split
 
     ev = S.table(spark, sf_dir, "events").select("event_id", "event_type")
@@ -360,6 +373,7 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS epoch, ts AS parsed FROM events
 """)
 def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: event times written as text and parsed back (plain or fractional layouts)."""
     from tempora.functions.timebuckets import ACCEPTED_TIME_FORMATS, epoch_seconds, parse_time_text
 
     ev = S.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("string").alias("text"))
@@ -371,6 +385,7 @@ def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, value AS lat, {_SQL_K} AS lon FROM events
 """)
 def split_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H7: 'lat,lon' text split into two doubles."""
     from tempora.functions.scalar import split_pair
 
     ev = S.table(spark, sf_dir, "events")
@@ -385,6 +400,7 @@ SELECT {_SQL_EPOCH_TS} AS dt, user_id AS id, value AS main_temp, {_SQL_K} AS mai
 FROM events
 """)
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events encoded as nested weather messages, decoded with a fixed schema and flattened."""
     from tempora.streaming.messages import WEATHER_MESSAGE_SCHEMA, parse_weather_messages, weather_messages_from_events
 
     msgs = weather_messages_from_events(S.table(spark, sf_dir, "events"))
@@ -398,6 +414,7 @@ SELECT event_id, CAST(json_object('dt', {_SQL_EPOCH_TS}, 'id', user_id, 'value',
 FROM events
 """)
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as one JSON message."""
     from tempora.functions.jsonops import encode_json
     from tempora.functions.timebuckets import epoch_seconds
 
@@ -414,6 +431,7 @@ SELECT event_id, e.event_type, off_us / 1000000 AS offset_seconds,
 FROM e JOIN f ON e.event_type = f.event_type
 """)
 def utc_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per series, the local-minus-UTC offset of its first row, applied to every row."""
     from tempora.functions.timebuckets import plus_seconds
     from tempora.operators.series import first_offset
 
@@ -427,6 +445,7 @@ def utc_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("kelvin_to_celsius", "SELECT event_id, value - 273.15 AS celsius FROM events")
 def kelvin_to_celsius_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: Kelvin to Celsius with 273.15."""
     from tempora.functions.scalar import kelvin_to_celsius
 
     return S.table(spark, sf_dir, "events").select("event_id", kelvin_to_celsius("value").alias("celsius"))
@@ -436,6 +455,7 @@ def kelvin_to_celsius_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, printf('%.2f', value - 273.15) AS celsius_text, printf('%.2f', value) AS value_text FROM events
 """)
 def format_two_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H12, text form: '%.2f' of a temperature in Celsius and of the raw value."""
     from tempora.functions.scalar import kelvin_to_celsius, two_decimals_text
 
     ev = S.table(spark, sf_dir, "events")
@@ -455,6 +475,7 @@ SELECT * FROM (
 WHERE prev_row_id IS NOT NULL
 """)
 def prev_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with its predecessor in its priority series; first rows dropped."""
     from tempora.operators.series import previous_row
 
     p = S.daily_prices(spark, sf_dir)
@@ -496,6 +517,7 @@ SELECT country, CAST(point AS INTEGER) AS point,
 FROM g
 """)
 def upsample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily price series up-sampled to 24 hourly points per pair, without noise."""
     return _upsample(spark, sf_dir, 0.0)
 
 
@@ -524,6 +546,7 @@ WITH {_SQL_HOURLY}
 SELECT mode_event_type, count(*) AS "count" FROM h GROUP BY mode_event_type
 """)
 def hist_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of the hourly mode category."""
     from tempora.operators.profile import categorical_histogram
 
     return categorical_histogram(_hourly_explore(spark, sf_dir), "mode_event_type")
@@ -545,6 +568,7 @@ SELECT bin, (SELECT lo FROM w) + bin * (SELECT width FROM w) AS bin_lo,
 FROM c
 """)
 def hist_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of hourly average values, bin count by the automatic rule."""
     from tempora.operators.profile import numeric_histogram
 
     return numeric_histogram(_hourly_explore(spark, sf_dir), "avg_value", bins="auto")
@@ -566,6 +590,7 @@ SELECT q.mode_event_type, n, round(q1, 6) AS q1, round(median, 6) AS median, rou
 FROM q JOIN f ON q.mode_event_type = f.mode_event_type
 """)
 def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box statistics of hourly average values per hourly mode category."""
     from tempora.operators.profile import box_stats as box
 
     out = box(_hourly_explore(spark, sf_dir), "mode_event_type", "avg_value")
@@ -586,6 +611,7 @@ SELECT count(*) AS n, round(corr(y, x), 6) AS corr, round(regr_slope(y, x), 3) A
 FROM j
 """)
 def pair_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation and least-squares line of daily price against temperature in Celsius."""
     from tempora.functions.scalar import kelvin_to_celsius
     from tempora.operators.profile import pair_stats as pairs
 
@@ -606,6 +632,7 @@ SELECT event_id,
 FROM events
 """)
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reproducible 70/30 train / test label from md5 of the key."""
     from tempora.operators.ml import hash_split_label
 
     return S.table(spark, sf_dir, "events").select("event_id", hash_split_label(["event_id"]).alias("split"))
@@ -677,6 +704,7 @@ SELECT c_custkey AS "Geoname ID", c_name AS "Name", c_acctbal AS lat, CAST(c_nat
 FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = '{COUNTRY}'
 """)
 def city_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city list of one country read from a ';' CSV, coordinates split."""
     from tempora.plans.cities import country_cities, write_city_csv
     from tempora.session import shared_path
 
@@ -785,6 +813,7 @@ SELECT dt, event_type AS mode_event_type FROM (
 WHERE rn = 1
 """)
 def mode_aggregate_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL mode() of the category per day (NULLs ignored, smallest on ties)."""
     from tempora.operators.aggregates import mode_aggregate
 
     return mode_aggregate(_bucketed(spark, sf_dir, S.DAY_SECONDS, dedup=False), "dt", "event_type", "mode_event_type")
