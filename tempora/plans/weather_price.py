@@ -20,7 +20,7 @@ from tempora.constants import (
     WEATHER_DROPPED,
 )
 from tempora.functions.timebuckets import bucket_start, epoch_seconds, parse_time_epoch
-from tempora.operators.aggregates import distinct_rows, group_averages
+from tempora.operators.aggregates import distinct_rows, exact_avg, group_averages
 from tempora.operators.joins import bucket_join
 
 
@@ -39,21 +39,27 @@ def bucketed_readings(readings: DataFrame, time_col: str = "dt", width_seconds:
 def weather_bucket_averages(readings: DataFrame, time_col: str = "dt", width_seconds: int = BUCKET_SECONDS,
                             averages: Mapping[str, str | Column] = WEATHER_AVERAGES,
                             drop: Sequence[str] = WEATHER_DROPPED, dedup: bool = True,
-                            dedup_subset: Sequence[str] | None = None) -> DataFrame:
-    """The weather half of L1: bucket -> distinct -> drop -> average per bucket."""
+                            dedup_subset: Sequence[str] | None = None,
+                            exact_scales: Mapping[str, int] | None = None) -> DataFrame:
+    """The weather half of L1: bucket -> distinct -> drop -> average per bucket.
+
+    ``exact_scales`` (alias -> decimals) averages those measures exactly, so a
+    refresh gives bit-identical values however the input is partitioned.
+    """
     b = bucketed_readings(readings, time_col, width_seconds, dedup, dedup_subset).drop(*drop)
-    return group_averages(b, time_col, averages)
+    return group_averages(b, time_col, averages, exact_scales=exact_scales)
 
 
 def price_bucket_averages(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN,
                           value_col: str = PRICE_VALUE_COLUMN, width_seconds: int = BUCKET_SECONDS,
                           shift_seconds: int = 0, time_kind: str = "text",
                           drop: Sequence[str] = PRICE_DROPPED, out_key: str = "dt_prices",
-                          out_value: str = "avg_price") -> DataFrame:
+                          out_value: str = "avg_price", exact_scale: int | None = None) -> DataFrame:
     """The price half of L1: parse (H2) -> shift (H3) -> bucket (H1) -> average (D3).
 
     ``time_kind`` says what ``time_col`` holds: 'text' (yyyy-MM-dd HH:mm:ss),
-    'timestamp', or 'epoch' seconds.
+    'timestamp', or 'epoch' seconds. ``exact_scale`` (decimals of the price)
+    averages the price exactly instead of by floating summation.
 
     Rows whose time text does not parse get a NULL bucket and form one NULL
     group, which the inner join then drops (use ``operators.projections.split_by`` to keep
@@ -72,7 +78,8 @@ def price_bucket_averages(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN,
         .drop(*[c for c in drop if c != out_key])
         .withColumnRenamed(value_col, "price")
     )
-    return p.groupBy(out_key).agg(F.avg("price").alias(out_value))
+    avg = exact_avg("price", exact_scale) if exact_scale is not None else F.avg("price")
+    return p.groupBy(out_key).agg(avg.alias(out_value))
 
 
 def weather_price_table(weather_avgs: DataFrame, price_avgs: DataFrame, key: str = "dt",

@@ -225,3 +225,19 @@ def test_serve_views_from_tables(spark, scratch):
     plot = out["plot"].collect()
     assert {r.series for r in plot} == {"predicted", "real"}
     assert [r.dt for r in plot] == sorted(r.dt for r in plot)
+
+
+def test_exact_l1_is_partitioning_independent(spark, scratch):
+    from tempora.plans.weather_price import price_bucket_averages, weather_bucket_averages, weather_price_table
+
+    w = spark.createDataFrame(_weather_rows(30), WEATHER_COLS)
+    p = spark.createDataFrame(_price_rows(30), PRICE_COLS)
+    exact = {"avg_temp": 2, "avg_wind_speed": 2}
+
+    def table(wd, pd):
+        return weather_price_table(weather_bucket_averages(wd, exact_scales=exact),
+                                   price_bucket_averages(pd, exact_scale=2))
+
+    a = {r.dt: (r.avg_temp, r.avg_wind_speed, r.avg_price) for r in table(w.repartition(1), p.repartition(1)).collect()}
+    b = {r.dt: (r.avg_temp, r.avg_wind_speed, r.avg_price) for r in table(w.repartition(7), p.repartition(5)).collect()}
+    assert a == b and len(a) == 30
