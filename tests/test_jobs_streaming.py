@@ -241,3 +241,20 @@ def test_exact_l1_is_partitioning_independent(spark, scratch):
     a = {r.dt: (r.avg_temp, r.avg_wind_speed, r.avg_price) for r in table(w.repartition(1), p.repartition(1)).collect()}
     b = {r.dt: (r.avg_temp, r.avg_wind_speed, r.avg_price) for r in table(w.repartition(7), p.repartition(5)).collect()}
     assert a == b and len(a) == 30
+
+
+def test_cli_score_bounded(spark, scratch):
+    from tempora import cli
+    from tempora.operators.ml import assemble, fit_linear, save_model
+
+    rows = [(float(i), 1000.0, 70.0, 9000.0, 3.0, 200.0, 40.0, 3.0 * i) for i in range(30)]
+    cols = "main_temp double, main_pressure double, main_humidity double, visibility double, " \
+           "wind_speed double, wind_deg double, clouds_all double, price double"
+    save_model(fit_linear(assemble(spark.createDataFrame(rows, cols))), f"{scratch}/models", "v000001")
+    msg = {"dt": 1671260000, "main": {"temp": 5.0, "pressure": 1000, "humidity": 70}, "visibility": 9000,
+           "wind": {"speed": 3.0, "deg": 200}, "clouds": {"all": 40}, "id": 3, "cod": 200}
+    publish_json(spark.createDataFrame([(json.dumps(msg),)], "value string"), f"{scratch}/topic")
+    cli.main(["score", "--messages", f"{scratch}/topic", "--model-dir", f"{scratch}/models",
+              "--predictions", f"{scratch}/preds", "--seconds", "8", "--trigger", "1 second"], spark=spark)
+    got = KeyedTable(f"{scratch}/preds", keys=["dt", "id"]).read(spark).collect()
+    assert len(got) == 1 and got[0].id == 3
