@@ -94,4 +94,10 @@ def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_byt
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 ** 2)),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        # Large stream state (de-duplication keys, open buckets) off the JVM heap,
+        # spilled to local disk and checkpointed incrementally to the shared folder.
+        # (Locally, with small state, the default provider starts faster.)
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
