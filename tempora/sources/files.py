@@ -65,7 +65,8 @@ def read_newest_drop(spark: SparkSession, directory: str, schema: T.StructType |
     Only the listing touches the driver; the chosen drop is scanned by executors
     and no other drop is opened.
     """
-    name = newest_drop_name(list_entries(spark, directory), strict=strict)
+    # Names sorted as an HDFS listing returns them, so a tie always goes to the same drop.
+    name = newest_drop_name(sorted(list_entries(spark, directory)), strict=strict)
     return read_table(spark, directory.rstrip("/") + "/" + name, schema)
 
 
