@@ -39,3 +39,20 @@ def test_global_max_random_split_and_sample(spark, scratch):
     assert s1 == pair_sample(df, "x", "y", 0.1, seed=3).collect() and 0 < len(s1) < 1000
     df.write.parquet(f"{scratch}/t")
     assert read_serving_table(spark, f"{scratch}/t", ["y"]).columns == ["y"]
+
+
+def test_sketch_profiles_track_exact_ones(spark):
+    from tempora.operators.profile import box_stats, numeric_histogram
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    exact = {r.event_type: r for r in box_stats(ev, "event_type", "value", exact=True).collect()}
+    approx = {r.event_type: r for r in box_stats(ev, "event_type", "value", exact=False).collect()}
+    assert set(exact) == set(approx)
+    for k, e in exact.items():
+        a = approx[k]
+        assert a.n == e.n
+        for q in ("q1", "median", "q3"):
+            assert abs(getattr(a, q) - getattr(e, q)) <= 0.02 * (e.q3 - e.q1 + 1e-9) + 1.0
+    h_exact = numeric_histogram(ev, "value", bins="auto", exact=True)
+    h_approx = numeric_histogram(ev, "value", bins="auto", exact=False)
+    assert h_exact.agg(F.sum("count")).first()[0] == h_approx.agg(F.sum("count")).first()[0] == ev.count()
