@@ -8,6 +8,9 @@ global session. Sub-packages:
 - ``tempora.operators``  projections, aggregates, joins, windows, views, profiles, ML
 - ``tempora.plans``      the composite jobs (bucketed join, explore table, retrain, ...)
 - ``tempora.streaming``  Structured Streaming jobs (scoring, upserts, windowed averages)
+- ``tempora.cli``        spark-submit entry points (refresh-view, retrain, score, land)
+- ``tempora.constants``  the fixed values (names, widths, lookbacks, model parameters)
+- ``tempora.session``    session settings, the shared checkpoint folder, data-sized settings
 """
 
 from tempora.session import get_session, shared_path
