@@ -56,3 +56,14 @@ def test_sketch_profiles_track_exact_ones(spark):
     h_exact = numeric_histogram(ev, "value", bins="auto", exact=True)
     h_approx = numeric_histogram(ev, "value", bins="auto", exact=False)
     assert h_exact.agg(F.sum("count")).first()[0] == h_approx.agg(F.sum("count")).first()[0] == ev.count()
+
+
+def test_read_csv_with_declared_schema(spark, scratch):
+    from tempora.sources.files import read_csv
+
+    path = f"{scratch}/p.csv"
+    with open(path, "w") as f:
+        f.write("Country,Price\nBelgium,100.5\nFrance,90\n")
+    df = read_csv(spark, path, schema="Country string, Price double")
+    assert dict(df.dtypes) == {"Country": "string", "Price": "double"}
+    assert sorted((r.Country, r.Price) for r in df.collect()) == [("Belgium", 100.5), ("France", 90.0)]
