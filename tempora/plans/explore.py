@@ -39,4 +39,8 @@ def distribution_report(weather: DataFrame, joined: DataFrame) -> dict[str, Data
         "price_vs_temperature": pair_stats(joined_c, "avg_temp_c", "avg_price"),
         "price_vs_wind": pair_stats(joined, "avg_wind_speed", "avg_price"),
         "price_vs_clouds": pair_stats(joined, "avg_clouds", "avg_price"),
+        # The scatter points themselves (one per bucket, so all of them are kept).
+        "points_temperature": joined_c.select("avg_temp_c", "avg_price"),
+        "points_wind": joined.select("avg_wind_speed", "avg_price"),
+        "points_clouds": joined.select("avg_clouds", "avg_price"),
     }

@@ -96,3 +96,13 @@ def test_price_replay_messages(spark, scratch):
     assert rows[719].Price__EUR_MWhe_ == 110.0 and rows[719].Datetime__UTC_ == "2022-01-01 00:59:55"
     noisy = replay_messages(history, "Belgium", noise_sigma=1.0, seed=7)
     assert noisy.count() == 2 * 720
+
+
+def test_distribution_report_points(spark):
+    weather = explore_weather(_f1(spark))
+    prices = spark.createDataFrame([("Belgium", "BEL", "2022-12-17 05:10:00", "", 100.0)],
+                                   "Country string, ISO3_Code string, Datetime__UTC_ string, Datetime__Local_ string, "
+                                   "Price__EUR_MWhe_ double")
+    joined = explore_table(_f1(spark), prices)
+    report = distribution_report(weather, joined)
+    assert report["points_temperature"].count() == joined.count() == 1
