@@ -156,7 +156,7 @@ def cut(sorted_hash: np.ndarray, n_buckets: int) -> np.ndarray:
 def ask(blocks: DataFrame, request: Callable[[Block], tuple[np.ndarray, np.ndarray]], n_buckets: int) -> DataFrame:
     """``request(block)`` gives ascending hashes and a 2-d array of bytes, one row a hash."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         hashes, payload = request(Block(table))
         bounds = cut(hashes, n_buckets)
         some = np.flatnonzero(np.diff(bounds))
@@ -170,7 +170,7 @@ def ask(blocks: DataFrame, request: Callable[[Block], tuple[np.ndarray, np.ndarr
 def answer(asked: DataFrame, width: int, reply: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """``reply(bytes of all entries, block of each)`` gives an array with one element an entry."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         table = table.sort_by("block")
         parts = [x.as_py() for x in table.column("payload")]
         sizes = np.array([len(p) // width for p in parts])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 SLICE_BYTES = 6 << 20
 SHIFT, NONE = 24, (1 << 31) - 1
 GROUP = 400_000

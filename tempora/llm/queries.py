@@ -57,3 +57,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = language_samples(docs, ~held_out())
     out = identify_language(spark, docs, samples)
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "entropy")
+
+
+# ---------------------------------------------------------------------------
+# 6: substring dedup.
+# ---------------------------------------------------------------------------
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur twice or more."""
+    from tempora.llm.substring_dedup import substring_dedup
+
+    out = substring_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
