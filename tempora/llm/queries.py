@@ -69,3 +69,65 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = substring_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------------------
+# 1: URL filters.
+# ---------------------------------------------------------------------------
+@register("op1_url_filter")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url; trees learned from the ruled urls judge the rest."""
+    from tempora.llm.url_filter import judge_urls
+
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
+# ---------------------------------------------------------------------------
+# 3: sharding.
+# ---------------------------------------------------------------------------
+@register("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of nearly equal bytes, equal texts together."""
+    from tempora.llm.sharding import shard
+
+    out = shard(spark, _table(spark, sf_dir, "documents"), 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+# ---------------------------------------------------------------------------
+# 5: benchmark decontamination.
+# ---------------------------------------------------------------------------
+def _decontamination_sql() -> str:
+    from tempora.llm.decontam import oracle
+
+    return oracle()
+
+
+@register("op5_decontamination", _decontamination_sql())
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it holds three quarters of the shingles or more."""
+    from tempora.llm.decontam import benchmark_leaks
+
+    return benchmark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+# ---------------------------------------------------------------------------
+# 10: exact top-k search.
+# ---------------------------------------------------------------------------
+@register("op10_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every vector whose id is divisible by 20, over all vectors."""
+    from tempora.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
