@@ -131,3 +131,16 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.topk import top_k
 
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# ---------------------------------------------------------------------------
+# 2: suffix-array dedup.
+# ---------------------------------------------------------------------------
+@register("op2_suffix_array_dedup")
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that occur twice or more."""
+    from tempora.llm.suffix_array import suffix_dedup
+
+    out = suffix_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
