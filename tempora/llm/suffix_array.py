@@ -290,7 +290,7 @@ def repeated_starts(table: pa.Table, length: int) -> list[dict]:
             single = weight[classes[p]] == 1
             start = int(sa.order[p] - sa.base[r])
             out.append({"route": x, "kind": 1, "block": int(block[r]), "place": int(place[r]), "h1": x, "h2": int(anchor[r]),
-                        "payload": start.to_bytes(4, "little") + bytes([single])})
+                        "payload": start.to_bytes(4, "little") + bytes([int(single)])})
     return out
 
 
