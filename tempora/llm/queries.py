@@ -144,3 +144,14 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------------------
+# 8: n-gram Jaccard join.
+# ---------------------------------------------------------------------------
+@register("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of shingles and the least document it is linked with, directly or not."""
+    from tempora.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"))
