@@ -73,13 +73,14 @@ class SpanHash:
         return (self.sums[length:] - self.sums[:n]) * self.inv[:n]
 
 
-def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, int]:
-    """(block, id, text, kd, kt) with the number of blocks and the bytes of text in all."""
+def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES,
+                by_id: bool = False) -> tuple[DataFrame, int, int]:
+    """(block, id, text, kd, kt) with the number of blocks and the bytes of text in all; ``by_id``: an id's rows share a block."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     total, rows = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
     n = max(1, math.ceil((total + 32 * rows) / block_bytes))
     d = d.withColumns({"kd": F.xxhash64("id"), "kt": F.xxhash64("text")})
-    return d.withColumn("block", F.pmod(F.xxhash64("kd", "kt"), F.lit(n)).cast("int")), n, total
+    return d.withColumn("block", F.pmod(F.col("kd") if by_id else F.xxhash64("kd", "kt"), F.lit(n)).cast("int")), n, total
 
 
 class Block:

@@ -155,3 +155,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.jaccard_join import jaccard_components
 
     return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------------------
+# 4: LM scoring.
+# ---------------------------------------------------------------------------
+@register("op4_lm_score")
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document: target, the documents labelled as of quality; background, all."""
+    from tempora.llm.lm_score import score_texts
+
+    good = _table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+    return score_texts(_table(spark, sf_dir, "documents"), good)
