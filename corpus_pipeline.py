@@ -2,7 +2,8 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the next
-one's docs. All but the last return the columns of documents.
+one's docs. All but the last return the columns of documents. Ids are taken as
+unique in ``documents``; a row with a null id passes the stages that need none.
 """
 
 from __future__ import annotations
@@ -22,6 +23,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the least id, of each group that the Jaccard join links."""
+    from tempora.llm.jaccard_join import jaccard_components
+
+    classes = jaccard_components(docs)
+    copies = classes.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that occur twice or more; a text of which nothing is left goes."""
+    from tempora.llm.suffix_array import suffix_dedup
+
+    kept = F.col("kept").cast("string")
+    # A cut may fall inside a character: its stray bytes go with it.
+    plain = F.when(F.is_valid_utf8(kept), kept).otherwise(F.regexp_replace(F.make_valid_utf8(kept), "\uFFFD", ""))
+    cut = suffix_dedup(docs).where("n_removed > 0").select("doc_id", plain.alias("__text"), F.lit(True).alias("__cut"))
+    out = docs.join(cut, "doc_id", "left")
+    text = F.when(F.col("__cut"), F.col("__text")).otherwise(F.col("text"))
+    out = out.withColumns({"text": text, "n_chars": F.when(F.col("__cut"), F.char_length("__text").cast("long")).otherwise(F.col("n_chars"))})
+    return out.where("__cut IS NULL OR trim(text) <> ''").select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    from tempora.llm.decontam import benchmark_leaks as leaks
+
+    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids as byte-level BPE, with their number and the digests of the round trip."""
     from tempora.llm.queries import bpe_digests
@@ -31,6 +63,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language),
+    ("jaccard_join", near_copies),
+    ("suffix_array_dedup", repeated_passages),
+    ("benchmark_decontamination", benchmark_leaks),
     ("bpe", tokens),
 ]
 
@@ -38,6 +73,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what lies between them is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
