@@ -27,9 +27,9 @@ from tempora.llm import blocks as B
 
 LENGTH = 400
 GRAM = 128            # bytes of the anchor's k-gram
-CHUNK = 1 << 19       # starts that are looked at together
+CHUNK = 1 << 18       # starts that are looked at together
 GROUP_REGIONS = 2_048  # different regions of one anchor that go to one group
-TASK_BYTES = 1 << 20  # bytes of regions in a group, about
+TASK_BYTES = 1 << 19  # bytes of regions in a group, about
 END = 0xFF            # after each region; no UTF-8 text holds it, and it is larger than any byte
 POSITION_BITS = 24
 MULTIPLE, SORT, SEND = 1, 2, 4
@@ -250,18 +250,17 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 FOUND = T.StructType([T.StructField("route", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("block", T.IntegerType()),
-                      T.StructField("place", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()),
-                      T.StructField("payload", T.BinaryType())])
-FOUND_ARROW = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("block", pa.int32()), ("place", pa.int32()),
-                         ("h1", pa.int64()), ("h2", pa.int64()), ("payload", pa.binary())])
+                      T.StructField("place", T.IntegerType()), T.StructField("payload", T.BinaryType())])
+FOUND_ARROW = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("block", pa.int32()), ("place", pa.int32()), ("payload", pa.binary())])
+CLASS = np.dtype([("string", "<u8"), ("anchor", "<i8"), ("block", "<i4"), ("place", "<i4"), ("start", "<i4"), ("single", "<i4")])
 
 
-def repeated_starts(table: pa.Table, length: int) -> list[dict]:
+def repeated_starts(table: pa.Table, length: int, routes: int) -> list[dict]:
     """Rows of FOUND for one group of regions (anchor, deals, block, place, multiple, starts, bytes).
 
-    kind 0: the starts of a region that repeat, as bits. kind 1, for an anchor that is dealt over
-    several groups: a class of equal strings, with one of its regions and starts; payload is 1 if
-    nothing in this group repeats it yet.
+    kind 0: the starts of a region that repeat, as bits. kind 1, for anchors that are dealt over
+    several groups: the group's classes of equal strings whose hash has a route, each with one of
+    its regions and starts, and whether nothing in this group repeats it yet.
     """
     texts = [x.as_py() for x in table.column("bytes")]
     n_starts = table.column("starts").to_numpy()
@@ -278,34 +277,43 @@ def repeated_starts(table: pa.Table, length: int) -> list[dict]:
     for i in np.flatnonzero(multiple == 0).tolist():
         flags = hit[sa.base[i]: sa.base[i] + n_starts[i]]
         if flags.any():
-            out.append({"route": int(block[i]), "kind": 0, "block": int(block[i]), "place": int(place[i]), "h1": 0, "h2": 0,
+            out.append({"route": int(block[i]) % routes, "kind": 0, "block": int(block[i]), "place": int(place[i]),
                         "payload": np.packbits(flags).tobytes()})
     heads = np.flatnonzero(~sa.same)
     heads = heads[deals[region[heads]] > 0]
     if len(heads):
-        at = sa.order[heads]
-        h = B.mix(sa.hash.spans(at, at + length)).view(np.int64)
-        for p, x in zip(heads.tolist(), h.tolist()):
-            r = int(region[p])
-            single = weight[classes[p]] == 1
-            start = int(sa.order[p] - sa.base[r])
-            out.append({"route": x, "kind": 1, "block": int(block[r]), "place": int(place[r]), "h1": x, "h2": int(anchor[r]),
-                        "payload": start.to_bytes(4, "little") + bytes([int(single)])})
+        at, r = sa.order[heads], region[heads]
+        rows = np.empty(len(heads), dtype=CLASS)
+        rows["string"] = B.mix(sa.hash.spans(at, at + length))
+        rows["anchor"], rows["block"], rows["place"] = anchor[r], block[r], place[r]
+        rows["start"], rows["single"] = at - sa.base[r], weight[classes[heads]] == 1
+        route = (rows["string"] % B.U(routes)).astype(np.int64)
+        rows, route = rows[(order := np.argsort(route, kind="stable"))], route[order]
+        bounds = np.searchsorted(route, np.arange(routes + 1))
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            out.append({"route": k, "kind": 1, "block": 0, "place": 0, "payload": rows[bounds[k]: bounds[k + 1]].tobytes()})
     return out
 
 
 def match_classes(table: pa.Table) -> pa.Table:
-    """kind 0 as it is; of kind 1 the starts whose string another group has too, as kind 2."""
+    """kind 0 as it is; of kind 1 the places and starts whose string another group has too, as kind 2 by block."""
     plain = table.filter(pc.equal(table.column("kind"), 0))
     dealt = table.filter(pc.equal(table.column("kind"), 1))
     if not len(dealt):
         return plain
-    h1, h2 = dealt.column("h1").to_numpy(), dealt.column("h2").to_numpy()
-    _, inv, n = np.unique(np.stack((h1, h2), axis=1), axis=0, return_inverse=True, return_counts=True)
-    single = np.array([x.as_py()[4] for x in dealt.column("payload")], dtype=bool)
-    found = dealt.filter(pa.array((n[inv.ravel()] > 1) & single))
-    found = found.set_column(1, FOUND_ARROW.field("kind"), pa.array([2] * len(found), pa.int32()))
-    return pa.concat_tables([plain, found])
+    rows = np.frombuffer(b"".join(x.as_py() for x in dealt.column("payload")), dtype=CLASS)
+    order = np.lexsort((rows["anchor"], rows["string"]))
+    rows = rows[order]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (rows["string"][1:] != rows["string"][:-1]) | (rows["anchor"][1:] != rows["anchor"][:-1])
+    group = np.cumsum(new) - 1
+    rows = rows[(np.bincount(group)[group] > 1) & (rows["single"] > 0)]
+    rows = rows[np.argsort(rows["block"], kind="stable")]
+    blocks, first = np.unique(rows["block"], return_index=True)
+    found = [{"route": 0, "kind": 2, "block": int(b), "place": 0,
+              "payload": np.stack((part["place"], part["start"]), axis=1).astype("<i4").tobytes()}
+             for b, part in zip(blocks, np.split(rows, first[1:]))]
+    return pa.concat_tables([plain, pa.Table.from_pylist(found, FOUND_ARROW)])
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -346,10 +354,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         send, "anchor long, grp long, salt long, deals int, block int, place int, multiple int, starts int, bytes binary")
 
     def sort(key, table):
-        return pa.Table.from_pylist(repeated_starts(table.sort_by([("block", "ascending"), ("place", "ascending")]), length), FOUND_ARROW)
+        return pa.Table.from_pylist(repeated_starts(table.sort_by([("block", "ascending"), ("place", "ascending")]), length, n_buckets), FOUND_ARROW)
 
     sorted_ = regions.groupBy("grp", "salt").applyInArrow(sort, FOUND)
-    found = sorted_.withColumn("route", F.pmod("route", F.lit(n_buckets))).groupBy("route").applyInArrow(
+    found = sorted_.groupBy("route").applyInArrow(
         lambda key, table: match_classes(table), FOUND)
     both = told.select("block", "bucket", F.lit(-1).alias("kind"), F.lit(0).alias("place"), "payload").unionByName(
         found.select("block", F.lit(0).alias("bucket"), "kind", "place", "payload"))
@@ -372,12 +380,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for k, place, payload in zip(kind.tolist(), both.column("place").to_pylist(), both.column("payload").to_pylist()):
             if k == -1:
                 continue
-            at = r.of[place]
             if k == 0:
+                at = r.of[place]
                 a, b = runs_of(np.unpackbits(np.frombuffer(payload, np.uint8), count=r.count[at]))
             else:
-                a = np.array([int.from_bytes(payload[:4], "little")])
-                b = a + 1
+                at, a = np.frombuffer(payload, dtype="<i4").reshape(-1, 2).T.astype(np.int64)
+                at, b = r.of[at], a + 1
             np.add.at(edge, r.first[at] + a, 1)
             np.add.at(edge, r.first[at] + b + length - 1, -1)
         gone = np.cumsum(edge[:-1]) > 0
