@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.llm.memory import give_back
+
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 U = np.uint64
@@ -161,6 +163,7 @@ def ask(blocks: DataFrame, request: Callable[[Block], tuple[np.ndarray, np.ndarr
         hashes, payload = request(Block(table))
         bounds = cut(hashes, n_buckets)
         some = np.flatnonzero(np.diff(bounds))
+        give_back()
         return pa.table({
             "bucket": pa.array(some, pa.int32()), "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
             "payload": pa.array([payload[bounds[b]: bounds[b + 1]].tobytes() for b in some], pa.binary())})
@@ -179,6 +182,7 @@ def answer(asked: DataFrame, width: int, reply: Callable[[np.ndarray, np.ndarray
         block = table.column("block").to_numpy()
         out = reply(entries, np.repeat(block, sizes))
         ends = np.cumsum(sizes)
+        give_back()
         return pa.table({
             "block": pa.array(block, pa.int32()), "bucket": pa.array([key[0].as_py()] * len(parts), pa.int32()),
             "payload": pa.array([out[e - s: e].tobytes() for s, e in zip(sizes, ends)], pa.binary())})

@@ -21,8 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_WORDS = 250_000
-SLICE_BYTES = 6 << 20
+from tempora.llm.memory import give_back
+
+CACHE_WORDS = 200_000
+SLICE_BYTES = 3 << 20
+PREPARE_BYTES = 12 << 20
 SHIFT, NONE = 24, (1 << 31) - 1
 GROUP = 400_000
 TRUE = np.ones(1, dtype=bool)
@@ -165,6 +168,10 @@ class _Encoder:
         self.pieces: dict[str, str | None] = {}
         self.heads: dict[str, str | None] = {}
         self.number = {r: str(r) for r in ranks.values()}
+        self.token = {str(r): t for t, r in ranks.items()}
+
+    def forget(self) -> None:
+        self.words, self.pieces, self.heads = {}, {}, {}
 
     def learn(self, words: set[str]) -> None:
         """Ids of new words as text, after a line feed if the word begins with a space and else after a space."""
@@ -213,13 +220,18 @@ class _Encoder:
         return out
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Cuts of a batch with about SLICE_BYTES of the last column's text, a row at least."""
-    rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.column(batch.num_columns - 1).nbytes)))
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts of a batch with about ``size`` bytes of the last column's text, a row at least."""
+    rows = max(1, int(batch.num_rows * size / max(1, batch.column(batch.num_columns - 1).nbytes)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
 
+def decode_ids(token: dict[str, bytes], ids: str) -> bytes:
+    """The bytes of decimal ids separated by spaces."""
+    return b"".join([token[i] for i in ids.split()])
+
+
 def texts_of(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
 
@@ -228,8 +240,9 @@ _WORKER: dict = {}
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep, n_tokens, ids): ``ids`` is the decimal ids joined by one space.
+               text_col: str = "text", keep: tuple[str, ...] = (), decode: bool = False) -> DataFrame:
+    """(id, *keep, n_tokens, ids): ``ids`` is the decimal ids joined by one space; with ``decode`` also
+    ``decoded``, the bytes that the ids stand for, without a second pass over them.
 
     A null or empty text has no tokens and an empty ``ids``; rows are kept one for one, repeated
     rows and null ids too; other columns may have any names. Special tokens' strings are ordinary
@@ -240,6 +253,8 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
     d = docs.select(F.col(id_col), *[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
     fields = [f for f in d.schema.fields if f.name != "__text"]
     schema = T.StructType([*fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.StringType())])
+    if decode:
+        schema = schema.add("decoded", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("bpe", token)  # tables are built once a worker
@@ -248,15 +263,19 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
             _WORKER[key] = _Encoder(*tables.value)
         enc = _WORKER[key]
         for big in batches:
-            gc.disable()  # millions of short-lived lists, none in a cycle
-            enc.prepare(texts_of(b) for b in slices(big))
-            gc.enable()
-            for b in slices(big):
-                ids = enc.encode(texts_of(b))
-                n = [i.count(" ") + 1 if i else 0 for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(n, pa.int64()), pa.array(ids, pa.string())],
-                    names=[*[f.name for f in fields], "n_tokens", "ids"])
+            for group in slices(big, PREPARE_BYTES):
+                gc.disable()  # millions of short-lived lists, none in a cycle
+                enc.prepare(texts_of(b) for b in slices(group))
+                gc.enable()
+                for b in slices(group):
+                    ids = enc.encode(texts_of(b))
+                    n = [i.count(" ") + 1 if i else 0 for i in ids]
+                    out = [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(n, pa.int64()), pa.array(ids, pa.string())]
+                    if decode:
+                        out.append(pa.array([decode_ids(enc.token, x) for x in ids], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        enc.forget()  # the worker may go on to other work
+        give_back()
 
     return d.mapInArrow(run, schema)
 
@@ -273,9 +292,10 @@ def bpe_decode(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids_col
         token = tables.value
         for big in batches:
             for b in slices(big):
-                out = [None if x is None else b"".join([token[i] for i in x.split()])
+                out = [None if x is None else decode_ids(token, x)
                        for x in b.column(b.num_columns - 1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns - 1)], pa.array(out, pa.binary())],
                                                  names=[*[f.name for f in fields], out_col])
+        give_back()
 
     return d.mapInArrow(run, schema)

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tempora.llm import blocks as B
 from tempora.llm.components import connected_components
+from tempora.llm.memory import give_back
 from tempora.session import shared_path
 
 WORDS = 5
@@ -287,6 +288,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         payload = B.as_bytes((B.short_hash(u, n_buckets), B.HASH_BYTES))
         bounds = B.cut(u, n_buckets)
         some = np.flatnonzero(np.diff(bounds))
+        give_back()
         return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
                          "payload": pa.array([payload[bounds[b]: bounds[b + 1]].tobytes() for b in some], pa.binary())})
 
@@ -332,6 +334,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     out_node[i] = number | i
                     out_prefix[i] = h[part][in_prefix[part]].view(np.int64)
                     out_tokens[i] = h[part][shared[part]].tobytes()
+        give_back()
         return pa.table({"id": block.ids, "n_shingles": pa.array(s.size, pa.int64()), "set": pa.array(out_set, pa.int64()),
                          "node": pa.array(out_node, pa.int64()), "prefix": pa.array(out_prefix, pa.list_(pa.int64())),
                          "tokens": pa.array(out_tokens, pa.binary())})
@@ -364,6 +367,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         roots = link_sets(Sets(tokens, table.column("n_shingles").to_numpy(), percent), left, None if low == high else right)
         linked = np.flatnonzero(roots != np.arange(len(roots)))
+        give_back()
         return pa.table({"a": pa.array(node[linked], pa.int64()), "b": pa.array(node[roots[linked]], pa.int64())})
 
     links = dealt.join(sets, "node").groupBy("label", "low", "high").applyInArrow(compare, "a long, b long")

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempora.llm.memory import give_back
+
 SAMPLE_CHARS = 16_384  # characters of each language's sample
 SAMPLE_DOCS = 64       # documents that it is drawn from
 SAMPLE_DOC_CHARS = 8_192
@@ -213,7 +215,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, samples: dict[str, s
         parser = _WORKER[key]
         for b in batches:
             last = b.num_columns - 1
-            rows = max(1, int(b.num_rows * (8 << 20) / max(1, b.column(last).nbytes)))
+            rows = max(1, int(b.num_rows * (4 << 20) / max(1, b.column(last).nbytes)))
             for at in range(0, b.num_rows, rows):
                 x = b.slice(at, rows)
                 name, score, entropy = parser.predict([t or "" for t in x.column(last).to_pylist()])
@@ -221,6 +223,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, samples: dict[str, s
                     [*[x.column(i) for i in range(last)], pa.array(name, pa.string()), pa.array(score, pa.float64()),
                      pa.Array.from_pandas(pd.Series(entropy), type=pa.float64())],
                     names=[*[f.name for f in fields], "lang_pred", "score", "entropy"])
+        give_back()
 
     return d.mapInArrow(run, schema)
 

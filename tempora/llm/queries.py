@@ -31,12 +31,10 @@ def bpe_digests(spark: SparkSession, docs: DataFrame, keep: tuple[str, ...] = ()
     """Every text encoded, its ids decoded, and the digests of both."""
     import public_tokenizers as P
 
-    from tempora.llm.bpe import bpe_decode, bpe_encode
+    from tempora.llm.bpe import bpe_encode
 
-    path = P.path("byte_bpe_50k.tiktoken")
-    ids = bpe_encode(spark, docs, path, P.PATTERN, keep=keep).withColumn("ids_sha256", F.sha2("ids", 256))
-    out = bpe_decode(spark, ids, path)
-    return out.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    out = bpe_encode(spark, docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, keep=keep, decode=True)
+    return out.withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)}).drop("ids", "decoded")
 
 
 @register("op7_bpe")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.llm import blocks as B
+from tempora.llm.memory import give_back
 
 LENGTH = 400
 GRAM = 128            # bytes of the anchor's k-gram
@@ -32,6 +33,7 @@ GROUP_REGIONS = 2_048  # different regions of one anchor that go to one group
 TASK_BYTES = 1 << 19  # bytes of regions in a group, about
 END = 0xFF            # after each region; no UTF-8 text holds it, and it is larger than any byte
 POSITION_BITS = 24
+BLOCK_BYTES = 1 << 20
 MULTIPLE, SORT, SEND = 1, 2, 4
 
 
@@ -327,7 +329,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     too (equal rows repeat each other). Other columns are not read and may have any names.
     """
     gram = max(1, min(GRAM, length // 2))
-    blocks, _, total = B.text_blocks(docs, id_col, text_col)
+    blocks, _, total = B.text_blocks(docs, id_col, text_col, BLOCK_BYTES)
     n_buckets = B.bucket_count(total // 128, 17)
     told = B.answer(B.ask(blocks, partial(ask_regions, length, gram), n_buckets), 17,
                     partial(judge_regions, group_regions))
@@ -354,7 +356,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         send, "anchor long, grp long, salt long, deals int, block int, place int, multiple int, starts int, bytes binary")
 
     def sort(key, table):
-        return pa.Table.from_pylist(repeated_starts(table.sort_by([("block", "ascending"), ("place", "ascending")]), length, n_buckets), FOUND_ARROW)
+        out = repeated_starts(table.sort_by([("block", "ascending"), ("place", "ascending")]), length, n_buckets)
+        give_back()
+        return pa.Table.from_pylist(out, FOUND_ARROW)
 
     sorted_ = regions.groupBy("grp", "salt").applyInArrow(sort, FOUND)
     found = sorted_.groupBy("route").applyInArrow(
@@ -372,7 +376,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         r = Regions(block, length, gram)
         kind = both.column("kind").to_numpy()
         code = B.answers_of(both.filter(pa.array(kind == -1)), np.uint8)
-        edge = np.zeros(len(block.data) + 1, dtype=np.int64)
+        edge = np.zeros(len(block.data) + 1, dtype=np.int32)
         if len(code):
             whole = np.flatnonzero(((code & MULTIPLE) > 0)[r.place])  # every string of such a region repeats
             np.add.at(edge, r.first[whole], 1)
@@ -388,12 +392,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 at, b = r.of[at], a + 1
             np.add.at(edge, r.first[at] + a, 1)
             np.add.at(edge, r.first[at] + b + length - 1, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
         n_bytes = np.diff(block.off)
         before = np.concatenate(([0], np.cumsum(gone)))
         n_removed = before[block.off[1:]] - before[block.off[:-1]]
         kept = block.data[~gone].tobytes()
         at = block.off - before[block.off]
+        give_back()
         lists, texts = [], []
         for i in range(block.n):
             a, b = runs_of(gone[block.off[i]: block.off[i + 1]]) if n_removed[i] else ((), ())
