@@ -46,10 +46,9 @@ def split_pair(text: str | Column, sep: str = ",") -> tuple[Column, Column]:
 
 
 def int_div(a: str | Column, b: str | Column | int) -> Column:
-    """Integer division (floor for non-negative operands), e.g. 3600 // 5."""
+    """Integer division (toward zero), e.g. 3600 // 5; exact over the whole range of a long."""
     rhs = (F.lit(b) if isinstance(b, int) else _col(b)).cast("bigint")
-    lhs = _col(a).cast("bigint")
-    return ((lhs - F.pmod(lhs, rhs)) / rhs).cast("bigint")
+    return F.call_function("div", _col(a).cast("bigint"), rhs)
 
 
 def linspace_value(start: str | Column, stop: str | Column, i: str | Column, n: int, endpoint: bool = True) -> Column:
@@ -73,7 +72,8 @@ def even_timestamp(start: str | Column, stop: str | Column, i: str | Column, per
     e_us = F.unix_micros(_col(stop).cast("timestamp"))
     num = (e_us - s_us) * _col(i).cast("bigint")
     d = F.lit(int(periods - 1))
-    step = ((num - F.pmod(num, d)) / d).cast("bigint")  # exact: the numerator is a multiple of d
+    # Exact division that rounds down, for a series that runs backwards too.
+    step = F.call_function("div", num - F.pmod(num, d), d)
     return F.timestamp_micros(s_us + step).cast("timestamp_ntz")
 
 

@@ -27,6 +27,13 @@ def data_now(df: DataFrame, time_col: str = "dt") -> Column:
     return df.agg(F.max(time_col)).scalar()
 
 
+def lookback_to_newest(df: DataFrame, interval: str, time_col: str = "dt") -> DataFrame:
+    """B10 with "now" as the table's newest time: the bound is computed inside the subquery, so that it
+    is one value when the scan starts and is pushed to it (``newest - interval`` outside isn't)."""
+    bound = df.agg(minus_interval(F.max(time_col), interval).alias("bound")).scalar()
+    return df.where(F.col(time_col) > bound)
+
+
 def lookback(df: DataFrame, as_of: str | Column, interval: str, time_col: str = "dt") -> DataFrame:
     """Rows with ``as_of - interval < dt <= as_of`` (strict lower bound, as the original).
 
@@ -55,9 +62,8 @@ def bucket_lookback_on_raw(df: DataFrame, as_of: str | Column, interval: str, wi
 
 
 def rows_at_max(df: DataFrame, time_col: str = "dt") -> DataFrame:
-    """Every row at the maximum ``time_col`` (aggregate + join, no global sort)."""
-    top = df.agg(F.max(time_col).alias(time_col))
-    return df.join(top, on=time_col, how="left_semi")
+    """Every row at the maximum ``time_col``; an equality with a scalar subquery, which reaches the scan."""
+    return df.where(F.col(time_col) == data_now(df, time_col))
 
 
 def latest_row(df: DataFrame, time_col: str = "dt", tiebreak: Sequence[str] = ()) -> DataFrame:
