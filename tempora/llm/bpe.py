@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.llm.memory import give_back
+from tempora.llm.memory import give_back, small_batches
 
 CACHE_WORDS = 200_000
 SLICE_BYTES = 3 << 20
@@ -227,6 +227,20 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.Record
         yield batch.slice(at, rows)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches, cut if they are larger, that hold about ``size`` bytes of the last column's text together."""
+    held, held_bytes = [], 0
+    for big in batches:
+        for b in slices(big, size):
+            held.append(b)
+            held_bytes += b.column(b.num_columns - 1).nbytes
+            if held_bytes >= size:
+                yield held
+                held, held_bytes = [], 0
+    if held:
+        yield held
+
+
 def decode_ids(token: dict[str, bytes], ids: str) -> bytes:
     """The bytes of decimal ids separated by spaces."""
     return b"".join([token[i] for i in ids.split()])
@@ -248,6 +262,7 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
     rows and null ids too; other columns may have any names. Special tokens' strings are ordinary
     text. The rank table (a file of fixed size) is read on the driver and broadcast.
     """
+    small_batches(spark)
     tables = spark.sparkContext.broadcast((load_ranks(ranks_path), pattern))
     token = uuid.uuid4().hex
     d = docs.select(F.col(id_col), *[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
@@ -262,18 +277,17 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
             _WORKER.clear()
             _WORKER[key] = _Encoder(*tables.value)
         enc = _WORKER[key]
-        for big in batches:
-            for group in slices(big, PREPARE_BYTES):
-                gc.disable()  # millions of short-lived lists, none in a cycle
-                enc.prepare(texts_of(b) for b in slices(group))
-                gc.enable()
-                for b in slices(group):
-                    ids = enc.encode(texts_of(b))
-                    n = [i.count(" ") + 1 if i else 0 for i in ids]
-                    out = [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(n, pa.int64()), pa.array(ids, pa.string())]
-                    if decode:
-                        out.append(pa.array([decode_ids(enc.token, x) for x in ids], pa.binary()))
-                    yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        for group in gathered(batches, PREPARE_BYTES):
+            gc.disable()  # millions of short-lived lists, none in a cycle
+            enc.prepare(texts_of(b) for big in group for b in slices(big))
+            gc.enable()
+            for b in (b for big in group for b in slices(big)):
+                ids = enc.encode(texts_of(b))
+                n = [i.count(" ") + 1 if i else 0 for i in ids]
+                out = [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(n, pa.int64()), pa.array(ids, pa.string())]
+                if decode:
+                    out.append(pa.array([decode_ids(enc.token, x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
         enc.forget()  # the worker may go on to other work
         give_back()
 
@@ -283,6 +297,7 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
 def bpe_decode(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids_col: str = "ids",
                out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that its ids stand for (null ids: null; no ids: empty) in place of the ids."""
+    small_batches(spark)
     tables = spark.sparkContext.broadcast({str(r): t for t, r in load_ranks(ranks_path).items()})
     fields = [f for f in encoded.schema.fields if f.name != ids_col]
     schema = T.StructType([*fields, T.StructField(out_col, T.BinaryType())])

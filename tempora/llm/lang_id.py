@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.llm.memory import give_back
+from tempora.llm.memory import give_back, small_batches
 
 SAMPLE_CHARS = 16_384  # characters of each language's sample
 SAMPLE_DOCS = 64       # documents that it is drawn from
@@ -198,6 +198,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, samples: dict[str, s
     samples. Texts are parsed whole, whatever their length; ties go to the first name in order.
     The samples are bounded by their parameters and broadcast.
     """
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(samples)
     token = uuid.uuid4().hex
     d = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
