@@ -13,6 +13,7 @@ Every path is a shared folder; checkpoints go under ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 import sys
 
@@ -50,15 +51,23 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--seconds", type=float, default=3600)
     s.add_argument("--iterations", type=int, default=1)
     s.add_argument("--trigger", default="5 seconds")
+    s.add_argument("--checkpoint", default=None)
     s.add_argument("--max-files-per-trigger", type=int, default=None)
 
-    la = sub.add_parser("land", help="weather messages -> flattened Parquet drops named by time")
+    la = sub.add_parser("land", help="weather or price messages -> flattened Parquet drops named by time")
     la.add_argument("--messages", required=True)
     la.add_argument("--drops", required=True)
+    la.add_argument("--kind", choices=("weather", "prices"), default="weather")
+    la.add_argument("--checkpoint", default=None)
     la.add_argument("--available-now", action="store_true")
     return ap
 
 
+def _checkpoint(spark: SparkSession, job: str, output: str, given: str | None) -> str:
+    """A job's own checkpoint: the given one, or one named after its output."""
+    return given or shared_path(spark, f"{job}_checkpoint", hashlib.sha256(output.rstrip("/").encode()).hexdigest()[:16])
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> str:
     """Run one job; returns a short description of what was written."""
     args = _parser().parse_args(argv)
@@ -91,7 +100,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         preds = KeyedTable(args.predictions, keys=["dt", "id"], compact_every=100)
         stream = message_stream(spark, args.messages, max_files_per_trigger=args.max_files_per_trigger)
         rejects = args.rejects or args.predictions.rstrip("/") + "_rejects"
-        score_for(spark, stream, args.model_dir, preds, rejects, shared_path(spark, "scoring_checkpoint"),
+        score_for(spark, stream, args.model_dir, preds, rejects, _checkpoint(spark, "scoring", args.predictions, args.checkpoint),
                   seconds=args.seconds, iterations=args.iterations, processing_time=args.trigger)
         return f"predictions in {args.predictions}"
 
@@ -99,8 +108,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         from tempora.streaming.landing import start_landing
         from tempora.streaming.sources import message_stream, run_available
 
-        q = start_landing(message_stream(spark, args.messages), args.drops, shared_path(spark, "landing_checkpoint"),
-                          available_now=args.available_now)
+        q = start_landing(message_stream(spark, args.messages), args.drops, _checkpoint(spark, "landing", args.drops, args.checkpoint),
+                          available_now=args.available_now, kind=args.kind)
         if args.available_now:
             run_available(q)
         else:

@@ -27,9 +27,11 @@ def two_decimals(c: str | Column) -> Column:
 
     '%.2f' rounds the exact binary value (1.005 is 1.00499... and gives 1.00),
     whereas ``round(x, 2)`` rounds the shortest decimal text half-up (1.01);
-    formatting then parsing keeps the original's numbers.
+    formatting then parsing keeps the original's numbers. NaN and infinity stay.
     """
-    return two_decimals_text(c).cast("double")
+    x = _col(c).cast("double")
+    special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return F.when(special, x).otherwise(two_decimals_text(c).try_cast("double"))
 
 
 def two_decimals_text(c: str | Column) -> Column:

@@ -7,7 +7,6 @@ coefficient-sized data reaches the driver.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -99,10 +98,19 @@ def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
+MODEL_MARKER = "_COMPLETE"
+
+
 def save_model(model: LinearRegressionModel, directory: str, version: str) -> str:
-    """Save to ``directory/version`` (a new folder per version; a folder in use is never overwritten)."""
+    """Save to ``directory/version`` (a new folder per version; a folder in use is never overwritten).
+
+    MODEL_MARKER is written last: a folder without it is still being saved, or was left half-way.
+    """
     path = directory.rstrip("/") + "/" + version
     model.write().overwrite().save(path)
+    sc = SparkSession.active().sparkContext
+    marker = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{MODEL_MARKER}")
+    marker.getFileSystem(sc._jsc.hadoopConfiguration()).create(marker, True).close()
     return path
 
 
@@ -112,10 +120,11 @@ def load_model(path: str) -> LinearRegressionModel:
 
 
 def newest_model_path(spark: SparkSession, directory: str) -> str:
-    """The most recent version folder (versions sort by name: zero-padded counters or timestamps)."""
-    from tempora.sources.files import list_entries
-
-    names = sorted(list_entries(spark, directory))
-    if not names:
-        raise ValueError(f"no model under {directory}")
-    return os.path.join(directory, names[-1]) if "://" not in directory else directory.rstrip("/") + "/" + names[-1]
+    """The version saved last, whatever the versions' names: by the time of the completeness marker, then by name."""
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/*/{MODEL_MARKER}")
+    found = pattern.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    versions = [(s.getModificationTime(), s.getPath().getParent().getName()) for s in found]
+    if not versions:
+        raise ValueError(f"no complete model under {directory}")
+    return f"{directory.rstrip('/')}/{max(versions)[1]}"

@@ -718,39 +718,38 @@ def city_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the available input (availableNow), with checkpoints and sinks in the shared
 # folder, and returns the sink's content.
 # ---------------------------------------------------------------------------
-_READING_COLS = ["dt", "user_id", "event_type", "value", "k"]
+_BOUNDED = {"maxBytesPerTrigger": str(64 << 30)}  # of a micro-batch, at the throughput of a large cluster
 
 
 @register("stream_bucket_avg", f"""
 WITH b AS ({_sql_readings(300, True)}),
 a AS (SELECT dt, round(avg(value), 6) AS avg_value, round(avg(k), 6) AS avg_k, round(avg(user_id), 6) AS avg_user_id
       FROM b GROUP BY dt)
-SELECT * FROM a WHERE dt <= (SELECT max(dt) FROM b) - INTERVAL '900 seconds'
+SELECT * FROM a
 """)
 def stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-minute averages as a stream with a 10-minute watermark; closed buckets only."""
+    """5-minute averages kept by a stream, every bucket of all rows."""
     from tempora.session import shared_path
-    from tempora.streaming.bucket_stream import stream_bucket_averages
+    from tempora.sources.sinks import KeyedTable
+    from tempora.streaming.bucket_stream import start_bucket_averages
     from tempora.streaming.sources import run_available
 
     base = shared_path(spark, "stream_bucket_avg", unique=True)
     stream = S.events_to_readings(S.events_stream(spark, sf_dir))
-    avgs = stream_bucket_averages(stream, S.STANDIN_AVERAGES, width_seconds=300, delay="10 minutes",
-                                  dedup_cols=_READING_COLS)
-    q = (avgs.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/_ckpt")
-         .trigger(availableNow=True).start(f"{base}/out"))
-    run_available(q)
-    return _round(spark.read.parquet(f"{base}/out"), S.STANDIN_AVERAGES)
+    table = KeyedTable(f"{base}/table", keys=["dt"])
+    run_available(start_bucket_averages(stream, S.STANDIN_AVERAGES, f"{base}/rows", table, f"{base}/_ckpt",
+                                        width_seconds=300, available_now=True))
+    return _round(table.read(spark), S.STANDIN_AVERAGES)
 
 
-def _publish_events(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
-    """The events as weather messages, one JSON per line, in ``files`` files."""
+def _publish_events(spark: SparkSession, sf_dir: str) -> str:
+    """The events as weather messages, one JSON per line, a file per input partition."""
     from tempora.session import shared_path
     from tempora.sources.sinks import publish_json
     from tempora.streaming.messages import weather_messages_from_events
 
     path = shared_path(spark, "topic_weather", unique=True)
-    publish_json(weather_messages_from_events(S.table(spark, sf_dir, "events")), path, files=files)
+    publish_json(weather_messages_from_events(S.table(spark, sf_dir, "events")), path)
     return path
 
 
@@ -761,7 +760,7 @@ SELECT id, dt, main_temp FROM (
   FROM events) WHERE rn = 1
 """)
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10 + A5/A7: messages in four files, one file per micro-batch, upserted on ``id`` (newest ``dt`` wins)."""
+    """A10 + A5/A7: messages in micro-batches of bounded size, upserted on ``id`` (newest ``dt`` wins)."""
     from tempora.session import shared_path
     from tempora.sources.sinks import KeyedTable
     from tempora.streaming.messages import parse_weather_messages
@@ -770,7 +769,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _publish_events(spark, sf_dir)
     base = shared_path(spark, "stream_upsert", unique=True)
     table = KeyedTable(f"{base}/table", keys=["id"], order=["dt", "main_temp"])
-    parsed = parse_weather_messages(message_stream(spark, topic, max_files_per_trigger=1))
+    parsed = parse_weather_messages(message_stream(spark, topic, options=_BOUNDED))
     q = (parsed.select("id", "dt", "main_temp").writeStream
          .foreachBatch(table.upsert_stream_batch).option("checkpointLocation", f"{base}/_ckpt")
          .trigger(availableNow=True).start())
@@ -795,7 +794,7 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                            {"avg_value": "main_temp", "avg_k": "main_humidity", "avg_price": "price"})
     save_model(fit_linear(assemble(train, features)), f"{base}/models", "v000001")
     preds = KeyedTable(f"{base}/predictions", keys=["dt", "id"])
-    q = start_scoring(spark, message_stream(spark, _publish_events(spark, sf_dir), max_files_per_trigger=2),
+    q = start_scoring(spark, message_stream(spark, _publish_events(spark, sf_dir), options=_BOUNDED),
                       f"{base}/models", preds, f"{base}/rejects", f"{base}/_ckpt", features=features,
                       available_now=True)
     run_available(q)

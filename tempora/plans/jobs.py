@@ -30,9 +30,11 @@ def refresh_batch_view(spark: SparkSession, weather_dir: str, prices_dir: str, v
     Executors write the rows; nothing is collected. Returns the batch id used.
     """
     table = newest_weather_price_table(spark, weather_dir, prices_dir, shift_seconds)
-    bid = view.next_batch_id(spark) if batch_id is None else batch_id
-    view.write_batch(table.select(*BATCH_VIEW_COLUMNS), bid)
-    return bid
+    rows = table.select(*BATCH_VIEW_COLUMNS)
+    if batch_id is None:
+        return view.append(rows)
+    view.write_batch(rows, batch_id)
+    return batch_id
 
 
 def retrain(spark: SparkSession, weather_dir: str, prices_dir: str, model_dir: str,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions.timebuckets import epoch_seconds
-from tempora.sources.files import read_table
+from tempora.sources.files import is_folder, read_table
 
 # Fixed stand-in parameters (chosen once for the benchmark tables).
 ORDERS_SHIFT_SECONDS = 915_148_800     # 10,592 days: 1995-01-01 -> 2024-01-01
@@ -62,12 +62,14 @@ def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``events`` as a file stream (the folder holds every table; a glob keeps this one)."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    """``events`` as a file stream: a folder of part files, or one file (then a glob keeps it apart from its neighbours)."""
+    path = os.path.join(sf_dir, "events.parquet")
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def price_ticks(spark: SparkSession, sf_dir: str, prefilter=None) -> DataFrame:

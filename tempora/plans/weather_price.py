@@ -19,7 +19,7 @@ from tempora.constants import (
     WEATHER_AVERAGES,
     WEATHER_DROPPED,
 )
-from tempora.functions.timebuckets import bucket_start, epoch_seconds, parse_time_epoch
+from tempora.functions.timebuckets import ACCEPTED_TIME_FORMATS, bucket_start, epoch_seconds, parse_time_epoch
 from tempora.operators.aggregates import distinct_rows, exact_avg, group_averages
 from tempora.operators.joins import bucket_join
 
@@ -61,12 +61,12 @@ def price_bucket_averages(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN,
     'timestamp', or 'epoch' seconds. ``exact_scale`` (decimals of the price)
     averages the price exactly instead of by floating summation.
 
-    Rows whose time text does not parse get a NULL bucket and form one NULL
-    group, which the inner join then drops (use ``operators.projections.split_by`` to keep
-    them in a reject table).
+    Time texts are parsed by any of the listed layouts (``ACCEPTED_TIME_FORMATS``); rows that
+    none fits are in ``price_time_rejects`` and in no bucket.
     """
     if time_kind == "text":
-        epoch = parse_time_epoch(time_col)
+        epoch = parse_time_epoch(time_col, ACCEPTED_TIME_FORMATS)
+        prices = prices.where(epoch.isNotNull())
     elif time_kind == "timestamp":
         epoch = epoch_seconds(time_col)
     elif time_kind == "epoch":
@@ -82,6 +82,11 @@ def price_bucket_averages(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN,
     return p.groupBy(out_key).agg(avg.alias(out_value))
 
 
+def price_time_rejects(prices: DataFrame, time_col: str = PRICE_TIME_COLUMN) -> DataFrame:
+    """The rows whose time text fits no listed layout (or is NULL): what ``price_bucket_averages`` leaves out."""
+    return prices.where(parse_time_epoch(time_col, ACCEPTED_TIME_FORMATS).isNull())
+
+
 def weather_price_table(weather_avgs: DataFrame, price_avgs: DataFrame, key: str = "dt",
                         price_key: str = "dt_prices") -> DataFrame:
     """Inner join on the bucket, price key dropped."""

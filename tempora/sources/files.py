@@ -37,6 +37,12 @@ def list_entries(spark: SparkSession, directory: str) -> list[str]:
     return [n for n in names if not n.startswith((".", "_"))]
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a directory, through the Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def newest_drop_name(names: Sequence[str], strict: bool = True) -> str:
     """A2/H8: the name whose first 19 characters (yyyy-MM-dd-HH-mm-ss) are the latest.
 

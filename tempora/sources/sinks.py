@@ -2,15 +2,20 @@
 
 ``KeyedTable`` gives upsert semantics on plain Parquet, with no table format:
 
-- every write is one *batch* folder ``log/batch_id=N``, overwritten as a whole,
-  so replaying batch N (after a failure, or an at-least-once source) rewrites
-  the same rows instead of adding copies;
+- every write is one *batch* folder ``log/batch_id=N``, overwritten as a whole.
+  N is a table-wide sequence: a writer claims the next number for its own
+  (stream id, batch id) with an exclusively created file under ``claims/``. A
+  replayed batch finds its claim and rewrites the same folder; another stream,
+  or the same one with a fresh checkpoint, gets new numbers and never
+  overwrites earlier rows;
 - a read takes, per key, the row with the greatest ``(order..., batch_id)``:
   ``max(struct)`` is algebraic, so it is partial-aggregated before the shuffle
   and a hot key is never gathered in one task;
 - ``compact`` writes that result as ``snapshot/batch_id=N`` (a cut in lineage
   and in files to read); later reads scan the newest complete snapshot plus
-  the batches after it, which partition pruning selects.
+  the batches after it, which partition pruning selects. It stops before the
+  first number that is claimed but not written yet, so that no batch still
+  being written is passed over.
 
 The table lives in a shared folder (HDFS / object store), so it survives the
 loss of any executor; a folder is complete when Spark's ``_SUCCESS`` marker is
@@ -19,6 +24,7 @@ in it, and incomplete ones are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,22 +33,21 @@ from pyspark.sql import functions as F
 BATCH_COL = "batch_id"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _complete_batches(spark: SparkSession, directory: str) -> list[int]:
-    from tempora.sources.files import list_entries
+    """Ids of the folders with Spark's marker, by one listing call."""
+    fs, pattern = _file_system(spark, f"{directory}/{BATCH_COL}=*/_SUCCESS")
+    found = fs.globStatus(pattern) or []
+    return sorted(int(s.getPath().getParent().getName().split("=", 1)[1]) for s in found)
 
-    if not _exists(spark, directory):
-        return []
-    ids = []
-    for name in list_entries(spark, directory):
-        if name.startswith(f"{BATCH_COL}=") and _exists(spark, f"{directory}/{name}/_SUCCESS"):
-            ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
+
+def stream_id(spark: SparkSession) -> str | None:
+    """The id of the streaming query that runs this code (inside ``foreachBatch``); it stays with its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 class KeyedTable:
@@ -66,8 +71,43 @@ class KeyedTable:
     def snapshot_dir(self) -> str:
         return f"{self.path}/snapshot"
 
+    @property
+    def claims_dir(self) -> str:
+        return f"{self.path}/claims"
+
+    def _claims(self, spark: SparkSession) -> list[tuple[int, str | None, int]]:
+        """(sequence number, stream, batch) of each claim; a number without its claim file has no stream."""
+        fs, pattern = _file_system(spark, f"{self.claims_dir}/*")
+        out = []
+        for status in fs.globStatus(pattern) or []:
+            n, _, rest = status.getPath().getName().partition(".")
+            stream, _, batch = rest.rpartition(".")
+            out.append((int(n), stream or None, int(batch or -1)))
+        return out
+
+    def claim(self, spark: SparkSession, stream: str, batch_id: int) -> int:
+        """The table-wide sequence number of a stream's batch: the one it has, or the next free one."""
+        claims = self._claims(spark)
+        for n, s, b in claims:
+            if (s, b) == (stream, int(batch_id)):
+                return n
+        taken = [n for n, _, _ in claims] + self.applied_batches(spark) + _complete_batches(spark, self.snapshot_dir)
+        n = max(taken, default=-1) + 1
+        while True:
+            fs, number = _file_system(spark, f"{self.claims_dir}/{n}")
+            if fs.createNewFile(number):  # false if another writer was first
+                fs.createNewFile(_file_system(spark, f"{self.claims_dir}/{n}.{stream}.{int(batch_id)}")[1])
+                return n
+            n += 1
+
+    def append(self, df: DataFrame) -> int:
+        """Upsert one batch under the next sequence number, which it returns."""
+        n = self.claim(df.sparkSession, uuid.uuid4().hex, 0)
+        self.write_batch(df, n)
+        return n
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Upsert one batch (idempotent for a given ``batch_id``)."""
+        """Upsert one batch under a sequence number of the caller's (idempotent for a given number)."""
         latest = self._latest(df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")), df.columns)
         # Sorted by key inside each file, so row-group statistics let key filters skip data.
         latest.drop(BATCH_COL).sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(
@@ -89,15 +129,15 @@ class KeyedTable:
         return out.select(*self.keys, *[F.col(f"_best.{c}").alias(c) for c in payload],
                           F.col(f"_best._o{len(rank) - 1}").alias(BATCH_COL))
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        """Current state (one row per key), or None when nothing was written yet."""
+    def read(self, spark: SparkSession, up_to: int | None = None) -> DataFrame | None:
+        """Current state (one row per key), or None when nothing was written yet; ``up_to``: of the batches up to it."""
         snaps = _complete_batches(spark, self.snapshot_dir)
         parts = []
         snap_id = -1
         if snaps:
             snap_id = snaps[-1]
             parts.append(spark.read.parquet(f"{self.snapshot_dir}/{BATCH_COL}={snap_id}"))
-        batches = [b for b in self.applied_batches(spark) if b > snap_id]
+        batches = [b for b in self.applied_batches(spark) if b > snap_id and (up_to is None or b <= up_to)]
         if batches:
             log = spark.read.option("basePath", self.log_dir).parquet(
                 *[f"{self.log_dir}/{BATCH_COL}={b}" for b in batches])
@@ -116,14 +156,16 @@ class KeyedTable:
 
     def compact(self, spark: SparkSession) -> int | None:
         """Write the current state as a snapshot at the newest batch id; returns that id."""
+        snaps = _complete_batches(spark, self.snapshot_dir)
+        covered = snaps[-1] if snaps else -1
         ids = self.applied_batches(spark)
+        done = set(ids)
+        open_ = [n for n, _, _ in self._claims(spark) if n > covered and n not in done]
+        ids = [b for b in ids if b > covered and b < min(open_, default=b + 1)]
         if not ids:
-            return None
-        state = self.read(spark)
+            return covered if snaps else None
         top = ids[-1]
-        snaps = _complete_batches(spark, self.snapshot_dir)
-        if snaps and snaps[-1] >= top:
-            return snaps[-1]
+        state = self.read(spark, up_to=top)
         state.withColumn(BATCH_COL, F.lit(top).cast("bigint")).write.mode("overwrite").parquet(
             f"{self.snapshot_dir}/{BATCH_COL}={top}")
         return top
@@ -141,22 +183,33 @@ class KeyedTable:
         keep = snaps[-1]
         doomed = [f"{self.log_dir}/{BATCH_COL}={b}" for b in self.applied_batches(spark) if b <= keep]
         doomed += [f"{self.snapshot_dir}/{BATCH_COL}={b}" for b in snaps[:-1]]
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for d in doomed:
-            p = jvm.org.apache.hadoop.fs.Path(d)
-            p.getFileSystem(conf).delete(p, True)
+        # Of a stream only the newest claim can still be asked for, by a replay.
+        claims = self._claims(spark)
+        newest: dict[str, int] = {}
+        for _, s, b in claims:
+            if s is not None:
+                newest[s] = max(b, newest.get(s, -1))
+        old = [f"{n}.{s}.{b}" if s is not None else f"{n}" for n, s, b in claims
+               if n <= keep and (s is None or b < newest[s])]
+        for d in [*doomed, *[f"{self.claims_dir}/{name}" for name in old]]:
+            fs, p = _file_system(spark, d)
+            fs.delete(p, True)
         return len(doomed)
 
-    def upsert_stream_batch(self, df: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` callback: a micro-batch replayed with the same id rewrites the same folder.
+    def upsert_stream_batch(self, df: DataFrame, batch_id: int, stream: str | None = None) -> None:
+        """``foreachBatch`` callback: a replayed micro-batch of a stream rewrites the same folder.
 
-        With ``compact_every=n``, every n-th batch also compacts and vacuums, so a
+        ``stream`` names the writer; by default it is the running query's id. With
+        ``compact_every=n``, every n-th batch also compacts and vacuums, so a
         long-running stream keeps a bounded number of folders to read.
         """
-        self.write_batch(df, batch_id)
-        if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
-            spark = df.sparkSession
+        spark = df.sparkSession
+        n = self.claim(spark, stream or stream_id(spark) or "direct", batch_id)
+        snaps = _complete_batches(spark, self.snapshot_dir)
+        if snaps and snaps[-1] >= n:  # a replay of what the snapshot holds
+            return
+        self.write_batch(df, n)
+        if self.compact_every and (n + 1) % self.compact_every == 0:
             self.compact(spark)
             self.vacuum(spark)
 

@@ -1,43 +1,83 @@
 """Streaming bucket averages (X1) and scoring of bucket averages.
 
-The stream form of L1's weather half: bucket -> de-duplicate -> average, with a
-watermark so that state for closed buckets is dropped and each bucket is
-emitted once (append mode). A bucket is closed when the watermark (newest
-event time seen minus ``delay``) passes its end; the batch form and the stream
-form agree on closed buckets.
+The stream form of L1's weather half: bucket -> de-duplicate -> average. Every
+micro-batch lands its rows by day and recomputes the buckets that it touches
+from all rows landed so far; the result is upserted by bucket. A row may come
+as late as it likes, open buckets are served too, and once a stream has read
+its input the table equals the batch form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tempora.constants import BUCKET_SECONDS
 from tempora.functions.timebuckets import bucket_start
+from tempora.plans.weather_price import weather_bucket_averages
+from tempora.sources.sinks import KeyedTable, stream_id
 
 
-def stream_bucket_averages(readings: DataFrame, averages: Mapping[str, str], time_col: str = "dt",
-                           width_seconds: int = BUCKET_SECONDS, delay: str = "10 minutes",
-                           dedup_cols: Sequence[str] | None = None) -> DataFrame:
-    """Per-bucket averages of an epoch-time stream, emitted when the bucket closes.
+def land_by_day(batch: DataFrame, directory: str, name: str, time_col: str = "dt") -> None:
+    """Write a batch's rows under ``day=.../batch=name``; a replay replaces them. Rows without a time get the null day."""
+    (batch.withColumns({"day": F.to_date(F.timestamp_seconds(time_col)), "batch": F.lit(name)})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(directory))
 
-    Exact copies within a bucket collapse first (``dedup_cols``: the reading's
-    columns, bucket included), as in the batch job (Q2); the bucket is part of
-    the de-duplication key, so its state is dropped with the watermark.
+
+def touched_bucket_averages(spark: SparkSession, batch: DataFrame, directory: str, averages: Mapping[str, str],
+                            time_col: str = "dt", width_seconds: int = BUCKET_SECONDS,
+                            dedup: bool = True) -> DataFrame:
+    """Averages of the buckets in ``batch`` over all landed rows of them.
+
+    The join on the day prunes the scan to the days of these buckets (a bucket may begin on the
+    day before its rows, so both days are asked for).
     """
-    b = readings.withColumn("_bucket", bucket_start(time_col, width_seconds).cast("timestamp")).withWatermark(
-        "_bucket", delay)
-    if dedup_cols is not None:
-        b = b.dropDuplicates(["_bucket", *[c for c in dedup_cols if c != time_col]])
-    out = b.groupBy(F.window("_bucket", f"{int(width_seconds)} seconds")).agg(
-        *[F.avg(c).alias(a) for a, c in averages.items()])
-    return out.select(F.col("window.start").cast("timestamp_ntz").alias("dt"), *averages.keys())
+    bucket = bucket_start(time_col, width_seconds)
+    asked = batch.where(F.col(time_col).isNotNull()).select(bucket.alias("_bucket")).distinct()
+    ends = F.col("_bucket") + F.make_dt_interval(secs=F.lit(width_seconds - 1))
+    asked = asked.select("_bucket", F.explode(F.sequence(F.to_date("_bucket"), F.to_date(ends))).alias("day"))
+    schema = T.StructType([*batch.schema.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.StringType())])
+    landed = spark.read.schema(schema).parquet(directory)
+    rows = landed.withColumn("_bucket", bucket).join(asked, ["day", "_bucket"], "left_semi")
+    return weather_bucket_averages(rows.drop("_bucket", "day", "batch"), time_col, width_seconds, averages, drop=[],
+                                   dedup=dedup)
+
+
+def start_bucket_averages(readings: DataFrame, averages: Mapping[str, str], directory: str, table: KeyedTable,
+                          checkpoint: str, time_col: str = "dt", width_seconds: int = BUCKET_SECONDS,
+                          dedup: bool = True, available_now: bool = False) -> StreamingQuery:
+    """Keep ``table`` (keyed by ``time_col``) at the averages of all rows that the stream has read.
+
+    Exact copies within a bucket collapse first, as in the batch job (Q2); rows land in
+    ``directory``. Rows without a time stay there under the null day and belong to no bucket.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read twice: landed, then asked for its buckets
+        try:
+            land_by_day(batch, directory, f"{stream_id(spark)}-{int(batch_id)}", time_col)
+            table.upsert_stream_batch(
+                touched_bucket_averages(spark, batch, directory, averages, time_col, width_seconds, dedup), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = readings.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def score_bucket_averages(bucket_avgs: DataFrame, model, features: Sequence[str]) -> DataFrame:
-    """The model applied to bucket averages (what it was trained on), not to single readings."""
+    """The model applied to bucket averages (what it was trained on), not to single readings.
+
+    A bucket with a NULL feature can't be scored: it stays, with a NULL prediction.
+    """
     from tempora.operators.ml import assemble
 
-    return model.transform(assemble(bucket_avgs, features, handle_invalid="skip")).select("dt", "prediction")
+    scored = model.transform(assemble(bucket_avgs, features, handle_invalid="skip")).select("dt", "prediction")
+    missing = F.greatest(*[F.col(f).isNull() for f in features], F.lit(False))
+    return scored.unionByName(bucket_avgs.where(missing).select("dt", F.lit(None).cast("double").alias("prediction")))

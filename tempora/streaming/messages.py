@@ -30,7 +30,15 @@ WEATHER_MESSAGE_SCHEMA = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("main", T.StringType()),
         T.StructField("description", T.StringType()), T.StructField("icon", T.StringType()),
     ]))),
+    T.StructField("coord", T.StructType([T.StructField("lon", _D), T.StructField("lat", _D)])),
+    T.StructField("sys", T.StructType([
+        T.StructField("type", T.LongType()), T.StructField("id", T.LongType()), T.StructField("country", T.StringType()),
+        T.StructField("sunrise", T.LongType()), T.StructField("sunset", T.LongType()),
+    ])),
+    T.StructField("base", T.StringType()),
+    T.StructField("timezone", T.LongType()),
     T.StructField("id", T.LongType()),
+    T.StructField("name", T.StringType()),
     T.StructField("cod", T.LongType()),
 ])
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tempora.constants import FEATURES_7
 from tempora.operators.ml import assemble, load_model, newest_model_path
-from tempora.sources.sinks import KeyedTable
+from tempora.sources.sinks import KeyedTable, stream_id
 from tempora.streaming.messages import parse_weather_messages
 
 
@@ -61,8 +61,9 @@ def start_scoring(spark: SparkSession, messages: DataFrame, model_dir: str, pred
         batch = batch.persist()
         try:
             good, bad = message_rejects(batch, features)
-            predictions.write_batch(score(good, cache.current(), features), batch_id)
-            bad.drop("weather").write.mode("overwrite").parquet(f"{rejects_path}/batch_id={int(batch_id)}")
+            predictions.upsert_stream_batch(score(good, cache.current(), features), batch_id)
+            own = f"stream={stream_id(spark)}/batch_id={int(batch_id)}"  # a fresh checkpoint is another stream
+            bad.drop("weather").write.mode("overwrite").parquet(f"{rejects_path}/{own}")
         finally:
             batch.unpersist()
 

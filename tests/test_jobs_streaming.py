@@ -2,13 +2,15 @@
 
 import datetime as dt
 import json
+import time
 
+import pytest
 
 from tempora.plans.jobs import refresh_batch_view, retrain, train_test_report
 from tempora.plans.weather_price import weather_bucket_averages
 from tempora.sources.files import read_newest_drop
 from tempora.sources.sinks import KeyedTable, publish_json
-from tempora.streaming.bucket_stream import stream_bucket_averages
+from tempora.streaming.bucket_stream import start_bucket_averages
 from tempora.streaming.landing import start_landing
 from tempora.streaming.scoring import start_scoring
 from tempora.streaming.sources import message_stream, run_available
@@ -111,23 +113,23 @@ def test_landing_then_newest_drop(spark, scratch):
     assert 0 < newest.count() < 10
 
 
-def test_stream_equals_batch_on_closed_buckets(spark, scratch):
-    rows = sorted(_weather_rows(30))
-    for i in range(3):  # three time-ordered drops, appended one after the other
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_stream_equals_batch_in_any_order(spark, scratch, newest_first):
+    rows = sorted(_weather_rows(30), reverse=newest_first)
+    for i in range(3):  # three drops, appended one after the other
         part = rows[i * len(rows) // 3:(i + 1) * len(rows) // 3]
         spark.createDataFrame(part, WEATHER_COLS).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+        time.sleep(0.05)  # the file source reads in the order of modification times
     schema = spark.read.parquet(f"{scratch}/in").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
     avgs = {"avg_temp": "main_temp", "avg_clouds": "clouds_all"}
-    s = stream_bucket_averages(stream, avgs, delay="10 minutes", dedup_cols=[c.split()[0] for c in WEATHER_COLS.split(", ")])
-    q = (s.writeStream.format("memory").queryName("x1_test").outputMode("append")
-         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
-    run_available(q)
-    got = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in spark.table("x1_test").collect()}
+    table = KeyedTable(f"{scratch}/avgs", keys=["dt"])
+    run_available(start_bucket_averages(stream, avgs, f"{scratch}/rows", table, f"{scratch}/ckpt", available_now=True))
+    got = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in table.read(spark).collect()}
     batch = weather_bucket_averages(spark.read.parquet(f"{scratch}/in"), averages=avgs, drop=[])
     want = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in batch.collect()}
-    closed = {k: v for k, v in want.items() if k <= max(want) - __import__("datetime").timedelta(seconds=900)}
-    assert got == closed and len(got) == 27
+    assert got == want and len(got) == 30
+    assert len(table.applied_batches(spark)) == 3
 
 
 def test_train_test_report(spark):
@@ -137,19 +139,79 @@ def test_train_test_report(spark):
     assert summary.first().n + held_out.first().n == 100
 
 
-def test_stream_drops_rows_behind_the_watermark(spark, scratch):
-    late = _weather_rows(30)
-    early = [r for r in late if r[0] < 1671253800 + 3600]
-    spark.createDataFrame(late, WEATHER_COLS).coalesce(1).write.parquet(f"{scratch}/in")
-    spark.createDataFrame(early, WEATHER_COLS).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
-    schema = spark.read.parquet(f"{scratch}/in").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
-    s = stream_bucket_averages(stream, {"avg_temp": "main_temp"}, delay="10 minutes")
-    q = (s.writeStream.format("memory").queryName("x1_late").outputMode("append")
+def test_fresh_checkpoint_keeps_earlier_rows(spark, scratch):
+    table = KeyedTable(f"{scratch}/t", keys=["id"])
+
+    def run(name, ids):
+        spark.createDataFrame([(i, name) for i in ids], "id int, by string").coalesce(1).write.parquet(f"{scratch}/{name}")
+        stream = spark.readStream.schema("id int, by string").parquet(f"{scratch}/{name}")
+        run_available(stream.writeStream.foreachBatch(table.upsert_stream_batch).trigger(availableNow=True)
+                      .option("checkpointLocation", f"{scratch}/ckpt_{name}").start())
+
+    run("a", range(20))
+    run("b", range(20, 25))  # batch 0 of another stream
+    assert table.read(spark).count() == 25
+    table.compact(spark)
+    table.vacuum(spark)
+    run("c", range(24, 30))  # batch 0 again, below the snapshot's number
+    got = {r.id: r.by for r in table.read(spark).collect()}
+    assert len(got) == 30 and got[23] == "b" and got[24] == "c"
+
+
+def test_land_both_kinds_and_count_rejects(spark, scratch):
+    from tempora.constants import EXPLORE_AVERAGES
+    from tempora.plans.explore import explore_table
+
+    weather = [json.dumps({
+        "dt": 1671253800 + 300 * i, "main": {"temp": 280.0 + i, "feels_like": 279.0, "pressure": 1010, "humidity": 70,
+                                             "temp_min": 270, "temp_max": 290}, "visibility": 9000,
+        "wind": {"speed": 3.0, "deg": 200}, "clouds": {"all": 40},
+        "weather": [{"id": 500, "main": "Rain", "description": "rain", "icon": "x"}], "coord": {"lon": 1.0, "lat": 2.0},
+        "sys": {"type": 1, "id": 2, "country": "GR", "sunrise": 5, "sunset": 9}, "base": "stations", "timezone": 7200,
+        "id": 1, "name": "A", "cod": 200}) for i in range(20)] + ["{broken", '{"id": 3}']
+    local = dt.datetime(2022, 12, 17, 5, 10)
+    texts = [str(local + dt.timedelta(minutes=5 * i)) for i in range(18)] + ["2022-12-17 06:40:00.5", "2022-12-17T06:45:00"]
+    prices = [json.dumps({"Country": "Greece", "ISO3 Code": "GRC", "Datetime (UTC)": x, "Datetime (Local)": x,
+                          "Price (EUR/MWhe)": 100.0 + i}) for i, x in enumerate([*texts, "garbage"])]
+    for kind, msgs, good in (("weather", weather, 20), ("prices", prices, 20)):
+        publish_json(spark.createDataFrame([(m,) for m in msgs], "value string"), f"{scratch}/topic_{kind}")
+        run_available(start_landing(message_stream(spark, f"{scratch}/topic_{kind}"), f"{scratch}/{kind}",
+                                    f"{scratch}/ckpt_{kind}", available_now=True, kind=kind))
+        landed = read_newest_drop(spark, f"{scratch}/{kind}").count()
+        assert landed == good
+        assert landed + spark.read.parquet(f"{scratch}/{kind}_rejects").count() == len(msgs)
+    drop = read_newest_drop(spark, f"{scratch}/weather")
+    assert len(drop.columns) == 27
+    out = explore_table(drop, read_newest_drop(spark, f"{scratch}/prices"))
+    assert set(EXPLORE_AVERAGES) <= set(out.columns) and out.count() == 20
+    view = KeyedTable(f"{scratch}/view", keys=["dt"])
+    refresh_batch_view(spark, f"{scratch}/weather", f"{scratch}/prices", view)
+    assert view.read(spark).count() == 20
+    assert retrain(spark, f"{scratch}/weather", f"{scratch}/prices", f"{scratch}/models")
+
+
+def test_newest_model_ignores_half_written_and_older_versions(spark, scratch):
+    import os
+
+    from tempora.operators.ml import assemble, fit_linear, newest_model_path, save_model
+
+    train = spark.createDataFrame([(float(i), 2.0 * i) for i in range(9)], "main_temp double, price double")
+    model = fit_linear(assemble(train, ["main_temp"]))
+    save_model(model, f"{scratch}/models", "v000001")
+    time.sleep(1.1)
+    save_model(model, f"{scratch}/models", "2026-12-02-10-00-00")
+    os.makedirs(f"{scratch}/models/v999999/metadata")
+    assert newest_model_path(spark, f"{scratch}/models").endswith("/2026-12-02-10-00-00")
+
+
+def test_streams_read_folder_tables(spark, scratch):
+    from tempora.plans import standins as S
+
+    spark.range(100).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts").repartition(3).write.parquet(f"{scratch}/events.parquet")
+    q = (S.events_stream(spark, scratch).writeStream.format("memory").queryName("folder_events")
          .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
     run_available(q)
-    # The replayed first hour arrives after the watermark passed it: it changes nothing.
-    assert spark.table("x1_late").count() == 27
+    assert spark.table("folder_events").count() == 100
 
 
 def test_bounded_scoring_runs_resume_from_checkpoint(spark, scratch):
