@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.session import ensure_checkpoint_dir
+
 
 def bucket_join(left: DataFrame, right: DataFrame, left_key: str = "dt", right_key: str | None = None,
                 how: str = "inner") -> DataFrame:
@@ -59,3 +61,17 @@ def forecast_error(predictions: DataFrame, actual: DataFrame, key: str = "dt",
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
     )
+
+
+BROADCAST_ROWS = 100_000  # of a small table with a few columns: some MB
+
+
+def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``small``, computed once into the shared checkpoint folder; to be broadcast if it has ``max_rows`` rows or fewer.
+
+    The planner measures an aggregate by its buffers, not by its rows, and often by too much: the
+    large side is then shuffled on its hot key. A larger table is left to the planner.
+    """
+    ensure_checkpoint_dir(small.sparkSession)
+    kept = small.checkpoint(eager=True)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.operators.joins import sized_broadcast
+
 
 def categorical_histogram(df: DataFrame, column: str, alias: str = "count") -> DataFrame:
     """Rows per category (NULL is a category)."""
@@ -40,21 +42,22 @@ def numeric_histogram(df: DataFrame, column: str, bins: int | str = "auto", exac
     """Equal-width histogram of a numeric column over [min, max].
 
     ``bins='auto'`` chooses the count from one summary row (n, min, max,
-    quartiles). Bin i covers [lo + i*w, lo + (i+1)*w); the maximum falls in the
-    last bin. Output: bin, bin_lo, bin_hi, count (empty bins are not listed).
+    quartiles); with a given count no quartiles are computed. Bin i covers
+    [lo + i*w, lo + (i+1)*w); the maximum falls in the last bin. NULL, NaN and
+    infinite values are in no bin. Output: bin, bin_lo, bin_hi, count (empty bins are not listed).
     """
     x = F.col(column)
-    stats = df.where(x.isNotNull()).agg(
-        F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-        _quantiles(column, [0.25, 0.75], exact).alias("q"),
-    ).first()
+    finite = df.where(F.abs(x.cast("double")) < F.lit(math.inf))
+    auto = bins == "auto"
+    quartiles = [_quantiles(column, [0.25, 0.75], exact).alias("q")] if auto else []
+    stats = finite.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), *quartiles).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if n == 0:
         return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
-    k = auto_bin_count(n, lo, hi, stats["q"][0], stats["q"][1]) if bins == "auto" else int(bins)
+    k = auto_bin_count(n, lo, hi, stats["q"][0], stats["q"][1]) if auto else int(bins)
     width = (hi - lo) / k if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int")
-    counted = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counted = finite.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return counted.select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
@@ -66,7 +69,8 @@ def numeric_histogram(df: DataFrame, column: str, bins: int | str = "auto", exac
 def box_stats(df: DataFrame, category: str, value: str, exact: bool = True) -> DataFrame:
     """Per category: n, quartiles, whiskers (furthest points within 1.5 IQR), outlier count.
 
-    Two aggregate passes and one (broadcast) join to the small per-category quartile table.
+    Two aggregate passes; the quartiles, one row a category, meet the rows by a size-checked
+    broadcast, so that a hot category is not shuffled. A NULL category has no row.
     ``exact=True`` uses exact percentiles, whose state grows with a group's
     distinct values; ``exact=False`` uses mergeable bounded sketches for raw,
     unbounded inputs. The original draws these over per-bucket tables, whose
@@ -79,6 +83,7 @@ def box_stats(df: DataFrame, category: str, value: str, exact: bool = True) -> D
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col(value)
+    q = sized_broadcast(q.where(F.col(category).isNotNull()))
     # The per-category quartiles are constant within a category: carried through the
     # fence aggregate with ``first`` instead of a second join back to them.
     joined = df.where(v.isNotNull()).join(q, on=category, how="inner")

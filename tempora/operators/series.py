@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tempora.constants import PRICE_RANGE_PERIODS, PRICE_SOURCE_STEP_SECONDS, PRICE_STEP_SECONDS
 from tempora.functions.scalar import even_timestamp, gaussian_noise, linspace_value
 from tempora.functions.timebuckets import epoch_seconds, floor_to_width
+from tempora.operators.joins import sized_broadcast
 
 
 def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], carry: Sequence[str],
@@ -51,9 +52,10 @@ def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], car
         from tempora.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(df.sparkSession)
+        fixed = d.checkpoint(eager=True)
         # Whole chunks to tasks by range (about one chunk per task; hashing chunk ids would
-        # let several collide). The window and the per-chunk aggregate both reuse it.
-        d = d.checkpoint(eager=True).repartitionByRange(n, *series, chunk)
+        # let several collide), for the window.
+        d = fixed.repartitionByRange(n, *series, chunk)
     elif chunk_seconds is None:
         w = Window.partitionBy(*series).orderBy(*order)
         return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in carry})
@@ -63,12 +65,14 @@ def previous_row(df: DataFrame, series: Sequence[str], order: Sequence[str], car
     d = d.withColumns({f"__lag_{c}": F.lag(c).over(w) for c in carry}).withColumn("__first", F.row_number().over(w) == 1)
 
     # Last row of each (series, chunk): algebraic max over the sort key, partial-aggregated.
-    last = d.groupBy(*series, chunk).agg(
+    last = (fixed if chunking == "range" else d).groupBy(*series, chunk).agg(
         F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v_{c}") for c in carry])).alias("__last")
     )
     # Predecessor chunk's last row, per chunk: a window over the small per-chunk table.
     wc = Window.partitionBy(*series).orderBy(chunk)
     boundary = last.select(*series, chunk, F.lag("__last").over(wc).alias("__prev_last"))
+    if chunking == "range":
+        boundary = sized_broadcast(boundary)
     joined = d.join(boundary, on=[*series, chunk], how="left")
     out = joined.withColumns({
         f"{prefix}{c}": F.when(F.col("__first"), F.col(f"__prev_last.v_{c}")).otherwise(F.col(f"__lag_{c}"))
@@ -81,19 +85,23 @@ def first_offset(df: DataFrame, series: Sequence[str], order: Sequence[str], utc
                  out: str = "offset_seconds") -> DataFrame:
     """Per series, ``local - utc`` of its first row (seconds); constant, so no daylight saving.
 
-    The first row is found with an algebraic ``min`` over the sort key (partial-
-    aggregated per series) and joined back; the per-series table is tiny.
+    The series' least time comes from a hash aggregate, and the tie-break looks only at the rows of
+    that time. Both tables have one row a series and meet the rows by a size-checked broadcast, so
+    that a hot series is not shuffled. Rows without a time are never first; a series of which no
+    row has a time, or whose name is NULL, has a NULL offset.
     """
     series, order = list(series), list(order)
     if not series:  # one series: join on a constant key (a hash join, not a cartesian product)
         res = first_offset(df.withColumn("__one", F.lit(0)), ["__one"], order, utc_col, local_col, out)
         return res.drop("__one")
-    firsts = df.groupBy(*series).agg(
+    times = sized_broadcast(df.groupBy(*series).agg(F.min(order[0]).alias("__time")))
+    at_first = df.join(times, on=series).where(F.col(order[0]) == F.col("__time"))
+    firsts = at_first.groupBy(*series).agg(
         F.min(F.struct(*[F.col(o) for o in order], F.col(utc_col).alias("u"), F.col(local_col).alias("l"))).alias("_f")
     ).select(*series, (F.unix_micros(F.col("_f.l").cast("timestamp")) - F.unix_micros(F.col("_f.u").cast("timestamp")))
              .alias("__offset_us"))
-    return df.join(firsts, on=series, how="left").withColumn(out, (F.col("__offset_us") / 1_000_000)).drop(
-        "__offset_us")
+    return df.join(sized_broadcast(firsts), on=series, how="left").withColumn(
+        out, (F.col("__offset_us") / 1_000_000)).drop("__offset_us")
 
 
 def upsample_pairs(pairs: DataFrame, t0: str, t1: str, p0: str, p1: str,

@@ -1,6 +1,7 @@
 """Messages (bad_messages, Q12), features (null_features, J1), models (J3-J9), split."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,22 @@ def test_hash_split_is_stable(spark):
     assert n_train + n_test == 10000 and 6700 < n_train < 7300
     again, _ = hash_split(df.repartition(7), ["event_id"])
     assert again.count() == n_train
+
+
+def test_elastic_net_of_one_feature_has_its_closed_form(spark):
+    """Soft threshold on the standardised slope; the label's spread is small, so that the penalty counts."""
+    from tempora.operators.ml import assemble, fit_linear
+
+    rng = random.Random(5)
+    xs = [rng.gauss(10, 4) for _ in range(400)]
+    ys = [0.2 * x + rng.gauss(0, 1) for x in xs]
+    n, reg, alpha = len(xs), 0.3, 0.8
+    mx, my = sum(xs) / n, sum(ys) / n
+    sx = (sum((x - mx) ** 2 for x in xs) / (n - 1)) ** 0.5
+    sy = (sum((y - my) ** 2 for y in ys) / (n - 1)) ** 0.5
+    cross = sum((x - mx) * (y - my) for x, y in zip(xs, ys)) / n / sx / sy
+    slope = max(0.0, cross - reg * alpha / sy) / ((n - 1) / n + reg * (1 - alpha) / sy) * sy / sx
+    df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double")
+    model = fit_linear(assemble(df, ["x"]), label="y", max_iter=100, reg_param=reg, elastic_net=alpha)
+    assert 0 < slope < 0.2 and abs(model.coefficients[0] - slope) < 1e-4
+    assert abs(model.intercept - (my - slope * mx)) < 1e-3

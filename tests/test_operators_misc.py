@@ -58,6 +58,17 @@ def test_sketch_profiles_track_exact_ones(spark):
     assert h_exact.agg(F.sum("count")).first()[0] == h_approx.agg(F.sum("count")).first()[0] == ev.count()
 
 
+def test_histogram_leaves_out_values_that_are_not_finite(spark):
+    from tempora.operators.profile import numeric_histogram
+
+    values = [0.0, 1.0, 2.0, 4.0, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = numeric_histogram(df, "x", bins=2).orderBy("bin").collect()
+    assert [(r.bin, r.bin_lo, r.bin_hi, r["count"]) for r in got] == [(0, 0.0, 2.0, 2), (1, 2.0, 4.0, 2)]
+    assert numeric_histogram(df, "x").agg(F.sum("count")).first()[0] == 4
+    assert numeric_histogram(df.where("x IS NULL OR isnan(x)"), "x").count() == 0
+
+
 def test_read_csv_with_declared_schema(spark, scratch):
     from tempora.sources.files import read_csv
 

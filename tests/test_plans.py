@@ -38,3 +38,18 @@ def test_latest_prediction_pushes_the_lookback(spark):
     plan = _plan(E.queries()["latest_prediction"](spark, SMOKE_DIR))
     assert "TakeOrderedAndProject" in plan
     assert "LessThanOrEqual(ts,ScalarSubquery" in plan
+
+
+@pytest.mark.parametrize("name, key", [("utc_offset", "event_type"), ("box_stats", "mode_event_type"), ("prev_pair", "__chunk")])
+def test_rows_are_not_shuffled_on_a_hot_key(spark, name, key):
+    """With nothing small enough for the planner, the size-checked tables are still broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()[name](spark, SMOKE_DIR)
+        df.collect()
+        joins = [line for line in _plan(df).split("Initial Plan")[0].splitlines() if "Join" in line]
+        assert any("BroadcastHashJoin" in line for line in joins)
+        assert not any("SortMergeJoin" in line and key in line for line in joins)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -82,6 +82,16 @@ def test_first_offset_constant_per_series(spark):
     assert got == {1: 3600.0, 2: 3600.0}  # taken from the first row only: no daylight-saving switch
 
 
+def test_first_offset_ties_and_missing_values(spark):
+    t = dt.datetime(2024, 3, 30, 23)
+    rows = [("BE", t, t + dt.timedelta(hours=2), 2), ("BE", t, t + dt.timedelta(hours=1), 1), ("BE", None, t, 0),
+            ("FR", None, t, 3), (None, t, t, 4)]
+    df = spark.createDataFrame(rows, "c string, utc timestamp_ntz, local timestamp_ntz, k int")
+    got = {r.k: r.offset_seconds for r in first_offset(df, ["c"], ["utc", "k"], "utc", "local").collect()}
+    assert got == {0: 3600.0, 1: 3600.0, 2: 3600.0, 3: None, 4: None}
+    assert first_offset(df.limit(0), ["c"], ["utc", "k"], "utc", "local").count() == 0
+
+
 def test_range_chunking_splits_a_hot_instant(spark):
     # One series holds a third of the rows, all at the same instant; range chunks split it.
     hot_t = dt.datetime(2024, 1, 1, 12)
