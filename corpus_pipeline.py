@@ -2,8 +2,9 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the next
-one's docs. All but the last return the columns of documents. Ids are taken as
-unique in ``documents``; a row with a null id passes the stages that need none.
+one's docs. All but the last return the columns of documents. Rows that repeat an
+id and its text count once, from the second stage on; else ids are taken as unique.
+A row with a null id passes the stages that need none.
 """
 
 from __future__ import annotations
@@ -23,10 +24,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
+def _repeats_once(docs: DataFrame) -> DataFrame:
+    """One of the rows that have the same id and the same text; the others' texts move only where an id is repeated."""
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("doc_id")
+    if repeated.isEmpty():
+        return docs
+    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(repeated, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of each group that the Jaccard join links."""
     from tempora.llm.jaccard_join import jaccard_components
 
+    docs = _repeats_once(docs)
     classes = jaccard_components(docs)
     copies = classes.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
@@ -39,8 +50,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = F.col("kept").cast("string")
     # A cut may fall inside a character: its stray bytes go with it.
     plain = F.when(F.is_valid_utf8(kept), kept).otherwise(F.regexp_replace(F.make_valid_utf8(kept), "\uFFFD", ""))
-    cut = suffix_dedup(docs).where("n_removed > 0").select("doc_id", plain.alias("__text"), F.lit(True).alias("__cut"))
-    out = docs.join(cut, "doc_id", "left")
+    cut = suffix_dedup(docs).where("n_removed > 0").select(
+        "doc_id", F.col("n_bytes").alias("__bytes"), plain.alias("__text"), F.lit(True).alias("__cut"))
+    out = docs.withColumn("__bytes", F.octet_length("text").cast("long")).join(cut, ["doc_id", "__bytes"], "left")
     text = F.when(F.col("__cut"), F.col("__text")).otherwise(F.col("text"))
     out = out.withColumns({"text": text, "n_chars": F.when(F.col("__cut"), F.char_length("__text").cast("long")).otherwise(F.col("n_chars"))})
     return out.where("__cut IS NULL OR trim(text) <> ''").select(*docs.columns)

@@ -382,6 +382,8 @@ def test_pipeline_stages(spark, scratch):
     item = spark.read.parquet(f"{SMOKE_DIR}/benchmark.parquet").orderBy("item_id").first().text
     clean = " ".join(f"plainword{k} of the and" for k in range(60))
     extra = [(10001, None, "en"), (10002, "123 456", "en"), (10003, clean, "en"), (10004, clean + " more", "en"), (10005, "start " + item + " end of it", "en")]
+    twice = " ".join(f"another{k} word of the and" for k in range(60))
+    extra += [(10006, twice, "en"), (10006, twice, "en"), (None, "no id but words of the and", "en")]
     rows = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in extra], base.schema)
     docs = base.unionByName(rows)
     kept = {}
@@ -389,7 +391,9 @@ def test_pipeline_stages(spark, scratch):
         out = stage(spark, docs, SMOKE_DIR)
         out.write.parquet(f"{scratch}/{k}")
         docs = spark.read.parquet(f"{scratch}/{k}")
-        kept[name] = {r.doc_id for r in docs.select("doc_id").collect()}
+        ids = [r.doc_id for r in docs.select("doc_id").collect()]
+        kept[name] = set(ids)
+        assert None in ids and ids.count(10006) == (2 if name == "language_id" else 1)
         if name != "bpe":
             assert docs.columns == base.columns
     assert not {10001, 10002} & kept["language_id"] and {10003, 10004, 10005} <= kept["language_id"]
