@@ -171,14 +171,15 @@ def ask(blocks: DataFrame, request: Callable[[Block], tuple[np.ndarray, np.ndarr
     return blocks.groupBy("block").applyInArrow(run, ASKED)
 
 
-def answer(asked: DataFrame, width: int, reply: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """``reply(bytes of all entries, block of each)`` gives an array with one element an entry."""
+def answer(asked: DataFrame, width: int | Callable[[int], int], reply: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``reply(bytes of all entries, block of each)`` gives an array with one element an entry; ``width``: an entry's bytes, or a bucket's."""
 
     def run(key, table):
         table = table.sort_by("block")
+        wide = width(key[0].as_py()) if callable(width) else width
         parts = [x.as_py() for x in table.column("payload")]
-        sizes = np.array([len(p) // width for p in parts])
-        entries = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(-1, width)
+        sizes = np.array([len(p) // wide for p in parts])
+        entries = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(-1, wide)
         block = table.column("block").to_numpy()
         out = reply(entries, np.repeat(block, sizes))
         ends = np.cumsum(sizes)

@@ -277,22 +277,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         got = np.bincount(s.doc[asked][shared[inv]], minlength=block.n) if len(n) else np.zeros(block.n, dtype=np.int64)
         keep = (s.size > 0) & (got >= need)
         own = keep[s.doc]
-        # A hash for each set stands among those of its shingles: its first block sends the set.
-        u, inv, n = distinct(np.concatenate((s.hash[own], s.set_hash[keep])), s.doc[own])
+        u, inv, n = distinct(s.hash[own], s.doc[own])
         return s, keep, own, u, inv, n
 
     first = B.answer(B.ask(blocks, ask_least, n_buckets), B.HASH_BYTES, block_counts)
 
     def ask_all(key, rows, told):
-        _, _, _, u, _, _ = candidates(B.Block(rows), told)
-        payload = B.as_bytes((B.short_hash(u, n_buckets), B.HASH_BYTES))
-        bounds = B.cut(u, n_buckets)
-        some = np.flatnonzero(np.diff(bounds))
+        s, keep, _, u, _, _ = candidates(B.Block(rows), told)
+        # The sets' hashes go whole, to buckets of their own: the first block that has a set sends it.
+        sets = np.unique(s.set_hash[keep])
+        buckets, payloads = [], []
+        for h, payload, base in ((u, B.as_bytes((B.short_hash(u, n_buckets), B.HASH_BYTES)), 0), (sets, B.as_bytes((sets, 8)), n_buckets)):
+            bounds = B.cut(h, n_buckets)
+            some = np.flatnonzero(np.diff(bounds))
+            buckets += (base + some).tolist()
+            payloads += [payload[bounds[b]: bounds[b + 1]].tobytes() for b in some]
         give_back()
-        return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
-                         "payload": pa.array([payload[bounds[b]: bounds[b + 1]].tobytes() for b in some], pa.binary())})
+        return pa.table({"bucket": pa.array(buckets, pa.int32()), "block": pa.array([key[0].as_py()] * len(buckets), pa.int32()),
+                         "payload": pa.array(payloads, pa.binary())})
 
-    second = B.answer(blocks.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(ask_all, B.ASKED), B.HASH_BYTES, block_counts)
+    second = B.answer(blocks.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(ask_all, B.ASKED),
+                      lambda bucket: B.HASH_BYTES if bucket < n_buckets else 8, block_counts)
     told = first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.LongType()),
@@ -308,11 +313,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         out_prefix: list = [None] * block.n
         out_tokens: list = [None] * block.n
         if len(u):
-            rank = (code & 127).astype(np.int64)
+            rank = (code[:len(u)] & 127).astype(np.int64)
             shared = (rank > 0) | (n > 1)
-            n_own = int(own.sum())
-            place = inv[:n_own]
-            h, doc, rank, shared = s.hash[own], s.doc[own], rank[place], shared[place]
+            h, doc, rank, shared = s.hash[own], s.doc[own], rank[inv], shared[inv]
             order = np.lexsort((h, rank, doc))  # rare first
             h, doc, shared = h[order], doc[order], shared[order]
             size = s.size
@@ -320,7 +323,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             n_shared = np.bincount(doc[shared], minlength=block.n)
             length = size - least_overlap(size, percent) + 1
             in_prefix = (np.arange(len(h)) - off[doc] < length[doc]) & shared
-            first_block = (code[inv[n_own:]] & 128) > 0
+            first_block = (code[len(u):][np.unique(s.set_hash[keep], return_inverse=True)[1]] & 128) > 0
             seen = set()
             number = key[0].as_py() << 32
             for i, is_first in zip(np.flatnonzero(keep).tolist(), first_block.tolist()):

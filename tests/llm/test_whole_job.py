@@ -1,6 +1,7 @@
 """Inputs on which an operator of tempora.llm could do less than its whole job: long paths, colliding hashes."""
 
 import random
+from functools import partial
 
 
 def test_connected_components_of_a_long_path(spark):
@@ -12,3 +13,16 @@ def test_connected_components_of_a_long_path(spark):
     assert got == {**dict.fromkeys(nodes, min(nodes)), -1: -3, -2: -3, -3: -3}
     none = connected_components(spark.createDataFrame([(7, 7)], "a long, b long"))
     assert none.columns == ["node", "label"] and none.count() == 0
+
+
+def test_jaccard_sets_whose_short_hash_is_anothers(spark, monkeypatch):
+    from tempora.llm import jaccard_join
+
+    # The set of each first word has the same first 44 bits as the shingle of the second.
+    monkeypatch.setattr(jaccard_join.B, "text_blocks", partial(jaccard_join.B.text_blocks, block_bytes=64))
+    rows = []
+    for k, (x, y) in enumerate([("xjfelne", "yikfipb"), ("xhiojma", "ydpgddf"), ("xkjjadf", "yiplbjc")]):
+        rows += [(100 * k + n, x) for n in range(2)] + [(100 * k + n, y) for n in range(2, 40)]
+    out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(i, 1, i // 100 * 100 + (0 if t[0] == "x" else 2)) for i, t in rows]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
