@@ -34,21 +34,34 @@ def language_samples(docs: DataFrame, train: Column, id_col: str = "doc_id", tex
                      lang_col: str = "lang", n_docs: int = SAMPLE_DOCS, n_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """{language: sample text} of at most ``n_chars`` characters from at most ``n_docs`` documents.
 
-    The documents are, per language, the ones with the least id hash in each of ``n_docs`` slots;
-    of each at most SAMPLE_DOC_CHARS characters count. Rows with a null id, text or language
-    teach nothing.
+    The documents are, per language, the distinct texts with the least hash in each of ``n_docs``
+    slots. Each gives its first letters in an equal share (see ``equal_shares``), at most
+    SAMPLE_DOC_CHARS characters; a run of other characters counts as one. Rows with a null id,
+    text or language teach nothing.
     """
     d = docs.where(train & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    d = d.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
+    d = d.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
     slot = F.pmod(F.col("h"), F.lit(n_docs))
-    picked = [r.h for r in d.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).collect()]
+    picked = {(r.lang, r.h) for r in d.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).collect()}
     if not picked:
         return {}
-    rows = d.where(F.col("h").isin(picked)).select("lang", "h", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
+    rows = d.where(F.col("h").isin(sorted({h for _, h in picked}))).select("lang", "h", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
     out: dict[str, list[str]] = {}
     for r in sorted(rows.distinct().collect()):
-        out.setdefault(r.lang, []).append(r.text)
-    return {k: "\n".join(v) for k, v in sorted(out.items())}
+        if (r.lang, r.h) in picked:
+            out.setdefault(r.lang, []).append(" ".join("".join(c if c.isalpha() else " " for c in r.text).split()))
+    # A line feed stands before each text in the parser's sample.
+    return {k: "\n".join(t[: max(0, n - 1)] for t, n in zip(v, equal_shares([len(t) + 1 for t in v], n_chars))) for k, v in sorted(out.items())}
+
+
+def equal_shares(sizes: list[int], total: int) -> list[int]:
+    """What each gets of ``total``: the same for all, what some can't use dealt to the rest."""
+    out = [0] * len(sizes)
+    order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
+    for n, k in enumerate(order):
+        out[k] = min(sizes[k], total // (len(order) - n))
+        total -= out[k]
+    return out
 
 
 def character_classes(samples: list[str]) -> tuple[np.ndarray, int]:

@@ -3,6 +3,8 @@
 import random
 from functools import partial
 
+from pyspark.sql import functions as F
+
 
 def test_connected_components_of_a_long_path(spark):
     from tempora.llm.components import connected_components
@@ -26,3 +28,21 @@ def test_jaccard_sets_whose_short_hash_is_anothers(spark, monkeypatch):
     out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     want = [(i, 1, i // 100 * 100 + (0 if t[0] == "x" else 2)) for i, t in rows]
     assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_language_sample_of_long_and_repeated_texts(spark):
+    from tempora.llm import lang_id as L
+
+    def word(k):
+        return "".join(chr(97 + int(d)) for d in f"{k:04d}")
+
+    rows = [(k, f"{word(k)} " * 1800, "en") for k in range(300)] + [(k, f"{word(999)} " * 1800, "en") for k in range(1000, 2500)]
+    rows += [(5000 + k, f"{word(k)} 12", "xx") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = L.language_samples(docs, F.lit(True))
+    assert sorted(samples) == ["en", "xx"] and len(samples["xx"].split()) > 50
+    parts = [set(t.split()) for t in samples["en"].split("\n")]
+    share = [len(t) + 1 for t in samples["en"].split("\n")]
+    assert sum(share) == L.SAMPLE_CHARS and max(share) - min(share) <= 1
+    assert len(parts) > 50 and len({min(p, key=lambda w: (-len(w), w)) for p in parts}) == len(parts)
+    assert L.equal_shares([1000, 5, 100], 300) == [195, 5, 100] and L.equal_shares([3, 4], 100) == [3, 4]
