@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import sys
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ SAMPLE_CHARS = 16_384  # characters of each language's sample
 SAMPLE_DOCS = 64       # documents that it is drawn from
 SAMPLE_DOC_CHARS = 8_192
 SEGMENT = 4_096
+DENSE = 252            # letter classes with a column of their own in the parser's table
 UNKNOWN = "und"
 
 
@@ -65,16 +67,17 @@ def equal_shares(sizes: list[int], total: int) -> list[int]:
 
 
 def character_classes(samples: list[str]) -> tuple[np.ndarray, int]:
-    """Class of each code point: 0 no letter, 1 a letter that no sample has, else one for each letter, case folded."""
-    table = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    """Class of each code point: 0 no letter, 1 a letter that no sample has, else one for each letter, case folded, frequent ones first."""
+    count = Counter(c for s in samples for c in s.lower() if c.isalpha())
+    known = sorted(count, key=lambda c: (-count[c], c))
+    table = np.zeros(sys.maxunicode + 1, dtype=np.min_scalar_type(len(known) + 1))
     letters = np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), dtype=bool)
     table[letters] = 1
-    known = sorted({c for s in samples for c in s.lower() if c.isalpha()}, key=lambda c: (-sum(s.lower().count(c) for s in samples), c))
-    for k, c in enumerate(known[:250], 2):
+    for k, c in enumerate(known, 2):
         for x in {c, c.upper()}:
             if len(x) == 1:
                 table[ord(x)] = k
-    return table, min(len(known), 250) + 2
+    return table, len(known) + 2
 
 
 def to_classes(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,10 +94,8 @@ def to_classes(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndar
     return classes[kept], before[starts]
 
 
-def suffix_automaton(codes: np.ndarray, n_classes: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: [state, class] to state, -1 where there is none; 0 is the root."""
-    size = 2 * len(codes) + 2
-    nxt = np.full((size, n_classes), -1, dtype=np.int32)
+def suffix_automaton(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(state, class, next state) of each transition of the suffix automaton of ``codes``, and the number of states; 0 is the root."""
     rows: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -121,38 +122,65 @@ def suffix_automaton(codes: np.ndarray, n_classes: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    for s, row in enumerate(rows):
-        for c, t in row.items():
-            nxt[s, c] = t
-    return nxt[: len(rows)]
+    sizes = [len(row) for row in rows]
+    classes = np.fromiter((c for row in rows for c in row), dtype=np.int64, count=sum(sizes))
+    targets = np.fromiter((t for row in rows for t in row.values()), dtype=np.int64, count=sum(sizes))
+    return np.repeat(np.arange(len(rows)), sizes), classes, targets, len(rows)
 
 
 class CrossParser:
-    """Phrases that each language's sample needs for a text."""
+    """Phrases that each language's sample needs for a text.
+
+    The transitions by the most frequent classes, up to DENSE, are a table; those by rarer classes,
+    of which an alphabet of thousands of letters has many, are a sorted list of (state, class).
+    """
 
     def __init__(self, samples: dict[str, str], n_chars: int = SAMPLE_CHARS):
         self.names = sorted(samples)
         self.table, n = character_classes([samples[k] for k in self.names])
+        self.width = width = min(n, DENSE)
         tables, self.base, self.weight = [], [], []
+        rare_keys, rare_steps, self.rare_misses = [], [], []
         at = 0
         for k in self.names:
             codes, _ = to_classes([samples[k]], self.table)
             codes = codes[:n_chars]
-            go = suffix_automaton(codes, n).astype(np.int64)
+            source, by, target, n_states = suffix_automaton(codes)
+            rare = by >= width
+            go = np.full((n_states, width), -1, dtype=np.int64)
+            go[source[~rare], by[~rare]] = target[~rare]
             # Where a phrase can't go on it ends, and the class begins the next one from the root,
             # or is a phrase by itself if the sample doesn't have it. The low bits count ended phrases.
             root = go[0]
             ended = (go < 0) + ((go < 0) & (root < 0)).astype(np.int64)
             ended[0] = (root < 0)
             state = np.where(go >= 0, go, np.maximum(root, 0))
-            tables.append((((state * n) + at) << 2 | ended).astype(np.int32).ravel())
+            tables.append((((state * width) + at) << 2 | ended).astype(np.int32).ravel())
+            rare_keys.append((source[rare] * width + at) * (n - width) + by[rare] - width)
+            rare_steps.append((target[rare] * width + at) << 2)
+            first = np.full(n - width, -1, dtype=np.int64)
+            first[by[rare & (source == 0)] - width] = target[rare & (source == 0)]
+            self.rare_misses.append((np.maximum(first, 0) * width + at) << 2 | (1 + (first < 0)))
             self.base.append(at)
             self.weight.append(math.log2(max(2, len(codes))))
             at += go.size
         self.go = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        self.n_rare = n - width
+        keys, steps = np.concatenate([*rare_keys, [-1]]).astype(np.int64), np.concatenate([*rare_steps, [0]]).astype(np.int32)
+        order = np.argsort(keys)
+        self.rare_keys, self.rare_steps = keys[order], steps[order]
+        self.rare_misses = np.array(self.rare_misses, dtype=np.int32)
         self.base = np.array(self.base, dtype=np.int32)
         self.weight = np.array(self.weight)
 
+    def rare_step(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """As ``go``, for the rarer classes: steps of [language, text]."""
+        key = state.astype(np.int64) * self.n_rare + (codes - self.width)
+        at = np.searchsorted(self.rare_keys, key, side="right") - 1
+        # At the root no phrase has begun that could end.
+        miss = self.rare_misses[:, codes - self.width] - (state == self.base[:, None])
+        return np.where(self.rare_keys[at] == key, self.rare_steps[at], miss)
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(phrases [language, text], classes of each text, letters of each text)."""
         codes, bounds = to_classes(texts, self.table)
@@ -177,7 +205,13 @@ class CrossParser:
             found = np.zeros(state.shape, dtype=np.int32)
             for t in range(len(grid)):
                 k = active[t]
-                step = self.go.take(state[:, :k] + grid[t, :k])
+                if self.n_rare:
+                    c = grid[t, :k]
+                    step = self.go.take(state[:, :k] + np.where(c < self.width, c, 0))
+                    rare = np.flatnonzero(c >= self.width)
+                    step[:, rare] = self.rare_step(state[:, rare], c[rare])
+                else:
+                    step = self.go.take(state[:, :k] + grid[t, :k])
                 found[:, :k] += step & 3
                 state[:, :k] = step >> 2
             found += state != self.base[:, None]

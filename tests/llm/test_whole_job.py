@@ -46,3 +46,31 @@ def test_language_sample_of_long_and_repeated_texts(spark):
     assert sum(share) == L.SAMPLE_CHARS and max(share) - min(share) <= 1
     assert len(parts) > 50 and len({min(p, key=lambda w: (-len(w), w)) for p in parts}) == len(parts)
     assert L.equal_shares([1000, 5, 100], 300) == [195, 5, 100] and L.equal_shares([3, 4], 100) == [3, 4]
+
+
+def test_language_of_thousands_of_letters():
+    from tempora.llm import lang_id as L
+
+    rng = random.Random(4)
+    letters = {"a": [chr(0x4E00 + k) for k in range(900)], "b": [chr(0x4E00 + 600 + k) for k in range(900)], "c": list("abcdefgh")}
+    words = {k: ["".join(rng.choices(v, k=3)) for _ in range(500)] for k, v in letters.items()}
+    samples = {k: "".join(rng.choices(v, k=1500)) for k, v in words.items()}
+    table, n = L.character_classes(list(samples.values()))
+    assert len({int(table[ord(c)]) for s in samples.values() for c in s}) == len(set("".join(samples.values()))) == n - 2
+    texts = ["".join(rng.choices(v, k=60)) for v in words.values() for _ in range(5)]
+    texts += [samples["a"][100:160] + samples["b"][50:90], "\u0430\u0431\u0432" * 30, samples["c"][:40] + samples["a"][:40] + "\u0430"]
+    parser = L.CrossParser(samples)
+    assert parser.n_rare > 1000
+    total, _, _ = parser.phrases(texts)
+    for k, name in enumerate(parser.names):
+        known = "".join(map(chr, L.to_classes([samples[name]], parser.table)[0]))
+        for t, n in zip(texts, total[k].tolist()):
+            codes = "".join(map(chr, L.to_classes([t], parser.table)[0]))
+            at = want = 0
+            while at < len(codes):
+                size = 1
+                while at + size < len(codes) and codes[at: at + size + 1] in known:
+                    size += 1
+                at, want = at + size, want + 1
+            assert n == want
+    assert parser.predict(texts)[0][:15] == ["a"] * 5 + ["b"] * 5 + ["c"] * 5
