@@ -3,8 +3,8 @@
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the next
 one's docs. All but the last return the columns of documents. Rows that repeat an
-id and its text count once, from the second stage on; else ids are taken as unique.
-A row with a null id passes the stages that need none.
+id and its text count once, from the second stage on. Decisions are made and applied
+by row (id and text), so ids may be null or reused.
 """
 
 from __future__ import annotations
@@ -24,23 +24,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With ``__row``, never null: the id and two 64-bit hashes of the text, in the order of ids, null ids last."""
+    return docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h1"),
+                                             F.xxhash64(F.lit(1), F.col("text")).alias("h2")))
+
+
 def _repeats_once(docs: DataFrame) -> DataFrame:
-    """One of the rows that have the same id and the same text; the others' texts move only where an id is repeated."""
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("doc_id")
+    """One of the rows that have the same id, or none, and the same text; only texts of repeated rows move."""
+    keyed = _keyed(docs)
+    repeated = keyed.groupBy("__row").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("__row")
     if repeated.isEmpty():
         return docs
-    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(repeated, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+    again = keyed.join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    return keyed.join(repeated, "__row", "left_anti").unionByName(again).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group that the Jaccard join links."""
+    """One document, the one with the least id (a null one only if there is no other), of each group that the Jaccard join links."""
     from tempora.llm.jaccard_join import jaccard_components
 
     docs = _repeats_once(docs)
-    classes = jaccard_components(docs)
-    copies = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs)
+    copies = jaccard_components(keyed, id_col="__row").where("component_id <> __row").select("__row").distinct()
+    return keyed.join(copies, "__row", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +57,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = F.col("kept").cast("string")
     # A cut may fall inside a character: its stray bytes go with it.
     plain = F.when(F.is_valid_utf8(kept), kept).otherwise(F.regexp_replace(F.make_valid_utf8(kept), "\uFFFD", ""))
-    cut = suffix_dedup(docs).where("n_removed > 0").select(
-        "doc_id", F.col("n_bytes").alias("__bytes"), plain.alias("__text"), F.lit(True).alias("__cut"))
-    out = docs.withColumn("__bytes", F.octet_length("text").cast("long")).join(cut, ["doc_id", "__bytes"], "left")
+    keyed = _keyed(docs)
+    # Rows with the same key have the same text, and are cut alike.
+    cut = suffix_dedup(keyed, id_col="__row").where("n_removed > 0").select(
+        "__row", plain.alias("__text"), F.lit(True).alias("__cut")).dropDuplicates(["__row"])
+    out = keyed.join(cut, "__row", "left")
     text = F.when(F.col("__cut"), F.col("__text")).otherwise(F.col("text"))
     out = out.withColumns({"text": text, "n_chars": F.when(F.col("__cut"), F.char_length("__text").cast("long")).otherwise(F.col("n_chars"))})
     return out.where("__cut IS NULL OR trim(text) <> ''").select(*docs.columns)
@@ -62,8 +71,9 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold no benchmark item."""
     from tempora.llm.decontam import benchmark_leaks as leaks
 
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs)
+    found = leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__row").select("__row").distinct()
+    return keyed.join(found, "__row", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

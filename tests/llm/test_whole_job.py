@@ -5,6 +5,8 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from tests.conftest import SMOKE_DIR
+
 
 def test_connected_components_of_a_long_path(spark):
     from tempora.llm.components import connected_components
@@ -74,3 +76,29 @@ def test_language_of_thousands_of_letters():
                 at, want = at + size, want + 1
             assert n == want
     assert parser.predict(texts)[0][:15] == ["a"] * 5 + ["b"] * 5 + ["c"] * 5
+
+
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline as P
+
+    base = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").schema
+
+    def after(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], base)
+        return sorted(((r.doc_id, r.text) for r in stage(spark, docs, SMOKE_DIR).collect()), key=str)
+
+    def words(name, n=60):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    a, b, c, d = (words(x) for x in ("one", "two", "three", "four"))
+    rows = [(1, a), (None, a + " more"), (None, b), (None, b), (None, b + " more"), (2, c), (3, c + " more"), (3, d)]
+    left = after(P.near_copies, rows)
+    assert len(left) == 4 and {(1, a), (2, c), (3, d)} < set(left) and (None, b) in [(i, t.removesuffix(" more")) for i, t in left]
+    passage = words("passage", 80)
+    rows = [(None, "first " + passage), (None, "second " + passage), (7, "x" + a), (7, "y" + a[:-3] + "end"), (8, passage), (8, words("postage", 80))]
+    assert len(rows[4][1]) == len(rows[5][1])
+    left = after(P.repeated_passages, rows)
+    assert left == sorted([(None, "first"), (None, "second"), *rows[2:4], rows[5]], key=str)
+    item = spark.read.parquet(f"{SMOKE_DIR}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, "start " + item + " end"), (9, item), (9, a), (None, b)]
+    assert after(P.benchmark_leaks, rows) == sorted([(9, a), (None, b)], key=str)
