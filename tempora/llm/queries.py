@@ -165,3 +165,22 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     good = _table(spark, sf_dir, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
     return score_texts(_table(spark, sf_dir, "documents"), good)
+
+
+# ---------------------------------------------------------------------------
+# 12: token ids in files.
+# ---------------------------------------------------------------------------
+END_ID = 2
+
+
+@register("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to ORC files in the order of doc_id, read back, and their places and checksums."""
+    import public_tokenizers as P
+
+    from tempora.llm.token_files import id_digests, read_token_files, write_token_files
+    from tempora.session import shared_path
+
+    path = shared_path(spark, "token_files", unique=True)
+    write_token_files(spark, _table(spark, sf_dir, "documents"), path, P.path("word_bpe_49k.json"), END_ID)
+    return id_digests(read_token_files(spark, path)).withColumnRenamed("doc", "doc_id")
