@@ -184,3 +184,52 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token_files", unique=True)
     write_token_files(spark, _table(spark, sf_dir, "documents"), path, P.path("word_bpe_49k.json"), END_ID)
     return id_digests(read_token_files(spark, path)).withColumnRenamed("doc", "doc_id")
+
+
+# ---------------------------------------------------------------------------
+# 11: periodic runs.
+# ---------------------------------------------------------------------------
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of a tenth of the texts, by the checksum of the id, repeat from some word on.
+
+    With h = crc32 of the decimal id and g = floor(h / 10): if h % 10 = 0, each of the n words from a = g % n on becomes
+    word a + (i - a) % p, where p = 1 + floor((n - a) / (3 + g % 8)). A null id leaves its text as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def tail(s):
+        n = F.size(s["words"]).cast("long")
+        a = F.pmod(s["g"], n)
+        turns = 3 + F.pmod(s["g"], F.lit(8))
+        p = 1 + F.floor((n - a) / turns).cast("long")
+        again = F.flatten(F.array_repeat(F.slice(s["words"], (a + 1).cast("int"), p.cast("int")), (turns + 1).cast("int")))
+        out = F.concat(F.slice(s["words"], F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int")))
+        return F.when(n > 0, F.array_join(out, " ")).otherwise(F.lit(""))
+
+    changed = F.transform(F.array(F.struct(words.alias("words"), g.alias("g"))), tail)[0]
+    return docs.select("doc_id", F.when(F.pmod(h, F.lit(10)) == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, the strongest of them, and the text without their repetitions, as digests."""
+    from tempora.llm.periodic_runs import periodic_runs
+
+    out = periodic_runs(_with_periodic_tails(_table(spark, sf_dir, "documents")))
+
+    def stronger(best, r):
+        more, same = r["length"] * best["period"], best["length"] * r["period"]
+        # Runs come by start, then period: at a tie the earlier one stays.
+        return F.when(best.isNull() | (more > same), r).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), stronger)
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                     F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                     F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                      F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
