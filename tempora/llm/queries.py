@@ -233,3 +233,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
                       F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
                       "runs_sha256", "collapsed_sha256")
+
+
+# ---------------------------------------------------------------------------
+# 13: embedding whitening.
+# ---------------------------------------------------------------------------
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened components, up to 32, with the share of variance that each explains."""
+    from tempora.llm.whitening import whiten
+
+    out = whiten(spark, _table(spark, sf_dir, "embeddings"))
+    out = out.select("vec_id", "n", "deviation", "identity_error",
+                     F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return out.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
