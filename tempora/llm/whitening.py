@@ -92,6 +92,8 @@ def rank_one(values: np.ndarray, vectors: np.ndarray, u: np.ndarray, rho: float)
     vectors = vectors.copy()
     active = rho * np.abs(z) > tol
     idx = np.flatnonzero(active)
+    if not len(idx):
+        return values, vectors
     # Of two values that are equal, as far as z is concerned, a rotation takes one out.
     zi, di = z[idx], values[idx]
     if len(idx) > 1 and (np.diff(di) * np.abs(zi[1:] * zi[:-1]) <= tol * (zi[1:] ** 2 + zi[:-1] ** 2)).any():
