@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,50 +31,146 @@ from tempora.llm.bpe import gathered
 from tempora.llm.memory import give_back, small_batches
 
 PART_BYTES = 32 << 20      # text of a file, about
-GROUP_BYTES = 16 << 20     # text whose distinct pieces are encoded together
+GROUP_BYTES = 8 << 20      # text whose distinct pieces are encoded together
+SLICE = 4_096              # pieces that the tokenizer gets at once
+KNOWN_WORDS = 400_000      # with their ids some 70 MB
+LETTERS = [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x180)]  # to be asked for: Latin letters
+MARKS = ".,;:!?)"
 STRIPE_BYTES = 8 << 20
 INDEX_ROWS = 1_000         # rows of a row group, the unit that is skipped
 
-_WORKER: dict = {}
+class PieceEncoder:
+    """Ids of pieces between white space, each distinct one encoded once by the tokenizer.
 
+    A piece of plain letters and a closing mark or more goes as two: the letters, lower-cased if the tokenizer does that,
+    and the marks. Plain letters are those that its normaliser changes one by one and its pre-tokeniser keeps
+    together, as found by asking it; words of them go to its model directly, everything else through all its steps.
+    Words are remembered, KNOWN_WORDS at most.
+    """
 
-def _tokenizer(key: str, json: str):
-    """The tokenizer of this worker; built once."""
-    if key not in _WORKER:
+    def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        _WORKER.clear()
-        _WORKER[key] = Tokenizer.from_str(json)
-    return _WORKER[key]
+        self.whole = Tokenizer.from_str(json)
+        self.model = self.whole.model.tokenize
+        letters = self._letters()
+        self.lower = all(letters.get(chr(c)) == letters.get(chr(c + 32)) for c in range(65, 91))
+        self.marks = "".join(m for m in MARKS if letters and self._cuts(m))
+        self.table = str.maketrans(letters)
+        self.plain = f"^[{re.escape(''.join(letters))}]+$" if letters else None
+        self.known: dict[str, int] = {}
+        self.forget()
+
+    def _normal(self, text: str) -> str:
+        return self.whole.normalizer.normalize_str(text) if self.whole.normalizer else text
+
+    def _pieces(self, text: str) -> list[str]:
+        return [p for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(text)] if self.whole.pre_tokenizer else [text]
+
+    def _letters(self) -> dict[str, str]:
+        """Letters, and what the tokenizer's model is given for each; none unless any two of them stay together and don't act on each other."""
+        found = {}
+        for c in map(chr, LETTERS):
+            if c.isalpha() and len(made := self._pieces(self._normal(c))) == 1:
+                found[c] = made[0]
+        text = "".join(a + b for a in found for b in found)
+        return found if self._pieces(self._normal(text)) == ["".join(found[c] for c in text)] else {}
+
+    def _cuts(self, mark: str) -> bool:
+        return self._normal("a" + mark) == "a" + mark and self._pieces("a" + mark) == ["a", mark]
+
+    def forget(self) -> None:
+        self.known = {}
+        self.known_ids = np.zeros(0, dtype=np.int32)
+        self.known_sizes = np.zeros(0, dtype=np.int64)
+
+    def learn(self, words: list[str]) -> np.ndarray:
+        """Numbers of words among those known; new ones go to the model."""
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.forget()
+        known = self.known
+        new = list(dict.fromkeys(w for w in words if w not in known))  # different pieces may give one word
+        ids, sizes = _flat([t.id for t in self.model(w)] for w in new)
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        self.known_ids = np.concatenate((self.known_ids, ids))
+        self.known_sizes = np.concatenate((self.known_sizes, sizes))
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def ids(self, pieces: list[str]) -> Iterator[list[int]]:
+        """Through all steps of the tokenizer."""
+        for at in range(0, len(pieces), SLICE):  # its results are many times larger than the ids
+            yield from [e.ids for e in self.whole.encode_batch_fast(pieces[at: at + SLICE], add_special_tokens=False)]
+
+    def table_of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, number of ids of each)."""
+        if self.plain is None or not len(distinct):
+            return _flat(self.ids(_strings(distinct)))
+        heads = pc.ascii_rtrim(distinct, self.marks) if self.marks else distinct
+        plain = pc.match_substring_regex(heads, self.plain)
+        heads = heads.filter(plain)
+        tails = pc.replace_substring_regex(distinct.filter(plain), f"^.*[^{re.escape(self.marks)}]" if self.marks else "^.*", "").dictionary_encode()
+        other = _strings(distinct.filter(pc.invert(plain)))
+        heads = (pc.ascii_lower(heads) if self.lower else heads).dictionary_encode()
+        marks = [x.as_py() for x in tails.dictionary]
+        words = self.learn(_strings(heads.dictionary, self.table))
+        # Units: all known words, the marks or none, the other pieces, nothing; a piece is two of them.
+        more, more_sizes = _flat(chain(self.ids(marks), self.ids(other)))
+        table = np.concatenate((self.known_ids, more))
+        sizes = np.concatenate((self.known_sizes, more_sizes, [0]))
+        n = len(self.known)
+        at = plain.to_numpy(zero_copy_only=False)
+        units = np.full((len(distinct), 2), len(sizes) - 1, dtype=np.int64)
+        units[at, 0] = words[heads.indices.to_numpy()]
+        units[at, 1] = n + tails.indices.to_numpy()
+        units[~at, 0] = n + len(marks) + np.arange(len(other))
+        return gathered_ids(table, sizes, units.ravel()), sizes[units].sum(1)
+
+
+def _strings(pieces: pa.Array, table: dict | None = None) -> list[str]:
+    """Python strings of pieces without white space, through one joined text; ``table`` replaces their characters."""
+    if not len(pieces):
+        return []
+    text = pc.binary_join(pa.LargeListArray.from_arrays(pa.array([0, len(pieces)], pa.int64()), pieces), " ")[0].as_py()
+    return (text.translate(table) if table else text).split(" ")
+
 
+def _flat(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes: list[int] = []
 
-def encode_pieces(tokenizer, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts in a row, bounds of each text's ids), every distinct piece between white space encoded once."""
+    def each() -> Iterator[int]:
+        for x in lists:
+            sizes.append(len(x))
+            yield from x
+
+    table = np.fromiter(each(), dtype=np.int32)
+    return table, np.array(sizes, dtype=np.int64)
+
+
+def gathered_ids(table: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The ids of the pieces ``codes`` one after the other; ``table`` has those of piece 0, 1, ..."""
+    n = sizes[codes]
+    ends = np.cumsum(n)
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(int(ends[-1]) if len(ends) else 0)
+    at += np.repeat(starts[codes] - ends + n, n)
+    return table[at]
+
+
+def encode_texts(encoder: PieceEncoder, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in a row, bounds of each text's ids)."""
     lists = pc.ascii_split_whitespace(texts.fill_null(""))
-    words = lists.flatten()
     bounds = lists.offsets.to_numpy().astype(np.int64)
-    bounds = bounds - bounds[0]
-    coded = words.dictionary_encode()
-    if len(coded.dictionary):
-        found = tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)
-        ids = [e.ids for e in found]
-    else:
-        ids = []
-    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-    ends = np.cumsum(sizes)
-    table = np.fromiter((t for x in ids for t in x), dtype=np.int32, count=int(sizes.sum()))
+    coded = lists.flatten().dictionary_encode()
+    del lists
+    table, sizes = encoder.table_of(coded.dictionary)
     codes = coded.indices.to_numpy()
-    n = sizes[codes]
-    upto = np.concatenate(([0], np.cumsum(n)))
-    total = int(upto[-1])
-    at = np.arange(total) + np.repeat((ends - sizes)[codes] - upto[:-1], n)
-    flat = table[at]
-    marks = upto[bounds]
+    flat = gathered_ids(table, sizes, codes)
+    marks = np.concatenate(([0], np.cumsum(sizes[codes])))[bounds - bounds[0]]
     if end_id is None:
         return flat, marks
     docs = len(texts)
-    out = np.empty(total + docs, dtype=np.int32)
+    out = np.empty(len(flat) + docs, dtype=np.int32)
     last = marks[1:] + np.arange(docs)
     is_end = np.zeros(len(out), dtype=bool)
     is_end[last] = True
@@ -81,6 +179,17 @@ def encode_pieces(tokenizer, texts: pa.Array, end_id: int | None) -> tuple[np.nd
     return out, np.concatenate(([0], last + 1))
 
 
+_WORKER: dict[str, PieceEncoder] = {}
+
+
+def _encoder(key: str, json: str) -> PieceEncoder:
+    """This worker's; built once."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = PieceEncoder(json)
+    return _WORKER[key]
+
+
 def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES,
                       stripe_bytes: int = STRIPE_BYTES, index_rows: int = INDEX_ROWS) -> None:
@@ -110,11 +219,11 @@ def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(token, tables.value)
+        encoder = _encoder(token, tables.value)
         before = 0  # ids of this file so far
         for group in gathered(batches, GROUP_BYTES):
             sizes = [b.num_rows for b in group]
-            ids, bounds = encode_pieces(tokenizer, pa.concat_arrays([b.column(2) for b in group]), end_id)
+            ids, bounds = encode_texts(encoder, pa.concat_arrays([b.column(2) for b in group]), end_id)
             at = 0
             for b, n in zip(group, sizes):
                 marks = bounds[at: at + n + 1]
@@ -123,6 +232,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer
                                                  names=schema.names)
                 at += n
             before += len(ids)
+        encoder.forget()  # the worker may go on to other work
         give_back()
 
     (d.mapInArrow(run, schema).write.option("orc.bloom.filter.columns", "doc").option("orc.bloom.filter.fpp", "0.01")

@@ -117,3 +117,23 @@ def test_a_tokenizer_that_keeps_white_space_is_refused(spark, scratch):
 
     with pytest.raises(ValueError, match="white space"):
         write_token_files(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), scratch + "/t", P.path("byte_bpe_50k.json"))
+
+
+def test_pieces_equal_whole_texts_for_any_characters(tokenizer):
+    """Letters, marks, capitals, combining marks and special strings in any mixture."""
+    import random
+
+    import pyarrow as pa
+
+    from tempora.llm.token_files import PieceEncoder, encode_texts
+
+    with open(PATH, encoding="utf-8") as f:
+        encoder = PieceEncoder(f.read())
+    assert encoder.lower and len(encoder.marks) == 7 and "é" in encoder.plain and "Ş" in encoder.plain and "İ" not in encoder.plain
+    rng = random.Random(1)
+    parts = ["a", "B", "the", "é", "É", "ß", "İ", "ı", "ŉ", "ǆ", "Σ", "σ", "\u0301", "\u0338", "'s", "'", "'LL", ".", ",", "!?", ")", "(", "<|endoftext|>",
+             "<|", "|>", "1", "23", "٣", "中", "ﬁ", "\u200b", "\u00ad", "😀", "_", "-", "K", "Å", " ", " ", "\n", "\u00a0", "\u0085", "\x1c"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(4000)] + [None]
+    ids, bounds = encode_texts(encoder, pa.array(texts, pa.string()), 2)
+    for t, s, e in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[s:e].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [2], t
