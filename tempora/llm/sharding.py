@@ -2,8 +2,7 @@
 
 Rows with equal keys form groups that stay together. Small groups are packed
 into parcels inside each task, largest first, each into the fullest parcel that
-still has room (a list kept in order of remaining room stands for the balanced
-tree). Parcels and large groups, whose number is bounded by the parameters, are
+still has room, which a balanced tree of the parcels by remaining room finds. Parcels and large groups, whose number is bounded by the parameters, are
 then packed into the shards in the same way on the driver, under the least
 capacity for which they fit.
 """
@@ -11,7 +10,6 @@ capacity for which they fit.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -26,36 +24,108 @@ ROW_BYTES = 16
 SLOT_ROWS = 20_000     # rows that are numbered together, about
 
 
+class RoomTree:
+    """Bins in the order of (room left, bin): a search tree, balanced by priorities that are a hash of the bin."""
+
+    def __init__(self) -> None:
+        self.room = [-1]                # node 0 stands above the root, its right child
+        self.child = ([0], [0])         # left and right; 0: none
+        self.weight = [1 << 64]
+
+    def _is_before(self, a: int, b: int) -> bool:
+        return (self.room[a], a) < (self.room[b], b)
+
+    def tightest(self, size: int) -> int | None:
+        """The bin with the least room that holds ``size``; of equal ones the lowest."""
+        best, n = 0, self.child[1][0]
+        while n:
+            if self.room[n] >= size:
+                best, n = n, self.child[0][n]
+            else:
+                n = self.child[1][n]
+        return best - 1 if best else None
+
+    def insert(self, b: int, room: int) -> None:
+        n = b + 1
+        while len(self.room) <= n:
+            k = len(self.room)
+            self.room.append(0)
+            self.weight.append((k * 0x9E3779B97F4A7C15 ^ (k * 0xBF58476D1CE4E5B9 >> 29)) % (1 << 64))
+            self.child[0].append(0)
+            self.child[1].append(0)
+        self.room[n] = room
+        above, side, at = 0, 1, self.child[1][0]
+        while at and self.weight[at] >= self.weight[n]:
+            above, side = at, int(self._is_before(at, n))
+            at = self.child[side][at]
+        self.child[side][above] = n
+        # What was below this place is split into the nodes before and after the new one.
+        ends = [(0, n), (1, n)]
+        while at:
+            after = int(not self._is_before(at, n))
+            s, e = ends[after]
+            self.child[s][e] = at
+            ends[after] = (1 - after, at)
+            at = self.child[1 - after][at]
+        for s, e in ends:
+            self.child[s][e] = 0
+
+    def remove(self, b: int) -> None:
+        n = b + 1
+        above, side, at = 0, 1, self.child[1][0]
+        while at != n:
+            above, side = at, int(self._is_before(at, n))
+            at = self.child[side][at]
+        low, high = self.child[0][n], self.child[1][n]
+        while low and high:  # the heavier of the two comes up
+            if self.weight[low] >= self.weight[high]:
+                self.child[side][above] = low
+                above, side, low = low, 1, self.child[1][low]
+            else:
+                self.child[side][above] = high
+                above, side, high = high, 0, self.child[0][high]
+        self.child[side][above] = low or high
+
+
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     """(bin of each size, number of bins): largest first, each into the tightest bin with room, else a new one.
 
     Ties go to the earlier size and the lower bin. A size above the capacity gets a bin of its own.
     """
     bins = np.zeros(len(sizes), dtype=np.int64)
-    room: list[tuple[int, int]] = []  # (room left, bin) in order
+    tree = RoomTree()
     n = 0
     for i in np.argsort(-sizes, kind="stable").tolist():
         size = int(sizes[i])
-        at = bisect_left(room, (size, -1))
-        if at < len(room):
-            left, b = room.pop(at)
+        b = tree.tightest(size)
+        if b is None:
+            b, left = n, max(capacity, size)
+            n += 1
         else:
-            left, b, n = max(capacity, size), n, n + 1
+            left = tree.room[b + 1]
+            tree.remove(b)
         bins[i] = b
         if left > size:
-            insort(room, (left - size, b))
+            tree.insert(b, left - size)
     return bins, n
 
 
 def pack_into(sizes: np.ndarray, n_bins: int) -> tuple[np.ndarray, int]:
     """(bin of each size, capacity): the least capacity, by bisection, at which at most ``n_bins`` are needed.
 
-    With fewer sizes than bins each has its own.
+    It starts at the mean of the sizes without those that are above it: these have bins of their own and don't
+    make the other bins larger. With fewer sizes than bins each has its own.
     """
     if not len(sizes):
         return np.zeros(0, dtype=np.int64), 0
-    low = max(int(sizes.max()), math.ceil(int(sizes.sum()) / n_bins))
-    high = low
+    if len(sizes) <= n_bins:
+        return np.argsort(np.argsort(-sizes, kind="stable")), int(sizes.max())
+    rest, left = int(sizes.sum()), n_bins
+    for size in np.sort(sizes)[::-1][:n_bins].tolist():  # a size above the mean of what is left has a bin of its own
+        if size * left <= rest:
+            break
+        rest, left = rest - size, left - 1
+    low = high = max(1, math.ceil(rest / max(1, left)))
     while best_fit_decreasing(sizes, high)[1] > n_bins:
         low, high = high + 1, high + max(1, high // 8)
     while low < high:
@@ -87,7 +157,7 @@ def shard(spark: SparkSession, docs: DataFrame, n_shards: int = 40, id_col: str
     The size of a row is its text's UTF-8 bytes plus ``row_bytes``; rows with equal texts stay in one
     shard, null texts being equal to each other but not to the empty text. Only a group larger than a
     shard (there are fewer of them than shards) is cut, by a hash of the id, into pieces that are packed
-    like groups. ``slot`` numbers a shard's rows without gaps from 0, by id. Null ids and repeated rows
+    like groups. ``slot`` numbers a shard's rows without gaps from 0, by a hash of the row, then by id. Null ids and repeated rows
     are kept; null texts count no bytes and have the checksum of no bytes; an empty table gives no rows.
     With few or very unequal groups shards can't be equal, and some may stay empty.
     """

@@ -95,10 +95,30 @@ def test_pipeline_decides_by_row(spark):
     left = after(P.near_copies, rows)
     assert len(left) == 4 and {(1, a), (2, c), (3, d)} < set(left) and (None, b) in [(i, t.removesuffix(" more")) for i, t in left]
     passage = words("passage", 80)
-    rows = [(None, "first " + passage), (None, "second " + passage), (7, "x" + a), (7, "y" + a[:-3] + "end"), (8, passage), (8, words("postage", 80))]
+    rows = [(None, "first " + passage), (None, "second " + passage), (7, a), (7, a[:190] + d), (8, passage), (8, words("postage", 80))]
     assert len(rows[4][1]) == len(rows[5][1])
     left = after(P.repeated_passages, rows)
     assert left == sorted([(None, "first"), (None, "second"), *rows[2:4], rows[5]], key=str)
+    # Passages of 50 words of under 400 bytes, once in the one place and once in the other.
+    short = " ".join(f"p{k}sage"[:6] for k in range(10, 60))
+    assert 260 < len(short) < 390
+    rows = [(1, words("head") + "/" + short + "!" + words("tail")), (2, words("other") + "?" + short)]
+    assert after(P.repeated_passages, rows) == [(1, words("head") + "/!" + words("tail")), (2, words("other") + "?")]
     item = spark.read.parquet(f"{SMOKE_DIR}/benchmark.parquet").orderBy("item_id").first().text
     rows = [(None, "start " + item + " end"), (9, item), (9, a), (None, b)]
     assert after(P.benchmark_leaks, rows) == sorted([(9, a), (None, b)], key=str)
+
+
+def test_pipeline_keeps_columns_that_have_its_own_names(spark):
+    import corpus_pipeline as P
+
+    extra = {"score": F.lit(1.5), "lang_pred": F.lit("mine"), "entropy": F.col("doc_id"), "__row": F.lit("r"), "__text": F.lit(7),
+             "__cut": F.lit(False), "__rows": F.lit(9), "component_id": F.col("doc_id")}
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").limit(60).withColumns(extra)
+    kept = docs
+    for _, stage in P.STAGES[:-1]:
+        kept = stage(spark, kept, SMOKE_DIR)
+        assert kept.columns == docs.columns
+    got = kept.collect()
+    assert got and all((r["score"], r["lang_pred"], r["__row"], r["__text"], r["__cut"], r["__rows"]) == (1.5, "mine", "r", 7, False, 9)
+                       and r["entropy"] == r["component_id"] == r["doc_id"] for r in got)
