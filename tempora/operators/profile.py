@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.operators.joins import sized_broadcast
+from tempora.operators.quantiles import group_quantiles, has_few_distinct
 
 
 def categorical_histogram(df: DataFrame, column: str, alias: str = "count") -> DataFrame:
@@ -21,10 +22,14 @@ def categorical_histogram(df: DataFrame, column: str, alias: str = "count") -> D
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _quantiles(column: str, probs: Sequence[float], exact: bool):
-    if exact:
-        return F.percentile(column, list(probs))
-    return F.percentile_approx(column, list(probs), 10_000)
+def _quantiles(df: DataFrame, value: str, probs: Sequence[float], exact: bool, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, n, quantiles). Exact: by Spark's percentile, whose buffer holds a group's different values, if no group has many
+    (``has_few_distinct``); else by range refinement, which holds none. Not exact: a mergeable sketch."""
+    rows = df.where(F.col(value).isNotNull())
+    if exact and not has_few_distinct(rows, value, by):
+        return group_quantiles(rows, value, probs, by)
+    q = F.percentile(value, list(probs)) if exact else F.percentile_approx(value, list(probs), 10_000)
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), q.alias("quantiles"))
 
 
 def auto_bin_count(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
@@ -49,12 +54,11 @@ def numeric_histogram(df: DataFrame, column: str, bins: int | str = "auto", exac
     x = F.col(column)
     finite = df.where(F.abs(x.cast("double")) < F.lit(math.inf))
     auto = bins == "auto"
-    quartiles = [_quantiles(column, [0.25, 0.75], exact).alias("q")] if auto else []
-    stats = finite.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"), *quartiles).first()
+    stats = finite.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if n == 0:
         return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
-    k = auto_bin_count(n, lo, hi, stats["q"][0], stats["q"][1]) if auto else int(bins)
+    k = auto_bin_count(n, lo, hi, *_quantiles(finite, column, [0.25, 0.75], exact).first()["quantiles"]) if auto else int(bins)
     width = (hi - lo) / k if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int")
     counted = finite.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -71,15 +75,12 @@ def box_stats(df: DataFrame, category: str, value: str, exact: bool = True) -> D
 
     Two aggregate passes; the quartiles, one row a category, meet the rows by a size-checked
     broadcast, so that a hot category is not shuffled. A NULL category has no row.
-    ``exact=True`` uses exact percentiles, whose state grows with a group's
-    distinct values; ``exact=False`` uses mergeable bounded sketches for raw,
-    unbounded inputs. The original draws these over per-bucket tables, whose
-    size is bounded by the time range.
+    ``exact=True`` gives exact quantiles in bounded memory (``_quantiles``); ``exact=False`` uses mergeable
+    sketches. The original draws these over per-bucket tables, whose size is bounded by the time range.
     """
-    q = df.where(F.col(value).isNotNull()).groupBy(category).agg(
-        F.count(F.lit(1)).alias("n"), _quantiles(value, [0.25, 0.5, 0.75], exact).alias("_q"))
-    q = q.select(category, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = _quantiles(df, value, [0.25, 0.5, 0.75], exact, [category])
+    q = q.select(category, "n", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
+                 F.col("quantiles")[2].alias("q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col(value)

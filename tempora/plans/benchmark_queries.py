@@ -728,18 +728,31 @@ a AS (SELECT dt, round(avg(value), 6) AS avg_value, round(avg(k), 6) AS avg_k, r
 SELECT * FROM a
 """)
 def stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-minute averages kept by a stream, every bucket of all rows."""
+    """5-minute averages kept by a stream as partial sums, every bucket of all distinct rows."""
     from tempora.session import shared_path
-    from tempora.sources.sinks import KeyedTable
-    from tempora.streaming.bucket_stream import start_bucket_averages
+    from tempora.sources.sinks import SumTable
+    from tempora.streaming.bucket_stream import averages_of, start_bucket_averages
     from tempora.streaming.sources import run_available
 
     base = shared_path(spark, "stream_bucket_avg", unique=True)
     stream = S.events_to_readings(S.events_stream(spark, sf_dir))
-    table = KeyedTable(f"{base}/table", keys=["dt"])
-    run_available(start_bucket_averages(stream, S.STANDIN_AVERAGES, f"{base}/rows", table, f"{base}/_ckpt",
-                                        width_seconds=300, available_now=True))
-    return _round(table.read(spark), S.STANDIN_AVERAGES)
+    table = SumTable(f"{base}/table", keys=["dt"])
+    run_available(start_bucket_averages(stream, S.STANDIN_AVERAGES, table, f"{base}/_ckpt", width_seconds=300, available_now=True))
+    return _round(averages_of(table.read(spark), "dt", S.STANDIN_AVERAGES), S.STANDIN_AVERAGES)
+
+
+@register("stream_distinct", _sql_readings(300, True))
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 on a stream with bounded state: the readings that it kept, and those that came too late for it."""
+    from tempora.session import shared_path
+    from tempora.streaming.bucket_stream import late_rows, start_distinct
+    from tempora.streaming.sources import run_available
+
+    base = shared_path(spark, "stream_distinct", unique=True)
+    stream = S.events_to_readings(S.events_stream(spark, sf_dir))
+    run_available(start_distinct(stream, f"{base}/kept", f"{base}/_ckpt", width_seconds=300, delay="2 hours", available_now=True))
+    kept = spark.read.parquet(f"{base}/kept").drop("stream", "batch")
+    return kept.unionByName(late_rows(S.readings(spark, sf_dir), kept, width_seconds=300))
 
 
 def _publish_events(spark: SparkSession, sf_dir: str) -> str:
@@ -942,3 +955,116 @@ def price_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = replay_messages(_price_history(spark, sf_dir), REPLAY_COUNTRY, step_seconds=S.HOUR_SECONDS,
                            source_step_seconds=S.DAY_SECONDS, periods=None, noise_sigma=0.0)
     return parse_price_messages(msgs)
+
+
+# ---------------------------------------------------------------------------
+# A5 + A7 by a subscription with acknowledgement.
+# ---------------------------------------------------------------------------
+@register("subscription_upsert", ORACLES["stream_upsert"])
+def subscription_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + A7 + A10: messages pulled from a queue, upserted on ``id`` (newest ``dt`` wins), acknowledged after the write."""
+    from tempora.session import shared_path
+    from tempora.sources.sinks import KeyedTable
+    from tempora.streaming.messages import parse_weather_messages, weather_messages_from_events
+    from tempora.streaming.subscription import publish, run_until_empty, subscribe
+
+    base = shared_path(spark, "subscription_upsert", unique=True)
+    publish(weather_messages_from_events(S.table(spark, sf_dir, "events")), f"{base}/queue")
+    table = KeyedTable(f"{base}/table", keys=["id"], order=["dt", "main_temp"])
+    parsed = parse_weather_messages(subscribe(spark, f"{base}/queue")).select("id", "dt", "main_temp")
+    writer = (parsed.writeStream.foreachBatch(table.upsert_stream_batch).option("checkpointLocation", f"{base}/_ckpt")
+              .trigger(availableNow=True))
+    run_until_empty(writer.start)
+    return table.read(spark).select("id", "dt", "main_temp")
+
+
+# ---------------------------------------------------------------------------
+# H9 / H10 without a fixed schema.
+# ---------------------------------------------------------------------------
+@register("flatten_any", f"""
+SELECT {_SQL_EPOCH_TS} AS dt, user_id AS id, value AS main_temp,
+       CASE WHEN event_type = 'purchase' THEN round(value / 2, 4) END AS "main_only_purchases__EUR_",
+       {_SQL_K} AS props_k, event_type AS extra_deep_event_type,
+       CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE event_type END AS mixed
+FROM events
+""")
+def flatten_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H9 / H10 for messages whose keys nobody has listed: every key that occurs is a column."""
+    from tempora.functions.anyjson import flatten_any as flatten
+    from tempora.functions.jsonops import encode_json
+    from tempora.functions.timebuckets import epoch_seconds
+
+    only = F.when(F.col("event_type") == "purchase", F.round(F.col("value") / 2, 4)).alias("only purchases (EUR)")
+    head = encode_json(
+        epoch_seconds("ts").alias("dt"), F.col("user_id").alias("id"), F.struct(F.col("value").alias("temp"), only).alias("main"),
+        F.struct(F.struct("event_type").alias("deep")).alias("extra"))
+    # Raw parts: the event's own object, and a key that is a number here and a text there.
+    mixed = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    value = F.concat(F.expr("substring(h, 1, length(h) - 1)"), F.lit(', "props": '), "props", F.lit(', "mixed": '), "m", F.lit("}"))
+    messages = S.table(spark, sf_dir, "events").select(head.alias("h"), "props", mixed.alias("m")).select(value.alias("value"))
+    out = flatten(messages).drop("_malformed")
+    return out.withColumn("props_k", F.col("props_k").cast("double"))
+
+
+# ---------------------------------------------------------------------------
+# Exact quantiles in bounded memory.
+# ---------------------------------------------------------------------------
+@register("exact_quantiles", """
+SELECT event_type, count(value) AS n, round(quantile_cont(value, 0.01), 6) AS p01, round(quantile_cont(value, 0.25), 6) AS q1,
+       round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3,
+       round(quantile_cont(value, 0.999), 6) AS p999
+FROM events GROUP BY event_type
+""")
+def exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of the raw values per category, by range refinement."""
+    from tempora.operators.quantiles import group_quantiles
+
+    out = group_quantiles(S.table(spark, sf_dir, "events"), "value", [0.01, 0.25, 0.5, 0.75, 0.999], by=["event_type"])
+    names = ["p01", "q1", "median", "q3", "p999"]
+    return out.select("event_type", "n", *[F.round(F.col("quantiles")[i], 6).alias(c) for i, c in enumerate(names)])
+
+
+# ---------------------------------------------------------------------------
+# J3 / L4 from second moments, and the elastic net's closed form.
+# ---------------------------------------------------------------------------
+def _net_sql(source: str, x: str, y: str, reg: float = 0.3, mixing: float = 0.8) -> str:
+    """One feature: with both scaled, w = sign(r) * max(|r| - l1, 0) / (1 + l2)."""
+    return f"""
+WITH t AS ({source}),
+s AS (SELECT corr({y}, {x}) AS r, stddev_pop({x}) AS sx, stddev_pop({y}) AS sy, avg({x}) AS mx, avg({y}) AS my, count(*) AS n
+      FROM t WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+w AS (SELECT *, sign(r) * greatest(abs(r) - {mixing} * {reg} / sy, 0) / (1 + {1 - mixing} * {reg} / sy) * sy / sx AS slope FROM s)
+SELECT round(slope, 3) AS slope, round(my - slope * mx, 3) AS intercept, n FROM w
+"""
+
+
+_SQL_FLAGSHIP = ORACLES["bucket_join_shifted"]
+
+
+@register("elastic_net_closed_form", _net_sql(_SQL_FLAGSHIP, "avg_value", "avg_price"))
+def elastic_net_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 with the original penalty on one feature, by MLlib."""
+    from tempora.operators.ml import assemble, fit_linear
+
+    model = fit_linear(assemble(bucket_join_shifted(spark, sf_dir), ["avg_value"]), label="avg_price")
+    row = (round(float(model.coefficients[0]), 3), round(float(model.intercept), 3), int(model.summary.numInstances))
+    return spark.createDataFrame([row], "slope double, intercept double, n bigint")
+
+
+@register("retrain_from_moments", _net_sql("SELECT value, json_extract_string(props, '$.k')::DOUBLE AS k FROM events", "k", "value"))
+def retrain_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + L4 on raw readings: a row of second moments a day in a keyed table, refreshed in two parts, the fit from that table."""
+    from tempora.operators.moments import combine_moments, elastic_net, refresh_moments
+    from tempora.session import shared_path
+    from tempora.sources.sinks import KeyedTable
+
+    table = KeyedTable(shared_path(spark, "moments", unique=True), keys=["day"])
+    readings = S.readings(spark, sf_dir)
+    day = F.to_date(F.timestamp_seconds("dt"))
+    early = F.dayofmonth(day) <= 15
+    for part in (early, ~early):  # the second refresh reads its own days only
+        refresh_moments(readings.where(part), day, ["k", "value"], table)
+    m = combine_moments(table.read(spark), ["k", "value"])
+    fit = elastic_net(m, "value")
+    row = (round(float(fit.coefficients[0]), 3), round(fit.intercept, 3), m.n)
+    return spark.createDataFrame([row], "slope double, intercept double, n bigint")

@@ -214,6 +214,30 @@ class KeyedTable:
             self.vacuum(spark)
 
 
+class SumTable(KeyedTable):
+    """A table of sums by ``keys``: every batch adds to them instead of replacing rows.
+
+    A batch folder holds the batch's own sums, a row a key; all other columns are added up (NULL adds nothing). Writing
+    reads nothing that was written before; a read, or a compaction, adds the newest snapshot and the
+    batches after it, with a partial aggregate before the shuffle. A replayed batch
+    rewrites its folder, so that nothing counts twice.
+
+    The table belongs to one stream: a stream with a fresh checkpoint would read its source again, and add
+    it a second time, so it is refused.
+    """
+
+    def _latest(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        payload = [c for c in columns if c not in self.keys and c != BATCH_COL]
+        out = df.groupBy(*self.keys).agg(*[F.sum(c).cast(df.schema[c].dataType).alias(c) for c in payload], F.max(BATCH_COL).alias(BATCH_COL))
+        return out.select(*self.keys, *payload, BATCH_COL)
+
+    def claim(self, spark: SparkSession, stream: str, batch_id: int) -> int:
+        others = {s for _, s, _ in self._claims(spark) if s not in (None, stream)}
+        if others:
+            raise ValueError(f"{self.path} has the sums of another stream ({', '.join(sorted(others))}); a fresh checkpoint needs a fresh table")
+        return super().claim(spark, stream, batch_id)
+
+
 def publish_json(df: DataFrame, path: str, files: int | None = None) -> None:
     """A11 to files: one JSON message per line (``value``), as a topic writer would send them.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempora.constants import PRICE_TIME_COLUMN, PRICE_VALUE_COLUMN
+from tempora.functions.anyjson import flatten_any
 from tempora.functions.timebuckets import ACCEPTED_TIME_FORMATS, parse_time_epoch
 from tempora.sources.sinks import stream_id
 from tempora.streaming.messages import parse_price_messages, parse_weather_messages
@@ -65,15 +66,31 @@ def land_batch(parsed: DataFrame, directory: str, batch_id: int, partition_by_da
     return name
 
 
+def land_any_batch(messages: DataFrame, directory: str, batch_id: int, stream: str = "direct", time_col: str = "dt",
+                   rejects: str | None = None) -> str | None:
+    """``land_batch`` for messages whose keys nobody has listed: every key of the batch is a column of the drop.
+
+    Messages that are no JSON object, or whose ``time_col`` (epoch seconds, after flattening) is missing or no
+    number, go to the rejects. Other drops may have other columns: read them with ``mergeSchema``.
+    """
+    flat = flatten_any(messages, keep=["value"])
+    time = F.col(time_col).try_cast("long") if time_col in flat.columns else F.lit(None).cast("long")
+    return land_batch(flat.withColumn("_time", time), directory, batch_id, stream=stream, rejects=rejects)
+
+
 def start_landing(messages: DataFrame, directory: str, checkpoint: str, available_now: bool = False,
                   partition_by_day: bool = False, kind: str = "weather", rejects: str | None = None) -> StreamingQuery:
-    """Land a message stream; ``kind`` is weather or prices."""
-    parsed = landable(messages, kind)
+    """Land a message stream; ``kind`` is weather, prices or any (``land_any_batch``)."""
+    parsed = messages.select("value") if kind == "any" else landable(messages, kind)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read twice: newest time for the name, then the writes
+        batch = batch.persist()  # read more than once: newest time for the name, keys, then the writes
+        stream = stream_id(batch.sparkSession) or "direct"
         try:
-            land_batch(batch, directory, batch_id, partition_by_day, stream_id(batch.sparkSession) or "direct", rejects)
+            if kind == "any":
+                land_any_batch(batch, directory, batch_id, stream, rejects=rejects)
+            else:
+                land_batch(batch, directory, batch_id, partition_by_day, stream, rejects)
         finally:
             batch.unpersist()
 

@@ -9,8 +9,8 @@ import pytest
 from tempora.plans.jobs import refresh_batch_view, retrain, train_test_report
 from tempora.plans.weather_price import weather_bucket_averages
 from tempora.sources.files import read_newest_drop
-from tempora.sources.sinks import KeyedTable, publish_json
-from tempora.streaming.bucket_stream import start_bucket_averages
+from tempora.sources.sinks import KeyedTable, SumTable, publish_json
+from tempora.streaming.bucket_stream import averages_of, start_bucket_averages
 from tempora.streaming.landing import start_landing
 from tempora.streaming.scoring import start_scoring
 from tempora.streaming.sources import message_stream, run_available
@@ -123,9 +123,9 @@ def test_stream_equals_batch_in_any_order(spark, scratch, newest_first):
     schema = spark.read.parquet(f"{scratch}/in").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
     avgs = {"avg_temp": "main_temp", "avg_clouds": "clouds_all"}
-    table = KeyedTable(f"{scratch}/avgs", keys=["dt"])
-    run_available(start_bucket_averages(stream, avgs, f"{scratch}/rows", table, f"{scratch}/ckpt", available_now=True))
-    got = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in table.read(spark).collect()}
+    table = SumTable(f"{scratch}/avgs", keys=["dt"])
+    run_available(start_bucket_averages(stream, avgs, table, f"{scratch}/ckpt", available_now=True))
+    got = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in averages_of(table.read(spark), "dt", avgs).collect()}
     batch = weather_bucket_averages(spark.read.parquet(f"{scratch}/in"), averages=avgs, drop=[])
     want = {r.dt: (round(r.avg_temp, 9), round(r.avg_clouds, 9)) for r in batch.collect()}
     assert got == want and len(got) == 30
