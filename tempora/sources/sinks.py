@@ -15,7 +15,9 @@
   and in files to read); later reads scan the newest complete snapshot plus
   the batches after it, which partition pruning selects. It stops before the
   first number that is claimed but not written yet, so that no batch still
-  being written is passed over.
+  being written is passed over. The claim of a writer that died doesn't hold it up for ever: it
+  lapses when its stream has a later claim, or after ``claim_seconds``. A writer that is only slow finds
+  its claim marked as lapsed, and writes its batch again under a new number.
 
 The table lives in a shared folder (HDFS / object store), so it survives the
 loss of any executor; a folder is complete when Spark's ``_SUCCESS`` marker is
@@ -24,6 +26,7 @@ in it, and incomplete ones are ignored.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -31,6 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "batch_id"
+CLAIM_SECONDS = 24 * 3600.0  # longer than any write of a batch
+LAPSED = "lapsed"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -57,7 +62,9 @@ class KeyedTable:
     with no ``order`` the last write wins, as a database upsert).
     """
 
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] = (), compact_every: int | None = None):
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] = (), compact_every: int | None = None,
+                 claim_seconds: float | None = CLAIM_SECONDS):
+        self.claim_seconds = claim_seconds
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order = list(order)
@@ -75,21 +82,47 @@ class KeyedTable:
     def claims_dir(self) -> str:
         return f"{self.path}/claims"
 
-    def _claims(self, spark: SparkSession) -> list[tuple[int, str | None, int]]:
-        """(sequence number, stream, batch) of each claim; a number without its claim file has no stream."""
+    def _claim_files(self, spark: SparkSession) -> list[tuple[int, str, float]]:
+        """(sequence number, rest of the name, time of writing) of every file of claims."""
         fs, pattern = _file_system(spark, f"{self.claims_dir}/*")
         out = []
         for status in fs.globStatus(pattern) or []:
             n, _, rest = status.getPath().getName().partition(".")
+            out.append((int(n), rest, status.getModificationTime() / 1000))
+        return out
+
+    def _claims(self, spark: SparkSession) -> list[tuple[int, str | None, int]]:
+        """(sequence number, stream, batch) of each claim; a number without its claim file has no stream."""
+        out = []
+        for n, rest, _ in self._claim_files(spark):
             stream, _, batch = rest.rpartition(".")
-            out.append((int(n), stream or None, int(batch or -1)))
+            if rest != LAPSED:
+                out.append((n, stream or None, int(batch or -1)))
         return out
 
+    def _lapsed(self, spark: SparkSession) -> set[int]:
+        """Numbers that a compaction has passed over."""
+        return {n for n, rest, _ in self._claim_files(spark) if rest == LAPSED}
+
+    def _may_lapse(self, spark: SparkSession, numbers: set[int]) -> set[int]:
+        """Those of some unwritten numbers whose writer has gone on to a later batch, or has had ``claim_seconds``."""
+        files = self._claim_files(spark)
+        owner = {n: rest.rpartition(".")[0] for n, rest, _ in files if rest and rest != LAPSED}
+        last = {stream: max(n for n, s in owner.items() if s == stream) for stream in owner.values()}
+        newest = {n: max(t for m, _, t in files if m == n) for n in {n for n, _, _ in files}}
+        now = time.time()
+        return {n for n in numbers if last.get(owner.get(n), n) > n
+                or (self.claim_seconds is not None and now - newest[n] > self.claim_seconds)}
+
+    def _mark(self, spark: SparkSession, number: int) -> None:
+        fs, path = _file_system(spark, f"{self.claims_dir}/{number}.{LAPSED}")
+        fs.createNewFile(path)
+
     def claim(self, spark: SparkSession, stream: str, batch_id: int) -> int:
         """The table-wide sequence number of a stream's batch: the one it has, or the next free one."""
-        claims = self._claims(spark)
+        claims, lapsed = self._claims(spark), self._lapsed(spark)
         for n, s, b in claims:
-            if (s, b) == (stream, int(batch_id)):
+            if (s, b) == (stream, int(batch_id)) and n not in lapsed:
                 return n
         taken = [n for n, _, _ in claims] + self.applied_batches(spark) + _complete_batches(spark, self.snapshot_dir)
         n = max(taken, default=-1) + 1
@@ -102,9 +135,19 @@ class KeyedTable:
 
     def append(self, df: DataFrame) -> int:
         """Upsert one batch under the next sequence number, which it returns."""
-        n = self.claim(df.sparkSession, uuid.uuid4().hex, 0)
-        self.write_batch(df, n)
-        return n
+        return self._write_claimed(df, uuid.uuid4().hex, 0)
+
+    def _write_claimed(self, df: DataFrame, stream: str, batch_id: int) -> int:
+        """Write under the batch's number; again under a new one if that lapsed meanwhile."""
+        spark = df.sparkSession
+        while True:
+            n = self.claim(spark, stream, batch_id)
+            snaps = _complete_batches(spark, self.snapshot_dir)
+            if snaps and snaps[-1] >= n:  # a replay of what the snapshot holds
+                return n
+            self.write_batch(df, n)
+            if n not in self._lapsed(spark):
+                return n
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Upsert one batch under a sequence number of the caller's (idempotent for a given number)."""
@@ -160,7 +203,10 @@ class KeyedTable:
         covered = snaps[-1] if snaps else -1
         ids = self.applied_batches(spark)
         done = set(ids)
-        open_ = [n for n, _, _ in self._claims(spark) if n > covered and n not in done]
+        open_ = {n for n, _, _ in self._claims(spark) if n > covered and n not in done} - self._lapsed(spark)
+        for n in self._may_lapse(spark, open_):
+            self._mark(spark, n)
+            open_.discard(n)
         ids = [b for b in ids if b > covered and b < min(open_, default=b + 1)]
         if not ids:
             return covered if snaps else None
@@ -189,8 +235,9 @@ class KeyedTable:
         for _, s, b in claims:
             if s is not None:
                 newest[s] = max(b, newest.get(s, -1))
+        lapsed = self._lapsed(spark)
         old = [f"{n}.{s}.{b}" if s is not None else f"{n}" for n, s, b in claims
-               if n <= keep and (s is None or b < newest[s])]
+               if n <= keep and n not in lapsed and (s is None or b < newest[s])]
         for d in [*doomed, *[f"{self.claims_dir}/{name}" for name in old]]:
             fs, p = _file_system(spark, d)
             fs.delete(p, True)
@@ -204,11 +251,7 @@ class KeyedTable:
         long-running stream keeps a bounded number of folders to read.
         """
         spark = df.sparkSession
-        n = self.claim(spark, stream or stream_id(spark) or "direct", batch_id)
-        snaps = _complete_batches(spark, self.snapshot_dir)
-        if snaps and snaps[-1] >= n:  # a replay of what the snapshot holds
-            return
-        self.write_batch(df, n)
+        n = self._write_claimed(df, stream or stream_id(spark) or "direct", batch_id)
         if self.compact_every and (n + 1) % self.compact_every == 0:
             self.compact(spark)
             self.vacuum(spark)
@@ -222,10 +265,15 @@ class SumTable(KeyedTable):
     batches after it, with a partial aggregate before the shuffle. A replayed batch
     rewrites its folder, so that nothing counts twice.
 
+    Claims lapse only when their stream has gone on, since a batch that is written twice would count twice.
+
     The table belongs to one stream: a stream with a fresh checkpoint would read its source again, and add
     it a second time, so it is refused.
     """
 
+    def __init__(self, path: str, keys: Sequence[str], compact_every: int | None = None):
+        super().__init__(path, keys, compact_every=compact_every, claim_seconds=None)
+
     def _latest(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         payload = [c for c in columns if c not in self.keys and c != BATCH_COL]
         out = df.groupBy(*self.keys).agg(*[F.sum(c).cast(df.schema[c].dataType).alias(c) for c in payload], F.max(BATCH_COL).alias(BATCH_COL))

@@ -93,3 +93,58 @@ def test_keyed_table_single_part_read_has_no_shuffle(spark, scratch):
     assert dict((r.id, r.v) for r in snap.collect())[2] == 4.0
     assert "Exchange" not in snap._jdf.queryExecution().executedPlan().toString()
     assert snap.columns == ["id", "v"]
+
+
+def test_claims_of_dead_writers_lapse_and_slow_ones_write_again(spark, scratch):
+    import time
+
+    from tempora.sources.sinks import KeyedTable
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), "id int, v string")
+
+    def state(table):
+        return {r.id: r.v for r in table.read(spark).collect()}
+
+    # A writer that died: nothing passes its number until its claim has lapsed.
+    table = KeyedTable(f"{scratch}/t", keys=["id"], claim_seconds=3600)
+    table.append(rows((1, "a")))
+    dead = table.claim(spark, "dead", 0)
+    table.append(rows((2, "b")))
+    assert table.compact(spark) == 0 and dead == 1
+    short = KeyedTable(f"{scratch}/t", keys=["id"], claim_seconds=0.01)
+    time.sleep(1.1)
+    assert short.compact(spark) == 2
+    short.vacuum(spark)
+    assert state(table) == {1: "a", 2: "b"} and table.applied_batches(spark) == []
+    # It was only slow: its batch comes under a new number and isn't lost.
+    table.upsert_stream_batch(rows((1, "late"), (3, "c")), 0, stream="dead")
+    assert state(table) == {1: "late", 2: "b", 3: "c"}
+    # A stream that has gone on no longer holds its older numbers, whatever the time.
+    steady = KeyedTable(f"{scratch}/s", keys=["id"], claim_seconds=None)
+    steady.claim(spark, "s", 0)
+    steady.upsert_stream_batch(rows((7, "x")), 1, stream="s")
+    assert steady.compact(spark) == 1 and state(steady) == {7: "x"}
+    # Nothing lapses that is still within its time.
+    steady.claim(spark, "other", 0)
+    steady.upsert_stream_batch(rows((8, "y")), 2, stream="s")
+    assert steady.compact(spark) == 1 and state(steady) == {7: "x", 8: "y"}
+
+
+def test_a_claim_that_lapses_during_the_write(spark, scratch, monkeypatch):
+    from tempora.sources.sinks import KeyedTable
+
+    table = KeyedTable(f"{scratch}/t", keys=["id"])
+    write, seen = KeyedTable.write_batch, []
+
+    def slow(self, df, n):
+        seen.append(n)
+        if len(seen) == 1:  # a compaction passes over it now
+            self._mark(spark, n)
+            spark.createDataFrame([(0, "z")], "id int, v string").write.parquet(f"{self.log_dir}/batch_id={n + 1}")
+            self.compact(spark)
+        write(self, df, n)
+
+    monkeypatch.setattr(KeyedTable, "write_batch", slow)
+    table.append(spark.createDataFrame([(1, "a")], "id int, v string"))
+    assert seen == [0, 2] and {r.id: r.v for r in table.read(spark).collect()} == {0: "z", 1: "a"}
