@@ -15,6 +15,7 @@ from tempora.functions.timebuckets import epoch_seconds
 from tempora.plans import standins as S
 from tempora.plans.benchmark_queries import (
     _BOUNDED,
+    ORACLES,
     _SQL_EPOCH_TS,
     _SQL_FLAGSHIP,
     _SQL_K,
@@ -149,3 +150,43 @@ def live_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(start_scoring(spark, message_stream(spark, _publish_events(spark, sf_dir), options=_BOUNDED), f"{base}/models", table,
                                 f"{base}/rejects", f"{base}/_ckpt", features=["main_temp"], available_now=True))
     return table.read(spark).select("dt", "id", F.round("prediction", 1).alias("prediction"))
+
+
+@register("stream_upsample", ORACLES["upsample_linear"])
+def stream_upsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 + E2 as a stream: daily prices that arrive in three drops, each series' newest price kept over micro-batches."""
+    from tempora.sources.sinks import KeyedTable
+    from tempora.streaming.live_series import start_upsampling
+    from tempora.streaming.sources import run_available
+
+    base = shared_path(spark, "stream_upsample", unique=True)
+    daily = S.daily_prices(spark, sf_dir).groupBy("country", F.date_trunc("day", "time").cast("timestamp_ntz").alias("time")).agg(
+        F.round(F.avg("price"), 6).alias("price"))
+    table = KeyedTable(f"{base}/last", keys=["country"], order=["time"])
+    year = F.year("time")
+    for k, part in enumerate((year < 1997, (year >= 1997) & (year < 1999), year >= 1999)):
+        daily.where(part).write.parquet(f"{base}/drops/{k}")
+        stream = spark.readStream.schema(daily.schema).parquet(f"{base}/drops/*")
+        run_available(start_upsampling(stream, table, base, f"{base}/_ckpt", "country", "time", "price", step_seconds=S.HOUR_SECONDS,
+                                       source_step_seconds=S.DAY_SECONDS, periods=None, available_now=True))
+    return spark.read.parquet(f"{base}/points").drop("batch")
+
+
+@register("live_forecast_error", ORACLES["forecast_error"])
+def live_forecast_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 + L9 as a stream-stream join with watermarks: predictions and prices by bucket, errors summed by day."""
+    from tempora.operators.aggregates import group_averages
+    from tempora.plans.weather_price import price_bucket_averages
+    from tempora.sources.sinks import SumTable
+    from tempora.streaming.live_series import error_of, start_forecast_error
+    from tempora.streaming.sources import run_available
+
+    base = shared_path(spark, "live_forecast_error", unique=True)
+    readings = S.readings(spark, sf_dir).withColumn("dt", F.timestamp_seconds(F.col("dt") - F.pmod("dt", F.lit(300))).cast("timestamp_ntz"))
+    group_averages(readings, "dt", {"prediction": "value"}).write.parquet(f"{base}/predictions")
+    price_bucket_averages(S.price_ticks(spark, sf_dir), time_col="dt", value_col="price", width_seconds=300, time_kind="epoch",
+                          drop=["event_id"], out_key="dt").write.parquet(f"{base}/prices")
+    streams = [spark.readStream.schema(spark.read.parquet(path).schema).parquet(path) for path in (f"{base}/predictions", f"{base}/prices")]
+    errors = SumTable(f"{base}/errors", keys=["day"])
+    run_available(start_forecast_error(*streams, errors, f"{base}/unmatched", f"{base}/_ckpt", available_now=True))
+    return _round(error_of(errors.read(spark)), ["rmse", "mae"])

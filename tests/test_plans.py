@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from tests.conftest import SMOKE_DIR
 
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"]
-STREAMING = {"stream_bucket_avg", "stream_upsert", "stream_scoring", "stream_distinct", "subscription_upsert", "live_scores"}
+STREAMING = {"stream_bucket_avg", "stream_upsert", "stream_scoring", "stream_distinct", "subscription_upsert", "live_scores", "stream_upsample", "live_forecast_error"}
 
 
 def _plan(df) -> str:
