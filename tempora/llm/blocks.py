@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.memory import give_back
+from tempora.llm.memory import CACHES, give_back
 
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
@@ -32,10 +32,11 @@ BASE = int(_RNG.integers(1, 1 << 62)) * 2 + 1
 WORD_BASE = int(_RNG.integers(1, 1 << 62)) * 2 + 1
 WORD_BASE_2 = int(_RNG.integers(1, 1 << 62)) * 2 + 1
 _POWERS: dict[int, np.ndarray] = {}
+CACHES.append(_POWERS)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64 (kept per worker, grown on demand)."""
+    """base**0 .. base**n modulo 2**64 (kept for a block's work, grown on demand)."""
     have = _POWERS.get(base)
     if have is None or len(have) <= n:
         p = np.full(max(n + 1, 1 << 16), base % (1 << 64), dtype=np.uint64)

@@ -22,8 +22,13 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_SETTING, str(BATCH_ROWS))
 
 
+CACHES: list[dict] = []  # tables that a worker rebuilds at little cost
+
+
 def give_back() -> None:
-    """Return what is free in this process to the system."""
+    """Return what is free in this process, and what it can build again, to the system."""
+    for cache in CACHES:
+        cache.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

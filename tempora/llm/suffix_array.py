@@ -328,9 +328,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a character). Null and empty texts have no bytes; every row is kept, repeated rows and null ids
     too (equal rows repeat each other). Other columns are not read and may have any names.
     """
-    gram = max(1, min(GRAM, length // 2))
+    gram = max(1, min(GRAM, length // 3))
     blocks, _, total = B.text_blocks(docs, id_col, text_col, BLOCK_BYTES)
-    n_buckets = B.bucket_count(total // 128, 17)
+    n_buckets = B.bucket_count(2 * total // (length - gram + 2), 17)  # about two anchors in as many places as a string has grams
     told = B.answer(B.ask(blocks, partial(ask_regions, length, gram), n_buckets), 17,
                     partial(judge_regions, group_regions))
     n_groups = max(1, total // (2 * TASK_BYTES))
