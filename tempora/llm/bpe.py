@@ -9,13 +9,13 @@ order; applying a merge touches only its two neighbours.
 from __future__ import annotations
 
 import base64
-import gc
 import heapq
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 from tempora.llm.memory import give_back, small_batches
 
-CACHE_WORDS = 200_000
 SLICE_BYTES = 3 << 20
 PREPARE_BYTES = 12 << 20
 SHIFT, NONE = 24, (1 << 31) - 1
@@ -55,6 +54,8 @@ class Merger:
                 a, b = ranks.get(t[:i]), ranks.get(t[i:])
                 if a is not None and b is not None:
                     pairs[a << SHIFT | b] = r
+        self.tokens = pa.array(list(ranks), pa.large_binary())
+        self.token_ids = np.array(list(ranks.values()), dtype=np.int32)
         self.pair = np.array(sorted(pairs), dtype=np.int64)
         self.rank = np.array([pairs[p] for p in self.pair.tolist()], dtype=np.int32)
 
@@ -64,33 +65,43 @@ class Merger:
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where((self.pair[at] == key) & (a >= 0) & (b >= 0), self.rank[at], np.int32(NONE))
 
-    def encode(self, words: list[bytes]) -> Iterator[list[int]]:
-        """Token ids of each word, GROUP words in one replay of all merges."""
-        for at in range(0, len(words), GROUP):
-            yield from self.replay(words[at: at + GROUP])
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, number of ids of each), GROUP words in one replay of all merges."""
+        found = [self.replay(words.slice(at, GROUP)) for at in range(0, len(words), GROUP)]
+        empty = [(np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))]
+        return tuple(np.concatenate(x) for x in zip(*(found or empty)))
 
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word; equal to merging the lowest rank first, leftmost first, in each word alone.
+    def replay(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word; equal to merging the lowest rank first, leftmost first, in each word alone.
 
-        In one pass of a rank each word merges at its first position; a word with more of them is
-        taken up again by that rank, or by a lower one that the merge has brought up.
+        A word that is a token by itself isn't merged. In one pass of a rank each other word merges at its first position; a
+        word with more of them is taken up again by that rank, or by a lower one that the merge has brought up.
         """
-        out: list[list[int] | None] = [None] * len(words)
-        todo = []
-        for w, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is not None or not word:
-                out[w] = [whole] if word else []
-            else:
-                todo.append(w)
-        if not todo:
-            return out
-        sizes = np.array([len(words[w]) + 1 for w in todo])
+        words = words.cast(pa.large_binary())
+        place = pc.index_in(words, value_set=self.tokens)
+        whole = place.is_valid().to_numpy(zero_copy_only=False)
+        flat, counts = self._merge(words.filter(pa.array(~whole)))
+        sizes = np.ones(len(words), dtype=np.int64)
+        sizes[~whole] = counts
+        out = np.empty(int(sizes.sum()), dtype=np.int32)
+        merged = np.repeat(~whole, sizes)
+        out[merged] = flat
+        out[~merged] = self.token_ids[place.drop_null().to_numpy()]
+        return out, sizes
+
+    def _merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word), all words through the merges."""
+        n_words = len(words)
+        if not n_words:
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        bounds = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset: words.offset + n_words + 1]
+        data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[bounds[0]: bounds[-1]]
+        sizes = np.diff(bounds) + 1
         sym = np.full(sizes.sum(), -1, dtype=np.int32)  # each word is followed by a gap
         inside = np.ones(len(sym), dtype=bool)
         inside[np.cumsum(sizes) - 1] = False
-        sym[inside] = self.byte[np.frombuffer(b"".join([words[w] for w in todo]), dtype=np.uint8)]
-        word = np.repeat(np.arange(len(todo), dtype=np.int32), sizes)
+        sym[inside] = self.byte[data]
+        word = np.repeat(np.arange(n_words, dtype=np.int32), sizes)
         n = len(sym)
         nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         pair = np.full(n, NONE, dtype=np.int32)  # rank of the merge of a position with its successor
@@ -144,80 +155,95 @@ class Merger:
             if (some := ranks != NONE).any():
                 enter(at[some], ranks[some])
         kept = sym >= 0
-        ends = np.cumsum(np.bincount(word[kept], minlength=len(todo)))
-        ids = sym[kept].tolist()
-        start = 0
-        for w, end in zip(todo, ends.tolist()):
-            out[w] = ids[start:end]
-            start = end
-        return out
+        return sym[kept], np.bincount(word[kept], minlength=n_words)
+
+
+def gathered_ids(table: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The ids of the pieces ``codes`` one after the other; ``table`` has those of piece 0, 1, ..."""
+    n = sizes[codes]
+    ends = np.cumsum(n)
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(int(ends[-1]) if len(ends) else 0)
+    at += np.repeat(starts[codes] - ends + n, n)
+    return table[at]
+
+
+def _joined(pieces: pa.Array, bounds: np.ndarray, separator) -> pa.Array:
+    """Pieces bounds[0] to bounds[1] as one, and so on."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pieces), pa.scalar(separator, pieces.type))
 
 
 class _Encoder:
-    """A worker's tables: the ids, as text, of the pattern's words and of the pieces between single spaces.
+    """Ids of texts by the pieces between single spaces, each distinct one through the pattern and the merges once.
 
     A lone space between two characters that aren't white space always begins a new word of the
-    pattern, so that a text can be cut there and each distinct piece goes through the pattern once.
-    A text with white space beside such a cut goes through the pattern as a whole.
+    pattern, so that a text can be cut there. A text with white space beside such a cut goes through the
+    pattern as a whole.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.merger = Merger(ranks)
         self.split = compile_pattern(pattern).findall
-        self.words: dict[str, str] = {}
-        self.pieces: dict[str, str | None] = {}
-        self.heads: dict[str, str | None] = {}
-        self.number = {r: str(r) for r in ranks.values()}
-        self.token = {str(r): t for t, r in ranks.items()}
-
-    def forget(self) -> None:
-        self.words, self.pieces, self.heads = {}, {}, {}
-
-    def learn(self, words: set[str]) -> None:
-        """Ids of new words as text, after a line feed if the word begins with a space and else after a space."""
-        new = [w for w in words if w not in self.words]
-        number = self.number
-        for w, ids in zip(new, self.merger.encode([w.encode() for w in new])):
-            self.words[w] = ("\n" if w[0] == " " else " ") + " ".join([number[i] for i in ids])
-
-    def prepare(self, parts: Iterator[list[str]]) -> None:
-        """Learn the pieces of many texts, all new words in one replay of the merges."""
-        pieces: set[str] = set()
-        heads: set[str] = set()
-        for texts in parts:
-            for t in texts:
-                cut = t.split(" ")
-                heads.add(cut[0])
-                pieces.update(cut)
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        pieces.difference_update(self.pieces)
-        whole = [p for p in pieces if p and p is p.strip()]
-        self.pieces.update(dict.fromkeys(pieces.difference(whole)))
-        first = [self.split(p) if p and not p[-1].isspace() else None for p in heads]
-        found = self.split(" " + " ".join(whole)) if whole else []
-        self.learn(set(found).union(*[x for x in first if x]))
-        ids = self.words
-        self.pieces.update(zip(whole, "".join(map(ids.__getitem__, found)).split("\n")[1:]))
-        self.heads = {p: None if x is None else "".join([ids[w] for w in x]).replace("\n", " ").strip() for p, x in zip(heads, first)}
-
-    def encode(self, texts: list[str]) -> list[str]:
-        """The ids of prepared texts."""
-        out: list[str | None] = []
-        for t in texts:
-            cut = t.split(" ")
-            try:
-                got = [self.heads[cut[0]], *map(self.pieces.__getitem__, cut[1:])]
-                out.append(" ".join(got))
-            except TypeError:  # None: a text for the pattern as a whole
-                out.append(None)
-        rest = [(i, self.split(texts[i])) for i, x in enumerate(out) if x is None]
-        self.learn(set().union(*[w for _, w in rest]))
-        for i, w in rest:
-            out[i] = "".join([self.words[x] for x in w]).replace("\n", " ").strip()
-        return out
+        ids = self.merger.token_ids
+        self.place = np.zeros(int(ids.max()) + 1, dtype=np.int64)  # of an id among the tokens
+        self.place[ids] = np.arange(len(ids))
+        self.numbers = pa.array([str(i) for i in ids.tolist()], pa.large_string())
+
+    def _cut(self, texts: pa.Array):
+        """(words of all units in a row, bounds of each unit's words, units of all texts in a row, bounds of each text's units)."""
+        lists = pc.split_pattern(texts, " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        bounds = bounds - bounds[0]
+        pieces = lists.flatten()
+        first = np.zeros(len(pieces), dtype=bool)
+        first[bounds[:-1]] = True
+        inner, heads = (pieces.filter(pa.array(m)).dictionary_encode() for m in (~first, first))
+        plain = self._plain(inner.dictionary, pc.utf8_trim_whitespace)
+        plain_head = self._plain(heads.dictionary, pc.utf8_rtrim_whitespace)
+        good = np.empty(len(pieces), dtype=bool)
+        good[~first] = plain[inner.indices.to_numpy()]
+        good[first] = plain_head[heads.indices.to_numpy()]
+        alone = np.minimum.reduceat(good, bounds[:-1]) if len(texts) else good  # texts to be cut here
+        odd = texts.filter(pa.array(~alone)).to_pylist()
+        # Units: plain inner pieces, plain heads, the texts that aren't cut.
+        inside = inner.dictionary.filter(pa.array(plain))
+        found = self.split(" " + _joined(inside, np.array([0, len(inside)]), " ")[0].as_py()) if len(inside) else []
+        more = [self.split(t) for t in [*heads.dictionary.filter(pa.array(plain_head)).to_pylist(), *odd]]
+        sizes = np.concatenate((np.diff(np.flatnonzero([*[w[0] == " " for w in found], True])), [len(x) for x in more])).astype(np.int64)
+        words = pa.array([*found, *[w for x in more for w in x]], pa.large_string())
+        number, head_number = np.cumsum(plain) - 1, len(inside) + np.cumsum(plain_head) - 1
+        units = np.empty(len(pieces), dtype=np.int64)
+        units[~first] = number[inner.indices.to_numpy()]
+        units[first] = head_number[heads.indices.to_numpy()]
+        units[bounds[:-1][~alone]] = len(sizes) - len(odd) + np.arange(len(odd))
+        kept = np.repeat(alone, np.diff(bounds)) | first
+        return words, np.concatenate(([0], np.cumsum(sizes))), units[kept], np.concatenate(([0], np.cumsum(kept)))[bounds]
+
+    @staticmethod
+    def _plain(pieces: pa.Array, trim) -> np.ndarray:
+        return pc.and_(pc.equal(trim(pieces), pieces), pc.not_equal(pieces, "")).to_numpy(zero_copy_only=False)
+
+    def encode(self, texts: pa.Array, bounds: list[int], decode: bool) -> Iterator[list[pa.Array]]:
+        """For each range of texts between ``bounds``: number of ids, ids as text and, with ``decode``, the bytes that they stand for."""
+        words, word_bounds, units, unit_bounds = self._cut(texts)
+        coded = words.dictionary_encode()
+        ids, sizes = self.merger.encode(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        ids = self.place[gathered_ids(ids, sizes, codes)]
+        ends = np.concatenate(([0], np.cumsum(sizes[codes])))[word_bounds]
+        n = np.diff(ends)
+        taken = pa.array(ids)
+        text = _joined(self.numbers.take(taken), ends, " ")
+        data = _joined(self.merger.tokens.take(taken), ends, b"") if decode else None
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            marks = unit_bounds[a: b + 1]
+            of = units[marks[0]: marks[-1]]
+            marks = marks - marks[0]
+            total = np.concatenate(([0], np.cumsum(n[of])))[marks]
+            out = [pa.array(np.diff(total), pa.int64()), _joined(text.take(pa.array(of)), marks, " ").cast(pa.string())]
+            if decode:
+                out.append(_joined(data.take(pa.array(of)), marks, b"").cast(pa.binary()))
+            yield out
 
 
 def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -246,10 +272,6 @@ def decode_ids(token: dict[str, bytes], ids: str) -> bytes:
     return b"".join([token[i] for i in ids.split()])
 
 
-def texts_of(batch: pa.RecordBatch) -> list[str]:
-    return [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-
-
 _WORKER: dict = {}
 
 
@@ -278,18 +300,12 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: s
             _WORKER[key] = _Encoder(*tables.value)
         enc = _WORKER[key]
         for group in gathered(batches, PREPARE_BYTES):
-            gc.disable()  # millions of short-lived lists, none in a cycle
-            enc.prepare(texts_of(b) for big in group for b in slices(big))
-            gc.enable()
-            for b in (b for big in group for b in slices(big)):
-                ids = enc.encode(texts_of(b))
-                n = [i.count(" ") + 1 if i else 0 for i in ids]
-                out = [*[b.column(i) for i in range(b.num_columns - 1)], pa.array(n, pa.int64()), pa.array(ids, pa.string())]
-                if decode:
-                    out.append(pa.array([decode_ids(enc.token, x) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(out, names=schema.names)
-        enc.forget()  # the worker may go on to other work
-        give_back()
+            parts = [b for big in group for b in slices(big)]
+            texts = pa.concat_arrays([b.column(b.num_columns - 1) for b in parts]).fill_null("")
+            bounds = np.concatenate(([0], np.cumsum([b.num_rows for b in parts]))).tolist()
+            for b, out in zip(parts, enc.encode(texts, bounds, decode)):
+                yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns - 1)], *out], names=schema.names)
+        give_back()  # the worker may go on to other work
 
     return d.mapInArrow(run, schema)
 

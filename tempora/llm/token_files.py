@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tempora.llm.bpe import gathered
+from tempora.llm.bpe import gathered, gathered_ids
 from tempora.llm.memory import give_back, small_batches
 
 PART_BYTES = 32 << 20      # text of a file, about
@@ -147,16 +147,6 @@ def _flat(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return table, np.array(sizes, dtype=np.int64)
 
 
-def gathered_ids(table: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """The ids of the pieces ``codes`` one after the other; ``table`` has those of piece 0, 1, ..."""
-    n = sizes[codes]
-    ends = np.cumsum(n)
-    starts = np.cumsum(sizes) - sizes
-    at = np.arange(int(ends[-1]) if len(ends) else 0)
-    at += np.repeat(starts[codes] - ends + n, n)
-    return table[at]
-
-
 def encode_texts(encoder: PieceEncoder, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, bounds of each text's ids)."""
     lists = pc.ascii_split_whitespace(texts.fill_null(""))
