@@ -5,7 +5,9 @@ labelled text. A text is parsed from left to right into the longest phrases
 that occur in the sample; the language that needs the fewest phrases (times
 the logarithm of the sample's length, as in the cross-parsing estimate of
 cross-entropy) wins. The automata become one transition table, and a task
-parses thousands of text segments side by side, a character a step.
+parses thousands of text segments side by side, a character a step. A long text's segments are
+parsed at the same time from a guessed state; each is then begun again from the state in which the one before
+has ended, until both parses agree, so that phrases are those of the whole text.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ from tempora.llm.memory import give_back, small_batches
 SAMPLE_CHARS = 16_384  # characters of each language's sample
 SAMPLE_DOCS = 64       # documents that it is drawn from
 SAMPLE_DOC_CHARS = 8_192
-SEGMENT = 4_096
+MAX_LANGUAGES = 1_000  # different labels; more are refused
+SEGMENT = 4_096        # classes that are parsed one after the other
+SYNC = 256             # classes in which a segment's two parses have to meet, or the text is parsed in one go
 DENSE = 252            # letter classes with a column of their own in the parser's table
 UNKNOWN = "und"
 
@@ -39,12 +43,15 @@ def language_samples(docs: DataFrame, train: Column, id_col: str = "doc_id", tex
     The documents are, per language, the distinct texts with the least hash in each of ``n_docs``
     slots. Each gives its first letters in an equal share (see ``equal_shares``), at most
     SAMPLE_DOC_CHARS characters; a run of other characters counts as one. Rows with a null id,
-    text or language teach nothing.
+    text or language teach nothing. More than MAX_LANGUAGES languages raise ValueError.
     """
     d = docs.where(train & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     d = d.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
     slot = F.pmod(F.col("h"), F.lit(n_docs))
-    picked = {(r.lang, r.h) for r in d.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).collect()}
+    most = MAX_LANGUAGES * n_docs
+    picked = {(r.lang, r.h) for r in d.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).limit(most + 1).collect()}
+    if len(picked) > most or len({lang for lang, _ in picked}) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col!r}")
     if not picked:
         return {}
     rows = d.where(F.col("h").isin(sorted({h for _, h in picked}))).select("lang", "h", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
@@ -155,7 +162,7 @@ class CrossParser:
             ended = (go < 0) + ((go < 0) & (root < 0)).astype(np.int64)
             ended[0] = (root < 0)
             state = np.where(go >= 0, go, np.maximum(root, 0))
-            tables.append((((state * width) + at) << 2 | ended).astype(np.int32).ravel())
+            tables.append((((state * width) + at) << 2 | ended).ravel())
             rare_keys.append((source[rare] * width + at) * (n - width) + by[rare] - width)
             rare_steps.append((target[rare] * width + at) << 2)
             first = np.full(n - width, -1, dtype=np.int64)
@@ -164,13 +171,14 @@ class CrossParser:
             self.base.append(at)
             self.weight.append(math.log2(max(2, len(codes))))
             at += go.size
-        self.go = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        cell = np.int32 if at < 1 << 29 else np.int64  # two bits of a cell count phrases
+        self.go = np.concatenate(tables).astype(cell) if tables else np.zeros(0, cell)
         self.n_rare = n - width
-        keys, steps = np.concatenate([*rare_keys, [-1]]).astype(np.int64), np.concatenate([*rare_steps, [0]]).astype(np.int32)
+        keys, steps = np.concatenate([*rare_keys, [-1]]).astype(np.int64), np.concatenate([*rare_steps, [0]]).astype(cell)
         order = np.argsort(keys)
         self.rare_keys, self.rare_steps = keys[order], steps[order]
-        self.rare_misses = np.array(self.rare_misses, dtype=np.int32)
-        self.base = np.array(self.base, dtype=np.int32)
+        self.rare_misses = np.array(self.rare_misses, dtype=cell)
+        self.base = np.array(self.base, dtype=cell)
         self.weight = np.array(self.weight)
 
     def rare_step(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -186,38 +194,70 @@ class CrossParser:
         codes, bounds = to_classes(texts, self.table)
         n_codes = np.diff(bounds)
         letters = np.add.reduceat(np.concatenate((codes != 0, [False])).astype(np.int64), bounds[:-1]) if len(texts) else n_codes
-        total = np.zeros((len(self.names), len(texts)), dtype=np.int64)
-        # Segments of at most SEGMENT classes, longest first, parsed side by side.
+        # Segments of at most SEGMENT classes, parsed side by side, all as if a phrase began with each.
         pieces = np.maximum(1, -(-n_codes // SEGMENT))
         text = np.repeat(np.arange(len(texts)), pieces)
-        part = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = np.cumsum(pieces) - pieces
+        part = np.arange(len(text)) - np.repeat(first, pieces)
         start = bounds[:-1][text] + part * SEGMENT
         size = np.minimum(bounds[1:][text] - start, SEGMENT)
+        found, state, _ = self._walk(codes, start, size, None, 0)
+        later = np.flatnonzero(part > 0)
+        apart = np.zeros(len(texts), dtype=bool)
+        few = max(1, min(512, (1 << 21) // (SYNC * max(1, len(self.names)))))
+        for at in range(0, len(later), few):  # again from the state in which the segment before has ended
+            rows = later[at: at + few]
+            short = np.minimum(size[rows], SYNC)
+            _, _, guess = self._walk(codes, start[rows], short, None, SYNC)
+            _, _, true = self._walk(codes, start[rows], short, state[:, rows - 1], SYNC)
+            meet = (guess[0] == true[0]) & (np.arange(len(guess[0]))[:, None, None] < short)
+            when = meet.argmax(0)[None]
+            found[:, rows] += (np.take_along_axis(true[1], when, 0) - np.take_along_axis(guess[1], when, 0))[0]
+            apart[text[rows[~meet.any(0).all(0)]]] = True
+        total = np.add.reduceat(found, first, axis=1).astype(np.int64) if len(texts) else found.astype(np.int64)
+        last = first + pieces - 1
+        total += state[:, last] != self.base[:, None]
+        odd = np.flatnonzero(apart)
+        if len(odd):  # the parses haven't met: in one go
+            found, state, _ = self._walk(codes, bounds[:-1][odd], n_codes[odd], None, 0)
+            total[:, odd] = found + (state != self.base[:, None])
+        return total, n_codes, letters
+
+    def _walk(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, state: np.ndarray | None, record: int):
+        """(phrases ended [language, row], last state, (states, phrases) after each of the first ``record`` classes) of stretches of
+        ``codes``, from the roots or from ``state``."""
+        n_lang = len(self.names)
+        phrases, ends = np.zeros((n_lang, len(start)), dtype=np.int64), np.zeros((n_lang, len(start)), dtype=self.base.dtype)
+        kept = [np.zeros((record, n_lang, len(start)), dtype=self.base.dtype) for _ in range(2)]
         order = np.argsort(-size, kind="stable")
         for at in range(0, len(order), 2048):
             rows = order[at: at + 2048]
             s, n = start[rows], size[rows]
-            grid = np.zeros((int(n[0]) if len(n) else 0, len(rows)), dtype=np.int32)
-            for i, (a, k) in enumerate(zip(s.tolist(), n.tolist())):
-                grid[:k, i] = codes[a: a + k]
-            active = np.searchsorted(-n, -np.arange(len(grid)), side="left")  # rows with more classes than t
-            state = np.repeat(self.base[:, None], len(rows), axis=1)
-            found = np.zeros(state.shape, dtype=np.int32)
-            for t in range(len(grid)):
-                k = active[t]
-                if self.n_rare:
-                    c = grid[t, :k]
-                    step = self.go.take(state[:, :k] + np.where(c < self.width, c, 0))
-                    rare = np.flatnonzero(c >= self.width)
-                    step[:, rare] = self.rare_step(state[:, rare], c[rare])
-                else:
-                    step = self.go.take(state[:, :k] + grid[t, :k])
-                found[:, :k] += step & 3
-                state[:, :k] = step >> 2
-            found += state != self.base[:, None]
-            for lang in range(len(self.names)):
-                np.add.at(total[lang], text[rows], found[lang])
-        return total, n_codes, letters
+            now = np.repeat(self.base[:, None], len(rows), axis=1) if state is None else state[:, rows].copy()
+            found = np.zeros(now.shape, dtype=np.int32)
+            for block in range(0, int(n[0]), SEGMENT):
+                width = int(min(SEGMENT, n[0] - block))
+                k_rows = int(np.searchsorted(-n, -block, side="left"))
+                grid = np.zeros((width, k_rows), dtype=np.int32)
+                for i in range(k_rows):
+                    k = min(int(n[i]) - block, width)
+                    grid[:k, i] = codes[s[i] + block: s[i] + block + k]
+                active = np.searchsorted(-n, -(block + np.arange(width)), side="left")  # rows with more classes than t
+                for t in range(width):
+                    k = active[t]
+                    if self.n_rare:
+                        c = grid[t, :k]
+                        step = self.go.take(now[:, :k] + np.where(c < self.width, c, 0))
+                        rare = np.flatnonzero(c >= self.width)
+                        step[:, rare] = self.rare_step(now[:, rare], c[rare])
+                    else:
+                        step = self.go.take(now[:, :k] + grid[t, :k])
+                    found[:, :k] += step & 3
+                    now[:, :k] = step >> 2
+                    if block + t < record:
+                        kept[0][block + t][:, rows], kept[1][block + t][:, rows] = now, found
+            phrases[:, rows], ends[:, rows] = found, now
+        return phrases, ends, kept
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score from 0 to 1, entropy in bits a character) of each text."""

@@ -187,20 +187,22 @@ def test_language_id(spark, empty):
     samples = L.language_samples(docs, ~L.held_out())
     parser = L.CrossParser(samples)
     texts = ["", "123 %%", "Ünd der ßx", *[r.text for r in docs.limit(12).collect()]]
+    prose = " ".join(t for t in texts if len(t) > 100)
+    rng = random.Random(2)
+    long = [(prose * 9)[:10_000], "".join(rng.choices(prose, k=200_000)), (prose * (200_000 // len(prose) + 1))[:200_000],
+            next(iter(samples.values()))[:50] * 300, "x" * 9_000]  # beyond a segment, and such whose parses never meet
+    texts += long
     total, _, _ = parser.phrases(texts)
     for k, name in enumerate(parser.names):
         known = L.to_classes([samples[name]], parser.table)[0][: L.SAMPLE_CHARS].tobytes()
         for t, n in zip(texts, total[k].tolist()):
             codes = L.to_classes([t], parser.table)[0].tobytes()
-            want = 0
-            for s in range(0, len(codes), L.SEGMENT):
-                part = codes[s: s + L.SEGMENT]
-                at = 0
-                while at < len(part):
-                    size = 1
-                    while at + size < len(part) and part[at: at + size + 1] in known:
-                        size += 1
-                    at, want = at + size, want + 1
+            at = want = 0
+            while at < len(codes):
+                size = 1
+                while at + size < len(codes) and codes[at: at + size + 1] in known:
+                    size += 1
+                at, want = at + size, want + 1
             assert n == want
     out = L.identify_language(spark, docs, samples, keep=("doc_id", "lang")).withColumn("h", L.held_out()).collect()
     held = [r for r in out if r.h]
