@@ -15,7 +15,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tempora.session import shared_path
+
 SAMPLE_ROWS = 10_000   # labelled URLs of each class that the trees see, about
+SAMPLE_TASKS = 2       # tasks over that sample
 SUFFIX_SLOTS = 4_096   # suffix statistics are kept by hash slot, so that their table is bounded
 FEATURES = ["url_length", "host_length", "path_length", "host_labels", "path_depth", "digit_ratio", "entropy",
             "n_parameters", "n_hyphens", "has_fragment", "is_https", "suffix_length", "suffix_rate", "suffix_count"]
@@ -113,7 +116,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_
     rows = lexical_features(base, "__url", "host", "path")
     labelled = rows.where("ruled IS NOT NULL").withColumn("label", (F.col("ruled") == "block").cast("double"))
     counts = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    statistics = F.broadcast(suffix_statistics(labelled, "label"))  # bounded by SUFFIX_SLOTS
+    spark, path = pages.sparkSession, shared_path(pages.sparkSession, "url_filter", unique=True)
+    statistics = suffix_statistics(labelled, "label")
+    statistics.write.parquet(f"{path}/suffixes")  # read by the sample and by the verdicts
+    statistics = F.broadcast(spark.read.schema(statistics.schema).parquet(f"{path}/suffixes"))  # bounded by SUFFIX_SLOTS
     rows = rows.join(statistics, "suffix_slot", "left").fillna({"suffix_rate": 0.5, "suffix_count": 0.0})
     if len(counts) < 2:
         block = F.lit(1.0 if 1.0 in counts else 0.0)
@@ -123,7 +129,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_
             F.pmod(F.xxhash64(F.lit(seed), "__url", id_col), F.lit(1_000_000)) < F.lit(1_000_000) * share[F.col("label")])
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         trees = GBTClassifier(maxIter=rounds, maxDepth=depth, maxBins=32, seed=seed)
-        model = trees.fit(assembler.transform(sample).select("features", "label").coalesce(2))
+        # The sample is written once, by all tasks of a scan: the trees read it again and again, and never the pages.
+        sample.select("label", *FEATURES).write.parquet(f"{path}/sample")
+        sample = spark.read.parquet(f"{path}/sample").coalesce(SAMPLE_TASKS)
+        model = trees.fit(assembler.transform(sample).select("features", "label"))
         rows = model.transform(assembler.transform(rows))
         block = vector_to_array(F.col("probability"))[1]
     rows = rows.withColumn("block_probability", block)
