@@ -90,8 +90,14 @@ def mode_per_group(df: DataFrame, keys: str | Sequence[str], category: str, alia
 
 
 def mode_aggregate(df: DataFrame, keys: str | Sequence[str], category: str, alias: str) -> DataFrame:
-    """SQL ``mode()``; ignores NULLs, smallest value on ties. Equals E1 when no NULLs."""
-    return df.groupBy(*_cols(keys)).agg(F.mode(category, deterministic=True).alias(alias))
+    """SQL ``mode()``; ignores NULLs, smallest value on ties; NULL for a group without other values. Equals E1 when no NULLs.
+
+    In two partial aggregates, as E1: Spark's own ``mode`` holds all of a group's different values in one buffer.
+    """
+    keys = _cols(keys)
+    counts = df.groupBy(*keys, category).agg(F.count(category).alias("_n"))  # 0 for NULL
+    best = counts.groupBy(*keys).agg(F.min(_mode_pick(F.col("_n"), F.col(category))).alias("_m"))
+    return best.select(*keys, F.col("_m.value").alias(alias))
 
 
 def modes_and_averages(df: DataFrame, key: str, modes: Mapping[str, str], averages: Mapping[str, str],

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.constants import BATCH_VIEW_COLUMNS, ELASTIC_NET_PARAMS
-from tempora.functions.timebuckets import epoch_seconds
 from tempora.plans import standins as S
 from tempora.plans.benchmark_queries import (
     _BOUNDED,

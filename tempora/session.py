@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,6 +20,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Files of DataFrame.checkpoint() go with the DataFrame.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -77,6 +81,40 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return os.path.join(base, *names) if "://" not in base else "/".join([base.rstrip("/"), *names])
 
 
+RUN_NAME = re.compile(r"[0-9a-f]{12}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
+def sweep_runs(spark: SparkSession, older_than_seconds: float) -> int:
+    """Remove the folders of single runs under the checkpoint folder that nothing has been written to for so long; their number.
+
+    These are ``shared_path(..., unique=True)`` and the folders of ``DataFrame.checkpoint()``. Tables, models and
+    checkpoints of streams that jobs keep there under names of their own stay.
+    """
+    base = ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_seconds) * 1000
+
+    def folders(path):
+        return [s for s in fs.listStatus(path) if s.isDirectory()]
+
+    def newest(status) -> int:
+        latest, files = status.getModificationTime(), fs.listFiles(status.getPath(), True)
+        while latest <= limit and files.hasNext():
+            latest = max(latest, files.next().getModificationTime())
+        return latest
+
+    own = os.path.basename(spark.sparkContext.getCheckpointDir() or "")
+    found = folders(root)
+    runs = [s for s in found if RUN_NAME.fullmatch(s.getPath().getName()) and s.getPath().getName() != own]
+    runs += [s for f in found if not RUN_NAME.fullmatch(f.getPath().getName()) for s in folders(f.getPath()) if RUN_NAME.fullmatch(s.getPath().getName())]
+    old = [s.getPath() for s in runs if newest(s) <= limit]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 * 1024 ** 2
                ) -> dict[str, str]:
     """Settings sized to the data: shuffle partitions so that a shuffle partition holds

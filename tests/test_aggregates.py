@@ -75,3 +75,15 @@ def test_exact_average_is_partitioning_independent(spark):
         assert r.m == float(exact) or abs(r.m - float(exact)) <= 1e-12 * abs(float(exact))
     shared = modes_and_averages(df, "g", {"mv": "v"}, {"m": "v"}, exact_scales={"m": 2}).collect()
     assert sorted((r.g, r.m) for r in shared) == sorted((r.g, r.m) for r in a)
+
+
+def test_mode_aggregate_equals_sparks_mode(spark):
+    from pyspark.sql import functions as F
+
+    from tempora.operators.aggregates import mode_aggregate
+
+    rows = [(1, "b"), (1, "a"), (1, "a"), (1, "b"), (1, None), (1, None), (1, None), (2, None), (3, "z"), (None, "n"), (None, None)]
+    df = spark.createDataFrame(rows, "k int, c string")
+    got = {r.k: r.m for r in mode_aggregate(df, "k", "c", "m").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.mode("c", deterministic=True).alias("m")).collect()}
+    assert got == want == {1: "a", 2: None, 3: "z", None: "n"}

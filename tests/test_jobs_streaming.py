@@ -320,3 +320,59 @@ def test_cli_score_bounded(spark, scratch):
               "--predictions", f"{scratch}/preds", "--seconds", "8", "--trigger", "1 second"], spark=spark)
     got = KeyedTable(f"{scratch}/preds", keys=["dt", "id"]).read(spark).collect()
     assert len(got) == 1 and got[0].id == 3
+
+
+def test_cli_averages_replay_cities_views_and_report(spark, scratch):
+    from tempora import cli
+    from tempora.constants import CITY_COLUMNS, PRICE_MESSAGE_KEYS
+    from tempora.streaming.messages import parse_price_messages
+
+    # Averages: what the batch job gives.
+    for part in (_weather_rows(30)[:50], _weather_rows(30)[40:]):
+        spark.createDataFrame(part, WEATHER_COLS).write.mode("append").parquet(f"{scratch}/in")
+        cli.main(["averages", "--readings", f"{scratch}/in", "--schema", WEATHER_COLS, "--table", f"{scratch}/sums", "--available-now"], spark=spark)
+    got = averages_of(SumTable(f"{scratch}/sums", keys=["dt"]).read(spark), "dt", {"avg_temp": 0, "avg_clouds": 0})
+    want = weather_bucket_averages(spark.read.parquet(f"{scratch}/in"), drop=[])
+    assert sorted((r.dt, round(r.avg_temp, 9)) for r in got.collect()) == sorted((r.dt, round(r.avg_temp, 9)) for r in want.collect())
+    # Replay and cities.
+    with open(f"{scratch}/prices.csv", "w") as f:
+        f.write(",".join(PRICE_MESSAGE_KEYS) + "\n")
+        for k, country in enumerate(["Belgium", "Belgium", "Greece"]):
+            f.write(f"{country},XXX,2022-12-17 0{k}:00:00,2022-12-17 0{k + 1}:00:00,{100 + k}\n")
+    cli.main(["replay", "--history", f"{scratch}/prices.csv", "--noise", "0", "--out", f"{scratch}/topic"], spark=spark)
+    msgs = parse_price_messages(spark.read.text(f"{scratch}/topic"))
+    assert msgs.count() == 720 and {r.Country for r in msgs.collect()} == {"Belgium"}
+    with open(f"{scratch}/cities.csv", "w") as f:
+        f.write(";".join(CITY_COLUMNS) + '\n1;A;A;Belgium;50.5,4.5\n2;B;B;France;48.0,2.0\n')
+    cli.main(["cities", "--cities", f"{scratch}/cities.csv", "--out", f"{scratch}/cities"], spark=spark)
+    assert [r["Name"] for r in spark.read.json(f"{scratch}/cities").collect()] == ["A"]
+    # Views over the serving tables.
+    w, p = _drops(spark, scratch)
+    cli.main(["refresh-view", "--weather-dir", w, "--prices-dir", p, "--view", f"{scratch}/view"], spark=spark)
+    newest = KeyedTable(f"{scratch}/view", ["dt"]).read(spark).agg({"dt": "max"}).first()[0]
+    preds = spark.createDataFrame([(newest, 1, 5.0)], "dt timestamp_ntz, id bigint, prediction double")
+    KeyedTable(f"{scratch}/preds", ["dt", "id"]).append(preds)
+    assert cli.main(["views", "--predictions", f"{scratch}/preds", "--view", f"{scratch}/view", "--out", f"{scratch}/views"],
+                    spark=spark).startswith("3 tables")
+    assert all(spark.read.parquet(f"{scratch}/views/{n}").count() >= 1 for n in ("prediction", "batch_view", "plot"))
+
+
+def test_sweep_removes_old_runs_only(spark, scratch):
+    import os
+    import uuid
+
+    from tempora.session import ensure_checkpoint_dir, shared_path, sweep_runs
+
+    base = ensure_checkpoint_dir(spark)
+    old, new = (shared_path(spark, "sweep_test", unique=True) for _ in range(2))
+    kept = f"{base}/sweep_test/a_table"
+    foreign = f"{base}/{uuid.uuid4()}"
+    for path in (old, new, kept, foreign):
+        os.makedirs(f"{path}/part")
+        with open(f"{path}/part/x", "w") as f:
+            f.write("x")
+    for path in (old, kept, foreign):
+        for d in (f"{path}/part/x", f"{path}/part", path):
+            os.utime(d, (1, 1))
+    assert sweep_runs(spark, 30 * 86_400) == 2
+    assert not os.path.exists(old) and not os.path.exists(foreign) and os.path.exists(f"{new}/part/x") and os.path.exists(f"{kept}/part/x")
